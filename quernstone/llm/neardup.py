@@ -29,9 +29,9 @@ from quernstone.operators.components import components
 from quernstone.session import materialize
 
 WIDTH, THRESHOLD, MIN_WORDS = 5, 0.8, 1
-RUNS, LEVELS, BRANCH, RECALL, MOST_ROUNDS = 7, 3, 2.0, 0.999, 4
+RUNS, LEVELS, BRANCH, RECALL, MOST_ROUNDS = 3, 3, 3.0, 0.999, 6
 #: Texts of a node that are compared at once, and texts in a block of a node that stays large.
-BUCKET, BLOCK = 12, 256
+BUCKET, BLOCK = 128, 256
 #: Words whose hashes a worker keeps.
 _MOST_WORDS = 500_000
 _KNOWN: dict[str, int] = {}
@@ -156,14 +156,12 @@ def _sets(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
 
 def _alike(threshold: float) -> Column:
     """Whether x and y can reach the threshold, by their sizes and sketches."""
-    p = (1 - threshold) * 3 / 4
-    most = int(_SYMBOLS * p + 5.5 * (_SYMBOLS * p * (1 - p)) ** 0.5)
 
     def apart(c: str) -> Column:
         d = F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))
         return F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
 
-    return (F.least("x.n", "y.n") >= F.lit(threshold) * F.greatest("x.n", "y.n")) & (apart("s1") + apart("s2") <= most)
+    return (F.least("x.n", "y.n") >= F.lit(threshold) * F.greatest("x.n", "y.n")) & (apart("s1") + apart("s2") <= _most_apart(threshold))
 
 
 def blocked_pairs(rows: DataFrame, group: list[str], size: str, id_col: str, block: int) -> DataFrame:
@@ -181,37 +179,130 @@ def blocked_pairs(rows: DataFrame, group: list[str], size: str, id_col: str, blo
     return both.select(*group, F.when(swap, F.col("x")).otherwise(F.col("y")).alias("x"), F.when(swap, F.col("y")).otherwise(F.col("x")).alias("y"))
 
 
+#: Columns of a node's row, and of what a level gives: pairs (with the run's bit) and rows of nodes that are split again.
+_ROW = ("node", "rep", "n", "s1", "s2")
+_LEVEL = "hot boolean, node long, rep long, n int, s1 long, s2 long, a long, b long, bit long"
+_RUN_BITS = 8
+
+
+def _most_apart(threshold: float) -> int:
+    """Differing symbols of two texts at the threshold, five and a half standard deviations above the mean."""
+    p = (1 - threshold) * 3 / 4
+    return int(_SYMBOLS * p + 5.5 * (_SYMBOLS * p * (1 - p)) ** 0.5)
+
+
+def _compared(cols: list[np.ndarray], starts: np.ndarray, size: int, threshold: float) -> list[np.ndarray]:
+    """(a, b, bit) of the alike pairs in groups of `size` rows that start at `starts`."""
+    node, rep, n, s1, s2 = cols
+    i, j = np.triu_indices(size, 1)
+    step = max(1, 2_000_000 // len(i))
+    out = []
+    for k in range(0, len(starts), step):
+        at = starts[k : k + step, None]
+        x, y = (at + i).ravel(), (at + j).ravel()
+        ok = np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y])
+        x, y = x[ok], y[ok]
+        apart = np.zeros(len(x), np.int64)
+        for sk in (s1, s2):
+            d = (sk[x] ^ sk[y]).view(np.uint64)
+            apart += np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555))
+        ok = (apart <= _most_apart(threshold)) & (rep[x] != rep[y])
+        x, y = x[ok], y[ok]
+        out.append(np.stack([np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y]), np.int64(1) << (node[x] & (_RUN_BITS - 1))]))
+    return out
+
+
+def _level(rows: DataFrame, threshold: float, bucket: int) -> DataFrame:
+    """One level: rows are brought together by node, in one shuffle; nodes of up to `bucket` rows give their alike pairs, larger ones their rows.
+
+    A task streams through its nodes and never holds more than a batch and one node of `bucket` rows.
+    """
+
+    def made(hot: list[np.ndarray], pairs: list[np.ndarray]) -> pa.RecordBatch:
+        nh, np_ = len(hot[0]), len(pairs[0])
+        none_h, none_p = pa.nulls(nh, pa.int64()), pa.nulls(np_, pa.int64())
+        cols = [pa.array(np.arange(nh + np_) < nh)]
+        cols += [pa.concat_arrays([pa.array(h, k), pa.nulls(np_, k)]) for h, k in zip(hot, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()))]
+        cols += [pa.concat_arrays([none_h, pa.array(x, pa.int64())]) for x in pairs]
+        return pa.RecordBatch.from_arrays(cols, ["hot", *_ROW, "a", "b", "bit"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty = [np.empty(0, np.int64)] * len(_ROW)
+        carry, flowing = empty, None  # rows of the last node so far; the node whose rows are already known to be too many
+        for b in batches:
+            cols = [np.concatenate([c, x.to_numpy(zero_copy_only=False)]) for c, x in zip(carry, b.columns)]
+            hot, pairs, rest = done(cols, flowing, False)
+            carry, flowing = rest
+            yield made(hot, pairs)
+        if len(carry[0]):
+            hot, pairs, _ = done(carry, flowing, True)
+            yield made(hot, pairs)
+
+    def done(cols: list[np.ndarray], flowing: int | None, last: bool) -> tuple[list[np.ndarray], list[np.ndarray], tuple]:
+        node = cols[0]
+        edge = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]])) if len(node) else np.empty(0, np.int64)
+        size = np.diff(np.append(edge, len(node)))
+        many = (size > bucket) | (node[edge] == flowing if flowing is not None else np.zeros(len(edge), bool))
+        keep = [np.empty(0, np.int64)] * len(_ROW)
+        after = None
+        if not last and len(edge):
+            if many[-1]:
+                after = int(node[-1])
+            else:
+                keep = [c[edge[-1] :] for c in cols]
+                edge, size, many = edge[:-1], size[:-1], many[:-1]
+        whole = np.zeros(len(node) + 1, np.int32)
+        whole[edge[many]] += 1
+        np.subtract.at(whole, edge[many] + size[many], 1)
+        hot = [c[np.cumsum(whole)[:-1] > 0] for c in cols]
+        pairs = []
+        for k in np.unique(size[~many & (size > 1)]).tolist():
+            pairs += _compared(cols, edge[~many & (size == k)], k, threshold)
+        return hot, [np.concatenate(x) for x in zip(*pairs)] if pairs else [np.empty(0, np.int64)] * 3, (keep, after)
+
+    return rows.select(*_ROW).repartition("node").sortWithinPartitions("node").mapInArrow(run, _LEVEL)
+
+
 def _candidates(reps: DataFrame, runs: int, levels: int, threshold: float, bucket: int, block: int) -> DataFrame:
     """(a, b, mask): pairs that a node brought together and whose sketches are alike; mask has a bit for each run."""
-    value = F.struct("rep", "n", "s1", "s2").alias("v")
-    picks = reps.select("rep", F.posexplode("picks").alias("pos", "pick")).select("rep", (F.col("pos") / levels).cast("int").alias("run"), (F.col("pos") % levels).alias("level"), "pick")
-    first = reps.select(value, F.posexplode("picks").alias("pos", "pick")).where(F.col("pos") % levels == 0)
-    rows = first.select("v", (F.col("pos") / levels).cast("int").alias("run"), F.explode("pick").alias("t")).select("v", "run", F.xxhash64("run", "t").alias("node"))
-    found = []
+
+    def node(path: Column, run: Column) -> Column:
+        return F.xxhash64(path, "t").bitwiseAND(F.lit(-_RUN_BITS)).bitwiseOR(run.cast("long"))
+
+    def chosen(level: int) -> Column:
+        return F.expr(f"transform(sequence(0, {runs - 1}), r -> picks[r * {levels} + {level}])")
+
+    value = ("rep", "n", "s1", "s2")
+    rows = reps.select(*value, F.posexplode(chosen(0)).alias("run", "p")).select(*value, "run", F.explode("p").alias("t"))
+    rows = rows.select(node(F.col("run"), F.col("run")).alias("node"), *value)
+    out = None
     for level in range(levels):
-        sizes = rows.groupBy("run", "node").agg(F.count("*").alias("c")).where("c > 1")
-        few = rows.join(sizes.where(F.col("c") <= bucket), ["run", "node"]).groupBy("run", "node").agg(F.collect_list("v").alias("vs"))
-        few = few.select("run", "vs", F.posexplode("vs").alias("i", "x")).select("run", "x", F.explode(F.expr("slice(vs, i + 2, size(vs))")).alias("y"))
-        found.append(few.select("run", "x", "y"))
-        hot = rows.join(sizes.where(F.col("c") > bucket), ["run", "node"])
+        given = materialize(_level(rows, threshold, bucket), "level")
+        pairs = given.where("not hot").select("a", "b", "bit")
+        out = pairs if out is None else out.unionByName(pairs)
+        hot = given.where("hot").select(*_ROW)
+        if hot.isEmpty():
+            break
         if level == levels - 1:
-            found.append(blocked_pairs(hot, ["run", "node"], "c", "rep", block).select("run", "x", "y"))
+            sizes = hot.groupBy("node").agg(F.count("*").alias("c"))
+            both = blocked_pairs(hot.join(sizes, "node").select("node", "c", F.struct(*value).alias("v")), ["node"], "c", "rep", block).where(_alike(threshold))
+            out = out.unionByName(both.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.expr(f"shiftleft(1L, cast(node & {_RUN_BITS - 1} as int))").alias("bit")))
             break
-        own = picks.where(F.col("level") == level + 1).select(F.col("rep").alias("r2"), F.col("run").alias("run2"), "pick")
-        hot = materialize(hot.select("run", "node", "v"), "nodes")
-        next_rows = hot.join(own, (F.col("v.rep") == F.col("r2")) & (F.col("run") == F.col("run2")))
-        rows = next_rows.select("v", "run", "node", F.explode("pick").alias("t")).select("v", "run", F.xxhash64("node", "t").alias("node"))
-    out = None
-    for f in found:
-        f = f.where(_alike(threshold)).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), F.expr("shiftleft(1L, run)").alias("bit"))
-        out = f if out is None else out.unionByName(f)
+        own = reps.select(F.col("rep").alias("_r"), chosen(level + 1).alias("p"))
+        rows = hot.join(own, F.col("rep") == F.col("_r")).select("node", *value, F.explode(F.get("p", F.col("node").bitwiseAND(F.lit(_RUN_BITS - 1)).cast("int"))).alias("t"))
+        rows = rows.select(node(F.col("node"), F.col("node").bitwiseAND(F.lit(_RUN_BITS - 1))).alias("node"), *value)
     return out.groupBy("a", "b").agg(F.bit_or("bit").alias("mask"))
 
 
+#: Ids of texts to verify that are broadcast; more are joined by a shuffle.
+MOST_BROADCAST_IDS = 2_000_000
+
+
 def _verified(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str, width: int, threshold: float) -> DataFrame:
     """Pairs whose sets have the exact similarity."""
     ids = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-    own = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(ids, "doc", "left_semi")
+    few = ids.limit(MOST_BROADCAST_IDS + 1).count() <= MOST_BROADCAST_IDS
+    own = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(F.broadcast(ids) if few else ids, "doc", "left_semi")
     sets = _sets(own, "doc", "text", width)
     both = pairs.join(sets.select(F.col("doc").alias("a"), F.col("runs").alias("ra")), "a").join(sets.select(F.col("doc").alias("b"), F.col("runs").alias("rb")), "b")
     both = both.withColumn("shared", F.size(F.array_intersect("ra", "rb"))).withColumn("all", F.size("ra") + F.size("rb") - F.col("shared"))
@@ -231,7 +322,8 @@ def near_duplicates(
             members = base.select("doc", "key").distinct().join(base.groupBy("key").agg(F.min("doc").alias("rep")), "key").select("doc", "rep")
         reps = base.groupBy("key").agg(F.min("doc").alias("rep"), *(F.first(c).alias(c) for c in ("n", "s1", "s2", "picks")))
         reps = materialize(reps.drop("key"), "representatives")
-        new = materialize(_verified(_candidates(reps, runs, levels, threshold, bucket, block), df, id_col, text_col, width, threshold), "pairs")
+        found = materialize(_candidates(reps, runs, levels, threshold, bucket, block), "candidates")
+        new = materialize(_verified(found, df, id_col, text_col, width, threshold), "pairs")
         pairs = new if pairs is None else materialize(pairs.unionByName(new.withColumn("mask", F.expr(f"shiftleft(mask, {round_ * runs})"))).groupBy("a", "b").agg(F.bit_or("mask").alias("mask"), F.first("similarity").alias("similarity")), "pairs")
         times = F.bit_count("mask")
         n, once, twice = pairs.agg(F.count("*"), F.coalesce(F.sum((times == 1).cast("int")), F.lit(0)), F.coalesce(F.sum((times == 2).cast("int")), F.lit(0))).first()
