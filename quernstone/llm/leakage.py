@@ -139,13 +139,19 @@ def _leaks(docs: list[str], made: dict, edits: int) -> list[set[int]]:
             keys = np.concatenate([keys, keys - [0, 0, 1]])
         if not len(keys):
             continue
-        keys = keys[np.lexsort(keys.T[::-1])]
+        order = np.lexsort(keys.T[::-1])
+        keys, spots = keys[order], np.tile(place[which], 2 if edits else 1)[order]
         first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
         count = np.diff(np.append(first, len(keys)))
-        keep = first[count >= bounds[keys[first, 1]]]
-        for d, i, b in keys[keep].tolist():
+        keep = count >= bounds[keys[first, 1]]
+        for (d, i, b), k, n in zip(keys[first[keep]].tolist(), first[keep].tolist(), count[keep].tolist()):
             text, of, cut, _ = fields[i]
-            if not found[d].issuperset(of) and _holds(docs[d], b * width - int(starts[d]), text, cut, edits):
+            if found[d].issuperset(of):
+                continue
+            spot = np.unique(spots[k : k + n])
+            shared = np.searchsorted(spot, [e - q + 1 for _, e in cut]) - np.searchsorted(spot, [s for s, _ in cut])
+            enough = [w for w, x in zip(cut, shared.tolist()) if x >= w[1] - w[0] - q + 1 - edits * q]
+            if enough and _holds(docs[d], b * width - int(starts[d]), text, enough, edits):
                 found[d].update(of)
     return found
 
