@@ -7,8 +7,8 @@ last level are compared in blocks that spread over tasks, so nothing is dropped.
 probability 1 - exp(-branch) on a level; `runs` independent runs are made together, and more follow until the estimated share
 of found pairs (from the pairs that one run or two runs found) reaches `recall`.
 
-Pairs of a node are first held against each other by a sketch of 64 two-bit minwise symbols, with a margin of five and a half standard
-deviations, then by the exact similarity of the whole sets. Equal texts are one class; only its least id takes part in the join.
+Pairs of a node are first held against each other by a sketch of 64 two-bit minwise symbols, with a margin of four standard
+deviations (of pairs just at the threshold it passes 9,999 in 10,000), then by the exact similarity of the whole sets. Equal texts are one class; only its least id takes part in the join.
 
 Null and empty texts and those of fewer than `min_words` words take no part. Ids must be unique; repeated ids and texts, empty
 tables and further columns are no problem.
@@ -31,7 +31,7 @@ from quernstone.session import materialize
 WIDTH, THRESHOLD, MIN_WORDS = 5, 0.8, 1
 RUNS, LEVELS, BRANCH, RECALL, MOST_ROUNDS = 3, 3, 3.0, 0.999, 6
 #: Texts of a node that are compared at once, and texts in a block of a node that stays large.
-BUCKET, BLOCK = 128, 256
+BUCKET, BLOCK = 512, 256
 #: Words whose hashes a worker keeps.
 _MOST_WORDS = 500_000
 _KNOWN: dict[str, int] = {}
@@ -186,9 +186,9 @@ _RUN_BITS = 8
 
 
 def _most_apart(threshold: float) -> int:
-    """Differing symbols of two texts at the threshold, five and a half standard deviations above the mean."""
+    """Differing symbols of two texts at the threshold, four standard deviations above the mean."""
     p = (1 - threshold) * 3 / 4
-    return int(_SYMBOLS * p + 5.5 * (_SYMBOLS * p * (1 - p)) ** 0.5)
+    return int(_SYMBOLS * p + 4 * (_SYMBOLS * p * (1 - p)) ** 0.5)
 
 
 def _compared(cols: list[np.ndarray], starts: np.ndarray, size: int, threshold: float) -> list[np.ndarray]:
