@@ -1,10 +1,4 @@
 """All queries of the core, by name, with the SQL that checks them."""
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+from quernstone.plans import chat, corpus, dedup, packing, relational, retrieval  # noqa: F401
+from quernstone.plans.base import ORACLE, QUERIES  # noqa: F401
