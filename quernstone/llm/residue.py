@@ -64,10 +64,21 @@ PHRASES = {
 }
 _PHRASES = {k: re.compile("|".join(f"(?:{x.strip()})" for x in re.split(r"\n\s*\|", v))) for k, v in PHRASES.items()}
 
+#: Words, at least one of which every phrase of a class has, and what every placeholder has: cheap tests before the patterns (fixed values).
+_TRIGGERS = {
+    "script_notice": frozenset("javascript script scripts skripten enable checking".split()),
+    "error_page": frozenset(
+        """error fehler erreur wrong server permission requests client application header headers undefined traceback database clients keyerror typeerror valueerror indexerror attributeerror nameerror runtimeerror
+        syntaxerror unavailable maintenance wartung mantenimiento resource listing nothing session sign page upgraded back denied refusé denegado verweigert gefunden serverfehler minuten minutes introuvable encontró vuelva""".split()
+    ),
+    "filler": frozenset("sample goes description edit copy text catchy ipsum später blindtext platzhaltertext fülltext beispieltext mustertext ersetzt beschreiben votre courte texte faux aquí texto".split()),
+}
+_STATUS = re.compile(r"^[45]\d\d$")
+_MARKS = re.compile(r"[{\[<%@(]|__|undefined|\bnan\b|\bnull\b")
 _CODE = re.compile(r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)|`[^`\n]{1,300}`", re.S)
 _PARAGRAPH = re.compile(r"\n[^\S\n]*\n\s*|\r\n\s*\r\n\s*")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+(?=\S)")
-_TOKEN = re.compile(r"[^\W\d_]+|\d+|[{}\[\]<>%$#@_|/\\:=()]{1,3}")
+_TOKEN = re.compile(r"[^\W\d_]+|\d+|[{}\[\]<>%$#@_|/\\:=()]{1,3}|\n")
 _HASHES: dict[str, int] = {}
 _MOST_HASHES = 400_000
 _MASK = (1 << BITS) - 1
@@ -78,11 +89,11 @@ def label(paragraph: str) -> str | None:
     """The class that the exact phrases give a paragraph without code; the weak label of training and the check of what the classifier finds."""
     low = normalize(paragraph)
     ws = WORD.findall(low.replace("_", " "))
-    joined = " ".join(ws)
+    joined, own = " ".join(ws), set(ws)
     for k in ("script_notice", "error_page", "filler"):
-        if _PHRASES[k].search(joined):
+        if (not own.isdisjoint(_TRIGGERS[k]) or k == "error_page" and any(_STATUS.match(w) for w in own)) and _PHRASES[k].search(joined):
             return k
-    if PLACEHOLDER.search(low):
+    if _MARKS.search(low) and PLACEHOLDER.search(low):
         return "placeholder"
     if len(ws) >= 5 and sum(w in LATIN for w in ws) >= 0.6 * len(ws):
         return "filler"
@@ -114,36 +125,65 @@ def _token_hashes(tokens: list[str]) -> np.ndarray:
         return np.fromiter(map(_HASHES.__getitem__, tokens), np.int64, len(tokens))
 
 
+def _tokens(docs: list[list[tuple[str, str]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(token hashes of all sentences in a row, the sentence of each, hashes of neighbouring pairs, the sentence of each)."""
+    tokens = _TOKEN.findall("\n".join(s for d in docs for s, _ in d).lower())
+    h = _token_hashes(tokens)
+    ends = h == _token_hashes(["\n"])[0]
+    at = np.cumsum(ends)
+    inside = ~ends
+    near = inside[1:] & inside[:-1] if len(h) else inside
+    pair = np.flatnonzero(near)
+    pairs = (h[pair] * 31 + h[pair + 1] * 17 + 7) * 0x9E3779B1 >> 12
+    return h[inside] & _MASK, at[inside], pairs & _MASK, at[pair]
+
+
+def _extras(docs: list[list[tuple[str, str]]], sizes: np.ndarray) -> np.ndarray:
+    """A feature of each sentence's length, of whether it is the first of its text (the title), and of whether it is alone."""
+    first = np.zeros(len(sizes), bool)
+    first[np.cumsum([0, *(len(d) for d in docs[:-1])])[[bool(d) for d in docs]]] = True
+    alone = np.repeat([len(d) == 1 for d in docs], [len(d) for d in docs])
+    return (1000 + np.minimum(np.log2(sizes + 1).astype(np.int64), 9) + 16 * first + 32 * alone) & _MASK
+
+
 def features(docs: list[list[tuple[str, str]]]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of all sentences of some texts in a row, and where each sentence's features start."""
-    flat = [s for d in docs for s, _ in d]
-    if not flat:
+    n = sum(map(len, docs))
+    if not n:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    tokens = [_TOKEN.findall(s.lower()) for s in flat]
-    sizes = np.array([len(t) for t in tokens])
-    h = _token_hashes([t for ts in tokens for t in ts])
-    at = np.repeat(np.arange(len(flat)), sizes)
-    pair = np.flatnonzero(at[1:] == at[:-1])
-    pairs = (h[pair] * 31 + h[pair + 1] * 17 + 7) * 0x9E3779B1 >> 12
-    # length, and whether the sentence is in the title or alone
-    first = np.zeros(len(flat), bool)
-    first[np.cumsum([0, *(len(d) for d in docs[:-1])])[[bool(d) for d in docs]]] = True
-    alone = np.array([len(d) == 1 for d in docs for _ in d])
-    extra = 1000 + np.minimum(np.log2(sizes + 1).astype(np.int64), 9) + 16 * first + 32 * alone
-    where = np.concatenate([at, at[pair], np.arange(len(flat)), np.arange(len(flat))])
-    value = np.concatenate([h & _MASK, pairs & _MASK, extra & _MASK, np.full(len(flat), _BIAS)])
+    h, at, pairs, pair_at = _tokens(docs)
+    extra = _extras(docs, np.bincount(at, minlength=n))
+    where = np.concatenate([at, pair_at, np.arange(n), np.arange(n)])
+    value = np.concatenate([h, pairs, extra, np.full(n, _BIAS)])
     order = np.argsort(where, kind="stable")
-    return value[order], np.searchsorted(where[order], np.arange(len(flat)))
+    return value[order], np.searchsorted(where[order], np.arange(n))
 
 
-def scores(weights: np.ndarray, value: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Probabilities of none and of each class for each sentence."""
-    z = np.add.reduceat(weights[value], start, axis=0)
-    z -= z.max(axis=1, keepdims=True)
+def _softmax(z: np.ndarray) -> np.ndarray:
+    z = z - z.max(axis=1, keepdims=True)
     e = np.exp(z)
     return e / e.sum(axis=1, keepdims=True)
 
 
+def scores(weights: np.ndarray, value: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Probabilities of none and of each class for each sentence."""
+    return _softmax(np.add.reduceat(weights[value], start, axis=0))
+
+
+def probabilities(weights: np.ndarray, docs: list[list[tuple[str, str]]]) -> np.ndarray:
+    """scores() of the features() of some texts, summed without bringing each sentence's features together."""
+    n = sum(map(len, docs))
+    if not n:
+        return np.empty((0, weights.shape[1]))
+    h, at, pairs, pair_at = _tokens(docs)
+    z = weights[_extras(docs, np.bincount(at, minlength=n))] + weights[_BIAS]
+    for value, of in ((h, at), (pairs, pair_at)):
+        if len(of):
+            new = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+            z[of[new]] += np.add.reduceat(weights[value], new, axis=0)
+    return _softmax(z)
+
+
 def train(rows: list[tuple[int, np.ndarray]], penalty: float, epochs: int = EPOCHS, seed: int = 5) -> np.ndarray:
     """Weights of a multinomial logistic regression by mini-batches with per-weight step sizes; rows are (class, features)."""
     w = np.zeros((1 << BITS, len(CLASSES) + 1))
@@ -224,12 +264,11 @@ def find(docs: DataFrame, weights: np.ndarray, *, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
-        for b in pieces(batches, text_col):
+        for b in pieces(batches, text_col, 1_000_000):
             own = [sentences(t) if t else [] for t in texts(b.column(1))]
-            value, start = features(own)
             at, name, score = [], [], []
-            if len(start):
-                p = 1 - scores(w, value, start)[:, 0]
+            if any(own):
+                p = 1 - probabilities(w, own)[:, 0]
                 ends = np.cumsum([len(d) for d in own])
                 found: dict[int, tuple[float, str]] = {}
                 for k in np.flatnonzero(p >= low):
