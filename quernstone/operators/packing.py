@@ -15,7 +15,7 @@ def first_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     size = 1
     while size < max(1, len(lengths)):
         size *= 2
-    free = [0] * (2 * size)
+    free = [-1] * (2 * size)  # below 0: not open yet
     bins: list[list[int]] = []
     for i, n in enumerate(lengths):
         n = min(n, capacity)

@@ -17,7 +17,7 @@ QUERY_BLOCK, MOST_QUERY_BYTES = 4096, 64_000_000
 def top_k(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str, vec: str, k: int, *, same: bool = False) -> DataFrame:
     """(query_id, corpus_id, score, rank): the k best rows of the corpus for every query by cosine, ties by the least corpus id.
 
-    Queries are taken in blocks of bounded size, each a broadcast matrix; a task multiplies it with batches of the corpus and keeps the
+    Ids are integers. Queries are taken in blocks of bounded size, each a broadcast matrix; a task multiplies it with batches of the corpus and keeps the
     k best of its own, so k rows a query and task are shuffled. With `same` a row is not found for the query with its own id. Vectors
     that are null or have no length are left out.
     """
@@ -29,12 +29,14 @@ def top_k(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str,
         q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
         if q.nbytes > MOST_QUERY_BYTES:
             raise ValueError("a block of queries is too large to be broadcast")
-        shared = queries.sparkSession.sparkContext.broadcast((np.array(ids), q))
+        shared = queries.sparkSession.sparkContext.broadcast((np.array(ids, np.int64), q))
         kind = corpus.schema[corpus_id].dataType.simpleString()
         qkind = queries.schema[query_id].dataType.simpleString()
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             qid, m = shared.value
+            if not len(qid):
+                return
             best_s, best_i = np.full((len(qid), 0), -np.inf), np.zeros((len(qid), 0), np.int64)
             for b in batches:
                 own = [(i, v) for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if v is not None and i is not None]

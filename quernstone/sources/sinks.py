@@ -36,7 +36,8 @@ def _written(df: DataFrame, folder: str, write) -> list[tuple]:
 
         part = TaskContext.get().partitionId()
         row = write(batches, folder, part)
-        yield pa.RecordBatch.from_pylist([row])
+        kinds = [("part", pa.int32()), ("path", pa.string()), ("rows", pa.int64()), ("items", pa.int64()), ("checksum", pa.string())]
+        yield pa.RecordBatch.from_pylist([row], schema=pa.schema(kinds))
 
     out = df.mapInArrow(run, "part int, path string, rows long, items long, checksum string").collect()  # one row a task
     return sorted(tuple(r) for r in out)
