@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from quernstone.functions.words import WORD, normalize, pieces, texts
 
 CLASSES = ("placeholder", "filler", "error_page", "script_notice")
-BITS, LOW, EPOCHS, PENALTIES = 16, 0.02, 6, (1e-5, 1e-4)
+BITS, LOW, EPOCHS, PENALTIES = 16, 0.003, 6, (1e-5, 1e-4)
 #: Bounds of the training sample: documents read, and sentences kept of each label.
 SAMPLE_DOCS, SAMPLE_POSITIVE, SAMPLE_NEGATIVE = 20_000, 8_000, 20_000
 
@@ -84,6 +84,35 @@ _MOST_HASHES = 400_000
 _MASK = (1 << BITS) - 1
 _BIAS = 1
 
+# Examples of each class that join every training sample, so that a small corpus without some form doesn't unlearn it.
+SEEDS = {
+    "script_notice": """Please enable JavaScript to view this page.|This app doesn't work properly without JavaScript. Enable it to continue.|Your browser is blocking scripts required by this site. Allow them and reload.|You need to turn on scripts in your browser to use this.
+        |Scripts and cookies must be allowed.|Checking your browser before you open this.|Bitte aktivieren Sie JavaScript, um diese Seite zu nutzen.|Diese Anwendung läuft nur mit eingeschalteten Skripten.|Veuillez activer JavaScript pour afficher cette page.
+        |Ce site ne fonctionne pas si les scripts sont désactivés.|Active JavaScript para ver esta página.|El sitio necesita que los scripts estén habilitados en su navegador.""",
+    "error_page": """404 Not Found The page does not exist on this server.|403 Forbidden. You do not have permission to open this.|Error 500: something went wrong on our side. Try again later.|Too many requests. Your client sent more than 9 calls per minute; wait and retry.|Your session has timed out. Sign in again to continue.
+        |Application error: a client-side exception has occurred. See the console for details.|Warning: cannot modify header information, output started at line 3|Fatal error: call to undefined function f() in a on line 3|Traceback (most recent call last): File a, line 3, in load KeyError: 'x'|Database connection failed: too many clients for x (3).
+        |Service temporarily unavailable (503). We are down for maintenance until 3:00.|The requested resource could not be loaded. Error code 3.|This listing has expired or was removed. Nothing to see under this.|We couldn't find the page you were looking for.|We'll be right back! The site is being upgraded.|Access denied. Request 3.
+        |Fehler 404: Die Seite wurde nicht gefunden.|Interner Serverfehler (500). Bitte versuchen Sie es in 3 Minuten erneut.|Der Dienst ist wegen Wartung bis 3:00 nicht erreichbar.|Zugriff verweigert. Anfrage 3.|Erreur 404 : la page est introuvable.|Erreur interne du serveur (500). Réessayez dans 3 minutes.|Le service est en maintenance jusqu'à 3:00.|Accès refusé. Requête 3.
+        |Error 404: no se encontró la página.|Error interno del servidor (500). Vuelva a intentarlo en 3 minutos.|El servicio está en mantenimiento hasta las 3:00.|Acceso denegado. Solicitud 3.""",
+    "filler": """This is sample text that will be replaced later.|Your headline goes here.|Add a short description of the section in this block.|Click edit to change this paragraph.|Dummy copy for layout only.|Write something catchy about your product.|Hier steht später Ihre Überschrift.|Dies ist ein Blindtext und wird noch ersetzt.|Beschreiben Sie hier kurz den Inhalt.
+        |Votre titre apparaîtra ici.|Ajoutez ici une courte description.|Texte d'exemple pour la mise en page.|Ceci est un faux texte qui sera remplacé.|Aquí va su título.|Texto de muestra solo para el diseño.|Escriba aquí una breve descripción.|Este es un texto de relleno que se sustituirá.
+        |Lorem ipsum dolor sit amet, consectetur adipiscing elit sed magna.|Ut enim minim veniam quis nostrud ullamco laboris nisi aliquip.|Duis aute irure dolor in voluptate velit esse cillum fugiat nulla.|Morbi felis turpis risus mattis ornare augue porta lectus nunc vitae.""",
+    "placeholder": """Hello {{ first_name }}, thank you for your interest.|Welcome to ${city}, the home of ${city}.|This page about <%= author %> was last changed.|All rights to {% block company %} belong to us.|Contact [[reviewer]] if it is missing.|Hello #{price}, welcome.|Dear @@author@@, hello.|Hello %FIRST_NAME%, thank you.|Welcome to %(city)s, the home.|All rights to __AUTHOR__ belong to us.
+        |Welcome to {city}, the home of {city}.|All rights to [YOUR CITY] belong to us.|Contact [Insert reviewer here] now.|Hello <enter first name>, thank you.|All rights to (add company here) belong to us.|Hallo [IHR COMPANY], danke.|Bonjour [VOTRE FIRST NAME], merci.|Bienvenidos a [SU PAGE TITLE], la casa.|Hola [insertar order ref aquí], gracias.|Hello undefined, thank you for your interest.|This page about [object Object] was last changed.|Hello {{#if city}}{{/if}}, thank you.""",
+}
+_SEED_TIMES = 3
+
+
+def seeds() -> list[tuple[int, np.ndarray]]:
+    """(class, features) of the examples."""
+    out = []
+    for c, text in SEEDS.items():
+        docs = [[(" ".join(x.split()),) * 2] for x in text.split("|")]
+        value, start = features(docs)
+        ends = np.append(start[1:], len(value))
+        out += [(CLASSES.index(c) + 1, value[a:b]) for a, b in zip(start, ends)] * _SEED_TIMES
+    return out
+
 
 def label(paragraph: str) -> str | None:
     """The class that the exact phrases give a paragraph without code; the weak label of training and the check of what the classifier finds."""
@@ -245,7 +274,7 @@ def fit(rows: list[tuple[int, str, np.ndarray]]) -> tuple[np.ndarray, dict]:
     known, unseen = [(c, f) for (c, _, f), x in zip(rows, held) if not x], [(c, f) for (c, _, f), x in zip(rows, held) if x]
     best = None
     for penalty in PENALTIES:
-        w = train(known, penalty)
+        w = train(known + seeds() if known else [], penalty)
         right, loss = 0, 0.0
         if unseen:
             p = scores(w, np.concatenate([f for _, f in unseen]), np.concatenate([[0], np.cumsum([len(f) for _, f in unseen])[:-1]]).astype(np.int64))
@@ -253,7 +282,7 @@ def fit(rows: list[tuple[int, str, np.ndarray]]) -> tuple[np.ndarray, dict]:
             right, loss = int((p.argmax(1) == c).sum()), float(-np.log(p[np.arange(len(c)), c] + 1e-9).mean())
         if best is None or loss < best[1]["loss"]:
             best = (w, {"penalty": penalty, "sentences": len(unseen), "right": right / max(1, len(unseen)), "loss": loss})
-    return train([(c, f) for c, _, f in rows], best[1]["penalty"]), best[1]
+    return train([(c, f) for c, _, f in rows] + (seeds() if rows else []), best[1]["penalty"]), best[1]
 
 
 def find(docs: DataFrame, weights: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text", low: float = LOW) -> DataFrame:
