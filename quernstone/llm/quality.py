@@ -42,6 +42,9 @@ _ENTRY = re.compile(r"^\s*(?:[-*•+→·▪◦‣–—>☐☑✓✔]|\(?(?:\d{
 _STOP = re.compile(r"[.!?…。！？:;][\"»”“’')\]*_]*\s*$")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _CELL_TAG = re.compile(r"</?(?:t[drh]|table|thead|tbody)\b", re.I)
+#: Lines between the rows of a drawn table, and what they are drawn with.
+_BORDER = re.compile(r"^\s*(?:[├┌└╔╚╠┼][─━═┼┬┴╪╬├┤┐┘╗╝╣\s]*|\+(?:[-=]+\+)+)\s*$")
+_DRAWN = re.compile(r"[─━═\-=+|:│┃║├┤┌┐└┘┬┴┼╔╗╚╝╠╣\s]+")
 _GAP = re.compile(r"\S {3,}\S")
 _ODD = re.compile("[\\ufffd\\u2500-\\u25ff\\ue000-\\uf8ff]|Ã[\\x80-\\xbf]|â€|Â[\\x80-\\xbf]|ã[\\x80-\\xbf]")
 _SIGNS = re.compile(r"[§¶Þþðæœ±Ÿž¤™€¬¦]")
@@ -53,7 +56,7 @@ def _separator(line: str) -> str | None:
     """What parts the cells of a line, if it can be a row."""
     if "<" in line and _CELL_TAG.search(line):
         return "<"
-    if line.count("|") >= 2:
+    if line.count("|") >= 2 or line.count("│") >= 2 or line.count("║") >= 2 or _BORDER.match(line):
         return "|"
     if "\t" in line.strip():
         return "\t"
@@ -81,7 +84,7 @@ def _sentence_kind(s: str) -> str:
     common = sum(w in FREQUENT for w in ws)
     if common >= max(1, 0.08 * len(ws)) and len(_FLIP.findall(s)) <= 0.4 * len(ws):
         return "prose"
-    if len(_FLIP.findall(s)) > 0.4 * len(ws) and len(ws) > 2 or len(ws) <= 2 and n > 40:
+    if n > 40 and (len(_FLIP.findall(s)) > 0.4 * len(ws) or len(ws) <= 2):
         return "junk"
     if sum(w in LATIN for w in ws) >= 0.4 * len(ws) or not s.isascii() and len(_FOREIGN.findall(s)) > 0.5 * letters:
         return "prose"
@@ -99,8 +102,8 @@ def shares(text: str) -> dict[str, float]:
         while j < len(lines) and seps[j] == seps[i]:
             j += 1
         if seps[i] == "<" or seps[i] == "|" and j - i >= 2 or seps[i] and j - i >= 3:
-            cells = "".join("".join(lines[i:j]).split())
-            if seps[i] == "<" or sum(map(str.isalnum, cells)) >= 0.4 * len(cells):
+            cells = _DRAWN.sub("", "".join(lines[i:j]))
+            if seps[i] == "<" or cells and sum(map(str.isalnum, cells)) >= 0.5 * len(cells):
                 kinds[i:j] = ["table"] * (j - i)
         i = j
     chars = dict.fromkeys(("prose", "list", "table", "junk"), 0)
