@@ -200,3 +200,16 @@ def test_functions(spark):
         T.used_in(F.lit("a, b"), "b").alias("u"), T.is_number(F.lit("-3/4")).alias("n"), T.fill_question(F.lit("Q: {question}!"), F.lit("x")).alias("f"), T.without_quotes(F.lit('"a"')).alias("q"),
     ).first()
     assert (row["size"], row["count"], row["j"], row["u"], row["n"], row["f"], row["q"]) == (int(1.5 * 2**30), "1.5M", '{"a": 1}', True, True, "Q: x!", "a")
+
+
+def test_web(spark):
+    from quernstone.operators import web
+
+    good = "The reviewers of the archive look at the notes that are on the page, and it is not for them to say which of the notes can be kept in the folder or not. " * 2
+    html = f"<html><head><title>x</title></head><body><nav><a href='/'>home</a> <a href='/b'>more links here</a></nav><h1>Report</h1><p>{good}</p><p>Short.</p><p>{good}</p><script>var a;</script></body></html>"
+    assert web.main_text(html).split("\n")[0] == "Report" and "home" not in web.main_text(html) and "var a" not in web.main_text(html)
+    assert web.identify("Der Hund ist nicht auf dem Dach und wir auch nicht")[1] == "de" and web.identify("xyz") == (0.0, None)
+    assert web.repaired("cafÃ©") == "café" and web.repaired("café") == "café" and web.repaired("漢字") == "漢字"
+    assert web.char_f("abc def", "abc def") == 100 and web.char_f("abc", "xyz") == 0
+    df = spark.createDataFrame([(1, None), (2, "")], "id long, t string")
+    assert [r["language"] for r in web.languages(df, "id", "t").collect()] == [None, None]
