@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quernstone.functions.text import cosine
 from quernstone.functions.words import pieces, texts
 from quernstone.operators.components import components
 
@@ -44,23 +43,24 @@ def minhash(df: DataFrame, id_col: str, text_col: str, *, chars: int = 24, bands
         r = np.random.default_rng(seed)
         a, x = r.integers(0, 2**31, k, dtype=np.uint32) * np.uint32(2) + np.uint32(1), r.integers(0, 2**32, k, dtype=np.uint32)
         mix = r.integers(0, 2**63, rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        for b in pieces(batches, text_col):
-            at, out = [], []
-            for i, t in enumerate(texts(b.column(1))):
-                if t is None or len(t) < chars:
-                    continue
-                c = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        for b in pieces(batches, text_col, 300_000):  # small enough for the processor's cache
+            own = [(i, t) for i, t in enumerate(texts(b.column(1))) if t is not None and len(t) >= chars]
+            low = np.empty((k, len(own)), np.uint32)
+            if own:
+                c = np.frombuffer("".join(t for _, t in own).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+                sizes = np.array([len(t) for _, t in own])
                 h = np.zeros(len(c) - chars + 1, np.uint64)
                 for j in range(chars):
                     h = h * np.uint64(1_000_003) + c[j : len(c) - chars + 1 + j]
-                h = np.unique(h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
-                low = np.full(k, 2**32 - 1, np.uint32)
-                for s in range(0, len(h), 1024):
-                    low = np.minimum(low, ((h[None, s : s + 1024] ^ x[:, None]) * a[:, None]).min(axis=1))
-                at.append(i)
-                out.append(((low.reshape(bands, rows).astype(np.uint64) + np.uint64(1)) * mix).sum(axis=1).view(np.int64))
-            ends = np.arange(len(at) + 1, dtype=np.int32) * bands
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(out) if out else np.empty(0, np.int64)))], [id_col, "bands"])
+                # n-grams that reach into the next text are left out
+                left = (np.repeat(np.cumsum(sizes), sizes) - np.arange(len(c)))[: len(h)]
+                h = (h[left >= chars] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
+                starts = np.concatenate([[0], np.cumsum(sizes - chars + 1)[:-1]])
+                for j in range(k):
+                    low[j] = np.minimum.reduceat((h ^ x[j]) * a[j], starts)
+            out = ((low.reshape(bands, rows, len(own)).astype(np.uint64) + np.uint64(1)) * mix[None, :, None]).sum(axis=1).view(np.int64).T
+            ends = np.arange(len(own) + 1, dtype=np.int32) * bands
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([i for i, _ in own], pa.int64())), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(out).ravel()))], [id_col, "bands"])
 
     return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, bands array<long>")
 
@@ -139,13 +139,35 @@ def substring_dedup(df: DataFrame, id_col: str, text_col: str, width: int, keep_
 
 
 def semantic_pairs(df: DataFrame, id_col: str, vec_col: str, cluster_col: str, least: float, block: int = 512) -> DataFrame:
-    """(a, b, similarity): pairs of the same cluster with a cosine above `least`. A cluster is cut into blocks, so a large one spreads over tasks."""
-    sizes = df.groupBy(cluster_col).agg(F.count("*").alias("_c"))
-    rows = df.select(id_col, vec_col, cluster_col).join(sizes, cluster_col).withColumn("_k", F.ceil(F.col("_c") / block).cast("int")).withColumn("_b", F.pmod(F.xxhash64(id_col), F.col("_k")).cast("int"))
-    left = rows.select(F.col(cluster_col).alias("_cl"), F.col(id_col).alias("a"), F.col(vec_col).alias("va"), F.col("_b").alias("_i"), F.explode(F.sequence(F.col("_b"), F.col("_k") - 1)).alias("_j"))
-    right = rows.select(F.col(cluster_col).alias("_cl"), F.col(id_col).alias("b"), F.col(vec_col).alias("vb"), F.col("_b").alias("_j"), F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_i"))
-    both = left.join(right, ["_cl", "_i", "_j"]).where((F.col("_i") < F.col("_j")) | (F.col("a") < F.col("b"))).withColumn("similarity", cosine(F.col("va"), F.col("vb"))).where(F.col("similarity") > least)
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity")
+    """(a, b, similarity): pairs of the same cluster, a < b, with a cosine above `least`.
+
+    A cluster is cut into blocks of about `block` rows, and each pair of blocks is one matrix product, so a large cluster spreads over
+    tasks. Ids are integers; null vectors and those without length have no pairs.
+    """
+    sizes = df.groupBy(cluster_col).agg(F.ceil(F.count("*") / block).cast("int").alias("_k"))
+    rows = df.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.col(vec_col).cast("array<double>").alias("v"), cluster_col).join(sizes, cluster_col)
+    blocks = rows.withColumn("_b", F.pmod(F.xxhash64("i"), F.col("_k")).cast("int")).groupBy(F.col(cluster_col).alias("_cl"), "_k", "_b").agg(F.collect_list("i").alias("ids"), F.flatten(F.collect_list("v")).alias("vs"))
+    left = blocks.select("_cl", F.col("_b").alias("_i"), F.explode(F.sequence(F.col("_b"), F.col("_k") - 1)).alias("_j"), F.col("ids").alias("xi"), F.col("vs").alias("xv"))
+    right = blocks.select("_cl", F.col("_b").alias("_j"), F.col("ids").alias("yi"), F.col("vs").alias("yv"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def unit(ids: np.ndarray, flat: np.ndarray) -> np.ndarray:
+            m = flat.reshape(len(ids), -1)
+            n = np.sqrt((m * m).sum(axis=1, keepdims=True))
+            return np.divide(m, n, out=np.full_like(m, np.nan), where=n > 0)
+
+        for b in batches:
+            for r in range(b.num_rows):
+                same = b.column(0)[r].as_py()
+                xi, xv, yi, yv = (b.column(c)[r].values.to_numpy(zero_copy_only=False) for c in (1, 2, 3, 4))
+                s = unit(xi, xv) @ unit(yi, yv).T
+                with np.errstate(invalid="ignore"):
+                    hit = (s > least) & ((xi[:, None] < yi[None, :]) if same else (xi[:, None] != yi[None, :]))
+                p, q = np.nonzero(hit)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(xi[p], yi[q])), pa.array(np.maximum(xi[p], yi[q])), pa.array(s[p, q])], ["a", "b", "similarity"])
+
+    both = left.join(right, ["_cl", "_j"]).select((F.col("_i") == F.col("_j")).alias("same"), "xi", "xv", "yi", "yv")
+    return both.mapInArrow(run, "a long, b long, similarity double")
 
 
 def kmeans_clusters(df: DataFrame, id_col: str, vec_col: str, k: int, seed: int = 1) -> DataFrame:
