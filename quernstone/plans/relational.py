@@ -70,10 +70,10 @@ def asof_purchases(spark, sf_dir):
     return relational.asof_join(e.where("event_type <> 'purchase'").select("user_id", "ts", "event_id"), r, ["user_id"], "ts", ["last_value"]).select("event_id", "last_value")
 
 
-@query("SELECT event_id, p_partkey FROM events JOIN part ON value >= p_retailprice / 20 AND value < p_retailprice / 20 + 0.5 WHERE event_id % 50 = 0 AND p_partkey % 10 = 0")
+@query("SELECT event_id, p_partkey FROM events JOIN part ON value >= p_retailprice / 20 AND value < p_retailprice / 20 + 0.5")
 def range_join_prices(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where("event_id % 50 = 0").select("event_id", "value")
-    p = table(spark, sf_dir, "part").where("p_partkey % 10 = 0").select("p_partkey", (F.col("p_retailprice") / 20).alias("lo"), (F.col("p_retailprice") / 20 + 0.5).alias("hi"))
+    e = table(spark, sf_dir, "events").select("event_id", "value")
+    p = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_retailprice") / 20).alias("lo"), (F.col("p_retailprice") / 20 + 0.5).alias("hi"))
     return relational.range_join(e, p, "value", "lo", "hi", 1.0).select("event_id", "p_partkey")
 
 
