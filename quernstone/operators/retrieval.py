@@ -12,6 +12,8 @@ from pyspark.sql import Window as W
 
 #: A block of queries is broadcast as one matrix; more queries take more blocks.
 QUERY_BLOCK, MOST_QUERY_BYTES = 4096, 64_000_000
+#: Scores that hard_negatives holds at once.
+SCORE_CELLS = 4_000_000
 
 
 def top_k(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str, vec: str, k: int, *, same: bool = False) -> DataFrame:
@@ -75,11 +77,87 @@ def _kept(s: np.ndarray, i: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]
     return np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
 
 
-def hard_negatives(ranked: DataFrame, positives: DataFrame, query_id: str, doc_id: str, margin: float, n: int) -> DataFrame:
-    """(query_id, doc_id, score, rank): of each query's scored documents the n best that aren't positive and score at most margin times its least positive score."""
-    low = ranked.join(positives, [query_id, doc_id]).groupBy(query_id).agg(F.min("score").alias("_low"))
-    left = ranked.drop("rank").join(positives, [query_id, doc_id], "left_anti").join(low, query_id).where(F.col("score") <= margin * F.col("_low"))
-    return left.withColumn("rank", F.row_number().over(W.partitionBy(query_id).orderBy(F.desc(F.round("score", 9)), doc_id))).where(F.col("rank") <= n).drop("_low")
+def hard_negatives(queries: DataFrame, corpus: DataFrame, positives: DataFrame, query_id: str, doc_id: str, vec: str, margin: float, n: int, *, same: bool = False) -> DataFrame:
+    """(query_id, doc_id, score, rank): of the whole corpus the n best that aren't positive and score at most margin times the query's least positive score.
+
+    Blocks of queries as in top_k. Each document has the list of the block's queries that it is positive for. A first pass over the positives
+    gives each query's least score, one number a query, which goes out with the block; the second, over the corpus, keeps n a query and task. Queries
+    without a positive that has a vector give nothing; vectors that are null or have no length are left out.
+    """
+    spark, (qkind, kind) = queries.sparkSession, (queries.schema[query_id].dataType.simpleString(), corpus.schema[doc_id].dataType.simpleString())
+    pairs = positives.select(query_id, doc_id).distinct()
+    parts = []
+    for ids, vectors in _blocks(queries, query_id, vec):
+        q = np.array(vectors, np.float64)
+        if q.nbytes > MOST_QUERY_BYTES:
+            raise ValueError("a block of queries is too large to be broadcast")
+        length = np.linalg.norm(q, axis=1)
+        qid, q = np.array(ids, np.int64)[length > 0], q[length > 0] / length[length > 0, None]
+        if not len(qid):
+            continue
+        block = F.broadcast(spark.createDataFrame([(int(x),) for x in qid], f"`{query_id}` {qkind}"))
+        of = pairs.join(block, query_id, "left_semi").groupBy(doc_id).agg(F.collect_list(F.col(query_id).cast("long")).alias("_of"))
+        vectors_of = corpus.select(doc_id, vec)
+
+        def least(batches: Iterator[pa.RecordBatch], shared=spark.sparkContext.broadcast((qid, q))) -> Iterator[pa.RecordBatch]:
+            qid, m = shared.value
+            low = np.full(len(qid), np.inf)
+            for _, s, row, col in _scored(batches, qid, m):
+                np.minimum.at(low, row, s[row, col])
+            ok = np.isfinite(low)
+            yield pa.RecordBatch.from_arrays([pa.array(qid[ok]), pa.array(low[ok])], ["q", "low"])
+
+        lows = vectors_of.join(of, doc_id).mapInArrow(least, "q long, low double").groupBy("q").agg(F.min("low").alias("low"))
+        low = dict.fromkeys(qid.tolist(), np.nan) | {r["q"]: r["low"] for r in lows.collect()}
+        most = margin * np.array([low[x] for x in qid.tolist()])
+
+        def run(batches: Iterator[pa.RecordBatch], shared=spark.sparkContext.broadcast((qid, q, most))) -> Iterator[pa.RecordBatch]:
+            qid, m, most = shared.value
+            best_s, best_i = np.full((len(qid), 0), -np.inf), np.zeros((len(qid), 0), np.int64)
+            for i, s, row, col in _scored(batches, qid, m):
+                s[~(s <= most[:, None])] = -np.inf
+                s[row, col] = -np.inf
+                if same:
+                    s[qid[:, None] == i[None, :]] = -np.inf
+                best_s, best_i = _kept(np.concatenate([best_s, s], 1), np.concatenate([best_i, np.broadcast_to(i, s.shape)], 1), n)
+            ok = np.isfinite(best_s)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qid, best_s.shape[1])[ok.ravel()]), pa.array(best_i[ok]), pa.array(best_s[ok])], [query_id, doc_id, "score"])
+
+        parts.append(vectors_of.join(of, doc_id, "left").mapInArrow(run, f"`{query_id}` long, `{doc_id}` long, score double"))
+    found = parts[0] if parts else spark.createDataFrame([], f"`{query_id}` long, `{doc_id}` long, score double")
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    found = found.select(F.col(query_id).cast(qkind).alias(query_id), F.col(doc_id).cast(kind).alias(doc_id), "score")
+    return found.withColumn("rank", F.row_number().over(W.partitionBy(query_id).orderBy(F.desc(F.round("score", 9)), doc_id))).where(F.col("rank") <= n)
+
+
+def _blocks(queries: DataFrame, query_id: str, vec: str) -> Iterator[tuple[list, list]]:
+    """(ids, vectors) of at most QUERY_BLOCK queries each, by rising id."""
+    ids, vectors = [], []
+    for r in queries.select(query_id, vec).where(F.col(vec).isNotNull() & F.col(query_id).isNotNull()).orderBy(query_id).toLocalIterator():
+        ids.append(r[0])
+        vectors.append(r[1])
+        if len(ids) == QUERY_BLOCK:
+            yield ids, vectors
+            ids, vectors = [], []
+    if ids:
+        yield ids, vectors
+
+
+def _scored(batches: Iterator[pa.RecordBatch], qid: np.ndarray, m: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of (id, vector, positive for) rows: ids, scores for every query, and the places (query, document) of the positive pairs; in pieces of bounded size."""
+    step = max(1, SCORE_CELLS // len(qid))
+    for b in batches:
+        for at in range(0, b.num_rows, step):
+            own = [x for x in zip(*(c.to_pylist() for c in b.slice(at, step).columns)) if x[0] is not None and x[1] is not None]
+            if not own:
+                continue
+            c = np.array([v for _, v, _ in own], np.float64)
+            length = np.linalg.norm(c, axis=1)
+            own = [x for x, ok in zip(own, length > 0) if ok]
+            of = [np.array(x[2] or [], np.int64) for x in own]
+            row = np.searchsorted(qid, np.concatenate(of)) if of else np.zeros(0, np.int64)
+            yield np.array([x[0] for x in own], np.int64), m @ (c[length > 0] / length[length > 0, None]).T, row, np.repeat(np.arange(len(own)), [len(x) for x in of])
 
 
 def ranking_metrics(ranked: DataFrame, qrels: DataFrame, query_id: str, doc_id: str, ks: tuple[int, ...] = (1, 5, 10)) -> DataFrame:

@@ -35,11 +35,13 @@ def vector_top_k(spark, sf_dir):
 
 @query(
     _RANKED
-    + """, l AS (SELECT query_id, min(score) AS low FROM r WHERE rank <= 50 AND ql = cl GROUP BY 1), n AS (SELECT r.query_id, doc_id, score, row_number() OVER (PARTITION BY r.query_id ORDER BY round(score, 9) DESC, doc_id) AS nr FROM r JOIN l USING (query_id) WHERE rank <= 50 AND ql <> cl AND score <= 0.95 * low)
+    + """, l AS (SELECT query_id, min(score) AS low FROM r WHERE ql = cl GROUP BY 1), n AS (SELECT r.query_id, doc_id, score, row_number() OVER (PARTITION BY r.query_id ORDER BY round(score, 9) DESC, doc_id) AS nr FROM r JOIN l USING (query_id) WHERE ql <> cl AND score <= 0.95 * low)
 SELECT query_id, doc_id, round(score, 6) AS score, CAST(nr AS INTEGER) AS rank FROM n WHERE nr <= 5"""
 )
 def hard_negatives(spark, sf_dir):
-    out = retrieval.hard_negatives(ranked(spark, sf_dir, 50), relevant(spark, sf_dir), "query_id", "doc_id", 0.95, 5)
+    e = table(spark, sf_dir, "embeddings")
+    q, c = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), e.select(F.col("vec_id").alias("doc_id"), "embedding")
+    out = retrieval.hard_negatives(q, c, relevant(spark, sf_dir), "query_id", "doc_id", "embedding", 0.95, 5, same=True)
     return out.select("query_id", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 

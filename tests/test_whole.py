@@ -1,7 +1,9 @@
 """Queries that take all rows of their tables: against brute force over the whole tables, with cases that a cut would lose."""
 
+import numpy as np
 import pyarrow.parquet as pq
 
+from quernstone.operators import retrieval
 from quernstone.plans import registry
 
 
@@ -11,3 +13,24 @@ def test_range_join_takes_all_events_and_parts(spark, sf):
     want = sorted((e["event_id"], k) for e in events if e["value"] is not None for k, lo in prices if lo <= e["value"] < lo + 0.5)
     got = sorted(tuple(r) for r in registry.QUERIES["range_join_prices"](spark, sf).select("event_id", "p_partkey").collect())
     assert got == want and any(e % 50 for e, _ in got) and any(k % 10 for _, k in got)
+
+
+def test_hard_negatives_look_below_any_rank(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(retrieval, "SCORE_CELLS", 50)
+    r = np.random.default_rng(5)
+    v = np.abs(r.normal(size=(200, 8)))
+    positives = {0: [1, 2], 1: [0], 2: [int((v @ v[2] / np.linalg.norm(v, axis=1)).argmin())], 3: [190, 191, 192, 193]}
+    rows = [(i, x) for i, x in enumerate(v.tolist())] + [(200, None), (201, [0.0] * 8)]
+    e = spark.createDataFrame(rows, "d long, v array<double>").repartition(3)
+    q = spark.createDataFrame([(i, rows[i][1]) for i in range(5)], "q long, v array<double>")
+    p = spark.createDataFrame([(k, d) for k, of in positives.items() for d in [*of, of[0], 200]], "q long, d long")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    want = []
+    for k, of in positives.items():
+        s = u @ u[k]
+        ok = [i for i in range(200) if i != k and i not in of and s[i] <= 0.99 * s[of].min()]
+        want += [(k, i, n) for n, i in enumerate(sorted(ok, key=lambda i: (-round(s[i], 9), i))[:4], 1)]
+    out = retrieval.hard_negatives(q, e, p, "q", "d", "v", 0.99, 4, same=True)
+    assert sorted((x["q"], x["d"], x["rank"]) for x in out.collect()) == sorted(want) and len(want) > 8
+    assert retrieval.hard_negatives(q.limit(0), e, p, "q", "d", "v", 0.99, 4).count() == 0
