@@ -78,17 +78,18 @@ def index(items: list[tuple[int, str | None]], span: int, least: int, edits: int
     return {"fields": fields, "grams": grams}
 
 
-def aligned(pattern: str, region: str, k: int) -> int | None:
+def aligned(pattern: str, region: str, k: int, before: str = " ") -> int | None:
     """The least number of edits, if at most k, between the pattern and some part of the region that starts and ends at word ends.
 
-    The region starts k or fewer characters before the pattern's diagonal; cells further than 2 k + 1 from it are left out.
+    The region starts k or fewer characters before the band's first diagonal; `before` is the character before it. Of the bands that hold a window's
+    q-grams, whose diagonals span at most k, one has the first of them in its lower half of k + 1; the true start is at most k from each, so at most
+    3 k into the region, and a path stays within k of its start. Other cells are left out.
     """
     far = k + 1
-    starts = {i for i, c in enumerate(region) if i == 0 or region[i - 1] == " "}
-    row = {j: 0 for j in starts if j <= 2 * k + 1}
+    row = {j: 0 for j in range(min(len(region), 3 * k + 1)) if (region[j - 1] if j else before) == " "}
     for i, c in enumerate(pattern, 1):
         new: dict[int, int] = {}
-        for j in range(max(0, i - far), min(len(region), i + 3 * k + 1) + 1):
+        for j in range(max(0, i - far), min(len(region), i + 4 * k) + 1):
             best = row.get(j, far) + 1
             if j:
                 best = min(best, new.get(j - 1, far) + 1, row.get(j - 1, far) + (region[j - 1] != c))
@@ -163,8 +164,8 @@ def _holds(doc: str, origin: int, text: str, cut: list[tuple[int, int]], edits:
             if origin + s >= 1 and doc[origin + s - 1 : origin + e + 1] == f" {text[s:e]} ":
                 return True
         else:
-            lo = max(0, origin + s - edits)
-            if aligned(text[s:e], doc[lo : origin + e + 3 * edits + 2], edits) is not None:
+            lo = max(1, origin + s - edits)  # without the document's outer blanks
+            if aligned(text[s:e], doc[lo : min(len(doc) - 1, lo + e - s + 4 * edits + 1)], edits, doc[lo - 1]) is not None:
                 return True
     return False
 
