@@ -40,8 +40,8 @@ def used_in(c: Column, name: str) -> Column:
 
 
 def without_markdown(c: Column) -> Column:
-    """Markdown marks taken off: code fences, headings, emphasis, links, images, quotes and list marks."""
-    for pattern, new in ((r"```[a-z]*\n?", ""), (r"(?m)^#{1,6} +", ""), (r"!\[([^\]]*)\]\([^)]*\)", "$1"), (r"\[([^\]]*)\]\([^)]*\)", "$1"), (r"\*\*([^*\n]+)\*\*", "$1"), (r"\*([^*\n]+)\*", "$1"), (r"`([^`\n]*)`", "$1"), (r"(?m)^> ?", ""), (r"(?m)^[-*+] +", "")):
+    """Markdown marks taken off: code fences, headings, emphasis, links, images, quotes and list marks. Lines end with \\n alone; \\r is a character of the line."""
+    for pattern, new in ((r"```[a-z]*\n?", ""), (r"(?dm)^#{1,6} +", ""), (r"!\[([^\]]*)\]\([^)]*\)", "$1"), (r"\[([^\]]*)\]\([^)]*\)", "$1"), (r"\*\*([^*\n]+)\*\*", "$1"), (r"\*([^*\n]+)\*", "$1"), (r"`([^`\n]*)`", "$1"), (r"(?dm)^> ?", ""), (r"(?dm)^[-*+] +", "")):
         c = F.regexp_replace(c, pattern, new)
     return c
 

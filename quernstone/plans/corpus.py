@@ -154,10 +154,10 @@ def text_modifiers(spark, sf_dir):
 
 
 @query(
-    r"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '```[a-z]*\n?', '', 'g'), '(?m)^#{1,6} +', '', 'g'), '!\[([^\]]*)\]\([^)]*\)', '\1', 'g'), '\[([^\]]*)\]\([^)]*\)', '\1', 'g'), '\*\*([^*\n]+)\*\*', '\1', 'g'), '\*([^*\n]+)\*', '\1', 'g'), '`([^`\n]*)`', '\1', 'g'), '(?m)^> ?', '', 'g'), '(?m)^[-*+] +', '', 'g') AS plain FROM documents WHERE text IS NOT NULL AND text NOT LIKE '%' || chr(13) || '%'"""
+    r"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '```[a-z]*\n?', '', 'g'), '(?m)^#{1,6} +', '', 'g'), '!\[([^\]]*)\]\([^)]*\)', '\1', 'g'), '\[([^\]]*)\]\([^)]*\)', '\1', 'g'), '\*\*([^*\n]+)\*\*', '\1', 'g'), '\*([^*\n]+)\*', '\1', 'g'), '`([^`\n]*)`', '\1', 'g'), '(?m)^> ?', '', 'g'), '(?m)^[-*+] +', '', 'g') AS plain FROM documents WHERE text IS NOT NULL"""
 )
 def markdown_removal(spark, sf_dir):
-    return docs(spark, sf_dir).where("text is not null and not contains(text, '\\r')").select("doc_id", T.without_markdown(F.col("text")).alias("plain"))
+    return docs(spark, sf_dir).where("text is not null").select("doc_id", T.without_markdown(F.col("text")).alias("plain"))
 
 
 _B = _H.format("CAST(doc_id AS VARCHAR) || ':42'") + " % 10000"

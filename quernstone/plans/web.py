@@ -79,9 +79,9 @@ def head_holdout(spark, sf_dir):
     return blending.head_holdout(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 200).select("o_orderkey", "split")
 
 
-@query("SELECT item_id, CAST(item_id * 1.5 AS DOUBLE) AS x1, 'Title' AS kind, question AS content FROM eval_items WHERE question IS NOT NULL AND question NOT LIKE '%<%'")
+@query("SELECT item_id, CAST(item_id * 1.5 AS DOUBLE) AS x1, 'Title' AS kind, question AS content FROM eval_items WHERE question IS NOT NULL")
 def page_elements(spark, sf_dir):
-    e = table(spark, sf_dir, "eval_items").where("question is not null and not contains(question, '<')")
+    e = table(spark, sf_dir, "eval_items").where("question is not null")
     raw = F.concat(F.lit("<x_"), F.format_string("%.1f", F.col("item_id") * 1.5), F.lit("><y_0.1>"), "question", F.lit("<x_0.9><y_0.2><class_Title>"))
     out = e.select("item_id", F.explode(segments.elements(raw)).alias("e"))
     return out.select("item_id", F.col("e.x1").alias("x1"), F.col("e.class").alias("kind"), F.col("e.text").alias("content"))

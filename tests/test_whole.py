@@ -34,3 +34,21 @@ def test_hard_negatives_look_below_any_rank(spark, monkeypatch):
     out = retrieval.hard_negatives(q, e, p, "q", "d", "v", 0.99, 4, same=True)
     assert sorted((x["q"], x["d"], x["rank"]) for x in out.collect()) == sorted(want) and len(want) > 8
     assert retrieval.hard_negatives(q.limit(0), e, p, "q", "d", "v", 0.99, 4).count() == 0
+
+
+def test_markdown_of_texts_with_any_line_end(spark, tmp_path):
+    import duckdb
+
+    text = "# a\r\n> b\r\n- c\r# d\r> e\u2028* f\x85# g\n# h\r"
+    spark.createDataFrame([(1, text), (2, "## plain"), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["plain"] for r in registry.QUERIES["markdown_removal"](spark, str(tmp_path)).collect()}
+    assert got == {1: "a\r\nb\r\nc\r# d\r> e\u2028* f\x85# g\nh\r", 2: "plain"}
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert {r[0]: r[1] for r in c.execute(registry.ORACLE["markdown_removal"]).fetchall()} == got
+
+
+def test_page_elements_of_questions_with_angle_brackets(spark, tmp_path):
+    spark.createDataFrame([(1, "is a < b > c?"), (2, "<p>x</p>"), (3, None)], "item_id long, question string").write.parquet(f"{tmp_path}/eval_items.parquet")
+    got = {r["item_id"]: r["content"] for r in registry.QUERIES["page_elements"](spark, str(tmp_path)).collect()}
+    assert got == {1: "is a < b > c?", 2: "<p>x</p>"}
