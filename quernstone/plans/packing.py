@@ -19,12 +19,12 @@ def sequences(spark, sf_dir):
     return s.dropDuplicates(["seq_id"]).withColumn("n", F.size("input_ids"))
 
 
-@query(
-    f"""WITH RECURSIVE s AS (SELECT dataset, shard_index, seq_id, least(n, 1024) AS n, row_number() OVER (PARTITION BY dataset, shard_index ORDER BY seq_id) AS r FROM ({_SEQ})),
+_NEXT_FIT = f"""WITH RECURSIVE s AS (SELECT dataset, shard_index, seq_id, least(n, 1024) AS n, row_number() OVER (PARTITION BY dataset, shard_index ORDER BY seq_id) AS r FROM ({_SEQ})),
 b AS (SELECT dataset, shard_index, seq_id, r, n AS used, 0 AS bin FROM s WHERE r = 1
-UNION ALL SELECT s.dataset, s.shard_index, s.seq_id, s.r, CASE WHEN used + s.n > 1024 THEN s.n ELSE used + s.n END, CASE WHEN used + s.n > 1024 THEN bin + 1 ELSE bin END FROM b JOIN s ON s.dataset = b.dataset AND s.shard_index = b.shard_index AND s.r = b.r + 1)
-SELECT dataset, shard_index, seq_id, CAST(bin AS BIGINT) AS bin FROM b"""
-)
+UNION ALL SELECT s.dataset, s.shard_index, s.seq_id, s.r, CASE WHEN used + s.n > 1024 THEN s.n ELSE used + s.n END, CASE WHEN used + s.n > 1024 THEN bin + 1 ELSE bin END FROM b JOIN s ON s.dataset = b.dataset AND s.shard_index = b.shard_index AND s.r = b.r + 1)"""
+
+
+@query(_NEXT_FIT + " SELECT dataset, shard_index, seq_id, CAST(bin AS BIGINT) AS bin FROM b")
 def next_fit_packing(spark, sf_dir):
     return packing.next_fit_fold(sequences(spark, sf_dir), ["dataset", "shard_index"], "seq_id", "n", 1024).select("dataset", "shard_index", "seq_id", "bin")
 
@@ -47,12 +47,14 @@ def packing_efficiency(spark, sf_dir):
 
 
 @query(
-    f"""WITH s AS (SELECT *, seq_id // 8 AS bin FROM ({_SEQ})), c AS (SELECT dataset, shard_index, bin, seq_id, list_slice(input_ids, 1, 1024) AS i, list_slice(coalesce(loss_mask, list_transform(input_ids, lambda x: 1)), 1, 1024) AS m FROM s),
+    f"""{_NEXT_FIT}, c AS (SELECT dataset, shard_index, CAST(bin AS BIGINT) AS bin, seq_id, list_slice(input_ids, 1, 1024) AS i, list_slice(coalesce(loss_mask, list_transform(input_ids, lambda x: 1)), 1, 1024) AS m FROM ({_SEQ}) JOIN (SELECT seq_id, bin FROM b) USING (seq_id)),
 f AS (SELECT dataset, shard_index, bin, list_slice(flatten(list(i ORDER BY seq_id)), 1, 1024) AS ids, list_slice(flatten(list(list_append(list_slice(m, 2, len(m)), 0) ORDER BY seq_id)), 1, 1024) AS mask, list(len(i) ORDER BY seq_id) AS lens FROM c GROUP BY ALL)
 SELECT dataset, shard_index, bin, md5(array_to_string(ids, ',')) AS ids, md5(array_to_string(mask, ',')) AS mask, array_to_string(list_filter(list_transform(range(0, len(lens)), lambda k: coalesce(list_sum(list_slice(lens, 1, k)), 0)::BIGINT), lambda p: p < 1024), ',') AS starts FROM f"""
 )
 def materialized_packs(spark, sf_dir):
-    items = sequences(spark, sf_dir).withColumn("bin", F.expr("seq_id div 8"))
+    s = sequences(spark, sf_dir)
+    bins = packing.next_fit_fold(s, ["dataset", "shard_index"], "seq_id", "n", 1024)
+    items = s.join(bins.select("seq_id", "bin"), "seq_id")
     out = packing.materialize_bins(items, ["dataset", "shard_index", "bin"], "seq_id", "input_ids", "loss_mask", 1024)
     joined = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
     return out.select("dataset", "shard_index", "bin", F.md5(joined("input_ids")).alias("ids"), F.md5(joined("loss_mask")).alias("mask"), joined("seq_start_id").alias("starts"))

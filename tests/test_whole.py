@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow.parquet as pq
 
-from quernstone.operators import retrieval
+from quernstone.operators import packing, retrieval
 from quernstone.plans import registry
 
 
@@ -52,3 +52,18 @@ def test_page_elements_of_questions_with_angle_brackets(spark, tmp_path):
     spark.createDataFrame([(1, "is a < b > c?"), (2, "<p>x</p>"), (3, None)], "item_id long, question string").write.parquet(f"{tmp_path}/eval_items.parquet")
     got = {r["item_id"]: r["content"] for r in registry.QUERIES["page_elements"](spark, str(tmp_path)).collect()}
     assert got == {1: "is a < b > c?", 2: "<p>x</p>"}
+
+
+def test_packs_cut_only_items_longer_than_the_capacity(spark, tmp_path):
+    import hashlib
+
+    r = np.random.default_rng(4)
+    rows = [(i, "d", int(i % 2), r.integers(0, 999, n).tolist(), None) for i, n in enumerate([1500, 1024, 1, *r.integers(1, 700, 60).tolist()])]
+    spark.createDataFrame(rows, "seq_id long, dataset string, shard_index int, input_ids array<int>, loss_mask array<int>").write.parquet(f"{tmp_path}/token_sequences.parquet")
+    got = registry.QUERIES["materialized_packs"](spark, str(tmp_path)).orderBy("shard_index", "bin").collect()
+    want = []
+    for shard in (0, 1):
+        lists = [x[3][:1024] for x in rows if x[2] == shard]
+        bins = packing.next_fit([len(x) for x in lists], 1024)
+        want += [(shard, b, hashlib.md5(",".join(str(t) for i in items for t in lists[i]).encode()).hexdigest(), len(items)) for b, items in enumerate(bins)]
+    assert [(x["shard_index"], x["bin"], x["ids"], len(x["starts"].split(","))) for x in got] == want
