@@ -10,12 +10,12 @@ from quernstone.plans.base import query
 from quernstone.plans.corpus import docs
 from quernstone.session import table
 
-_STRIP = r"trim(regexp_replace(regexp_replace(text, '<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g'), ' ')"
+_STRIP = r"trim(regexp_replace(regexp_replace(regexp_replace(text, '(?is)<script\b.*?</script>|<style\b.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g'), ' ')"
 
 
-@query(f"SELECT doc_id, {_STRIP} AS plain FROM documents WHERE text LIKE '%<t%'")
+@query(f"SELECT doc_id, {_STRIP} AS plain FROM documents WHERE text IS NOT NULL")
 def tag_stripping(spark, sf_dir):
-    return docs(spark, sf_dir).where(F.col("text").contains("<t")).select("doc_id", web.strip_tags(F.col("text")).alias("plain"))
+    return docs(spark, sf_dir).where("text is not null").select("doc_id", web.strip_tags(F.col("text")).alias("plain"))
 
 
 @query()

@@ -67,3 +67,15 @@ def test_packs_cut_only_items_longer_than_the_capacity(spark, tmp_path):
         bins = packing.next_fit([len(x) for x in lists], 1024)
         want += [(shard, b, hashlib.md5(",".join(str(t) for i in items for t in lists[i]).encode()).hexdigest(), len(items)) for b, items in enumerate(bins)]
     assert [(x["shard_index"], x["bin"], x["ids"], len(x["starts"].split(","))) for x in got] == want
+
+
+def test_tags_of_any_kind_are_stripped(spark, tmp_path):
+    import duckdb
+
+    texts = ["<p>a <b>b</b></p>\n<br>c", "x<SCRIPT type='m'>if (a < b) {}\n</Script>y<style>p {}</style>z", "<script>a<style></script>b</style>c", "<styled>d</styled>", "no tag", "  1 < 2 ", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["plain"] for r in registry.QUERIES["tag_stripping"](spark, str(tmp_path)).collect()}
+    assert got == {0: "a b c", 1: "x y z", 2: "b c", 3: "d", 4: "no tag", 5: "1 < 2", 6: ""}
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert {r[0]: r[1] for r in c.execute(registry.ORACLE["tag_stripping"]).fetchall()} == got
