@@ -208,9 +208,9 @@ def head_per_source(spark, sf_dir):
     return d.withColumn("r", F.row_number().over(W.partitionBy("source").orderBy("doc_id"))).where("r <= 3").select("source", "doc_id")
 
 
-@query("SELECT doc_id, octet_length(encode(text)) AS bytes, length(text) AS chars, sha256(text) AS sha, base64(encode(substr(text, 1, 30))) AS b64 FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, octet_length(encode(text)) AS bytes, length(text) AS chars, sha256(text) AS sha, base64(encode(text)) AS b64 FROM documents WHERE text IS NOT NULL")
 def hash_functions(spark, sf_dir):
-    return docs(spark, sf_dir).where("text is not null").select("doc_id", F.octet_length("text").cast("long").alias("bytes"), F.length("text").cast("long").alias("chars"), F.sha2("text", 256).alias("sha"), F.translate(F.base64(F.encode(F.substring("text", 1, 30), "UTF-8")), "\r\n", "").alias("b64"))
+    return docs(spark, sf_dir).where("text is not null").select("doc_id", F.octet_length("text").cast("long").alias("bytes"), F.length("text").cast("long").alias("chars"), F.sha2("text", 256).alias("sha"), F.translate(F.base64(F.encode("text", "UTF-8")), "\r\n", "").alias("b64"))
 
 
 @query("SELECT doc_id, regexp_extract(url, '^https?://([^/]+)', 1) AS host, regexp_extract(url, '([^/]*)$', 1) AS base FROM documents WHERE url IS NOT NULL")

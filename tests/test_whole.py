@@ -79,3 +79,12 @@ def test_tags_of_any_kind_are_stripped(spark, tmp_path):
     c = duckdb.connect()
     c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert {r[0]: r[1] for r in c.execute(registry.ORACLE["tag_stripping"]).fetchall()} == got
+
+
+def test_base64_holds_the_whole_text(spark, tmp_path):
+    import base64
+
+    texts = ["", "short", "ü€ " * 100, "line\r\n" * 40]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["b64"] for r in registry.QUERIES["hash_functions"](spark, str(tmp_path)).collect()}
+    assert {k: base64.b64decode(v, validate=True).decode() for k, v in got.items()} == dict(enumerate(texts))
