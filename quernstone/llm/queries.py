@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from quernstone.llm import binpack, bpe, leakage, mixing, neardup, pairs, quality, residue
 from quernstone.session import table
 
+_LOG = logging.getLogger(__name__)
+
 #: What TESTDATA.md states for problem 2.
 P2 = {"width": 3, "threshold": 0.6, "min_words": 50}
 
@@ -111,8 +114,9 @@ def p7_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _residue(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    weights, _ = residue.fit(residue.sample(docs, "doc_id", "text", "source_id"))
-    return residue.find(docs, weights)
+    weights, cutoff, report = residue.fit(residue.sample(docs, "doc_id", "text", "source_id"))
+    _LOG.info("p8 on unseen hosts: %s", report)
+    return residue.find(docs, weights, cutoff)
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:

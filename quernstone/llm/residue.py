@@ -1,10 +1,11 @@
 """Template residue, filler, error pages and script notices (problem 8).
 
-A text is cut into sentences; each has hashed features: its tokens, pairs of neighbouring tokens, its length, the status codes in it, and the
-words of the text's title. A multinomial logistic regression with an L2 penalty is fitted on a bounded sample of documents, labelled by
-phrases and response statuses; the penalty is the one that does best on the hosts that were held out. The classifier scores every
-sentence of every text; what it scores above `low` is then held against the exact phrases, so a text that only explains
-such a thing is not a case. Code blocks and back-quoted parts are left out first.
+A text is cut into sentences; each has hashed features: its tokens, pairs of neighbouring tokens, the shape of tokens around signs, its
+length, its place, the status codes in it, and, in the first sentence, the words of the text's title. A multinomial logistic regression
+with an L2 penalty is fitted on a bounded sample of documents, whose sentences are labelled weakly, by phrases and response statuses;
+penalty and cutoff are those that do best on the hosts that were held out. The classifier alone decides: it scores every sentence of every
+text, and the text takes the class of its highest score if that reaches the cutoff. No phrase is looked at then. Code blocks and
+back-quoted parts are left out first, since a text that shows such a thing there only explains it.
 
 Null and empty texts give nothing; texts of any length are read whole; repeated rows each give their row; an empty table gives an empty result.
 """
@@ -21,11 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions.words import WORD, normalize, pieces, texts
+from quernstone.session import materialize
 
 CLASSES = ("placeholder", "filler", "error_page", "script_notice")
-BITS, LOW, EPOCHS, PENALTIES = 16, 0.003, 6, (1e-5, 1e-4)
-#: Bounds of the training sample: documents read, and sentences kept of each label.
-SAMPLE_DOCS, SAMPLE_POSITIVE, SAMPLE_NEGATIVE = 20_000, 8_000, 20_000
+BITS, EPOCHS, PENALTIES = 18, 6, (1e-6, 1e-5, 1e-4)
+#: Probabilities of any residue from which a text may be a case; the middle one is taken where nothing was held out.
+CUTOFFS = (0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
+#: Bounds of the training sample: documents read, and sentences kept of each kind (labelled, like them, others).
+SAMPLE_DOCS, SAMPLE_POSITIVE, SAMPLE_NEAR, SAMPLE_OTHER = 20_000, 8_000, 12_000, 12_000
 
 # Filler words.
 LATIN = frozenset(
@@ -53,7 +57,7 @@ PHRASES = {
         |necesita que los scripts estén habilitados|no funciona (?:correctamente )?sin javascript|scripts (?:y las cookies )?deben estar""",
     "error_page": r"""(?:error|fehler|erreur) [1-5]\d\d (?:something went wrong|die seite|la page|no se encontró|seite nicht|page introuvable|página no|not found|forbidden|internal)|something went wrong on our side
         |\b40[0-9] (?:not found|forbidden|unauthorized|bad request|gone|nicht gefunden|page introuvable|no encontrad[oa])|\b50[0-9] (?:internal server error|bad gateway|service unavailable|gateway timeout)
-        |does not exist on this server|do not have permission to (?:open|access|view)|too many requests your client|your client sent more than|application error a client side exception|client side exception has occurred
+        |gateway time ?out|upstream (?:\w+ ){0,3}(?:did not (?:answer|respond)|timed out)|does not exist on this server|do not have permission to (?:open|access|view)|too many requests your client|your client sent more than|application error a client side exception|client side exception has occurred
         |cannot modify header information|headers already sent|call to undefined function|traceback most recent call last|database connection failed|too many clients for|could not connect to (?:the )?database|(?:key|type|value|index|attribute|name|runtime|syntax)error (?:\w+ )?(?:in|at|not)\b
         |(?:service )?temporarily unavailable|down for maintenance until|requested resource could not be loaded|listing has expired or was removed|nothing to (?:see|show|find|display) (?:under|here|at)|session has (?:timed out|expired)|sign in again to continue
         |couldn t find the page you were looking|could not find the page you|page you (?:are looking for|requested) (?:does not|could not|cannot|was not)|we ll be right back|is being upgraded|^(?:.{0,60} )?(?:access denied|accès refusé|acceso denegado|zugriff verweigert) (?:request|requête|solicitud|anfrage|vorgang|reference|incident)
@@ -68,20 +72,28 @@ _PHRASES = {k: re.compile("|".join(f"(?:{x.strip()})" for x in re.split(r"\n\s*\
 _TRIGGERS = {
     "script_notice": frozenset("javascript script scripts skripten enable checking".split()),
     "error_page": frozenset(
-        """error fehler erreur wrong server permission requests client application header headers undefined traceback database clients keyerror typeerror valueerror indexerror attributeerror nameerror runtimeerror
+        """error fehler erreur wrong gateway upstream server permission requests client application header headers undefined traceback database clients keyerror typeerror valueerror indexerror attributeerror nameerror runtimeerror
         syntaxerror unavailable maintenance wartung mantenimiento resource listing nothing session sign page upgraded back denied refusé denegado verweigert gefunden serverfehler minuten minutes introuvable encontró vuelva""".split()
     ),
     "filler": frozenset("sample goes description edit copy text catchy ipsum später blindtext platzhaltertext fülltext beispieltext mustertext ersetzt beschreiben votre courte texte faux aquí texto".split()),
 }
 _STATUS = re.compile(r"^[45]\d\d$")
 _MARKS = re.compile(r"[{\[<%@(]|__|undefined|\bnan\b|\bnull\b")
+#: What sentences have that are like residue.
+_NEAR = re.compile(r"[{}\[\]<>%@]|__|\b(?:undefined|nan|null|[45]\d\d)\b|\b(?:" + "|".join(sorted(frozenset().union(*_TRIGGERS.values()))) + r")\b")
 _CODE = re.compile(r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)|`[^`\n]{1,300}`", re.S)
-_PARAGRAPH = re.compile(r"\n[^\S\n]*\n\s*|\r\n\s*\r\n\s*")
+_PARAGRAPH = re.compile(r"\n[^\S\n]*\n\s*")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+(?=\S)")
-_TOKEN = re.compile(r"[^\W\d_]+|\d+|[{}\[\]<>%$#@_|/\\:=()]{1,3}|\n")
+#: Words, numbers, runs of signs, the ends of sentences and paragraphs, and the mark between two texts.
+_TOKEN = re.compile(r"[^\W\d_]+|\d+|[{}\[\]<>%$#@_|/\\:=()\"]{1,3}|[.!?…](?=\s)|\n[^\S\n]*\n|\x00|[^\w\s.,;:!?'’…\x00]{4,}")
+#: What a sentence has if it has a word, a number or a sign.
+_ANY = re.compile(r"[\w{}\[\]<>%$#@|/\\:=()\"]|[^\w\s.,;:!?'’…\x00]{4}")
 _HASHES: dict[str, int] = {}
 _MOST_HASHES = 400_000
 _MASK = (1 << BITS) - 1
+#: Codes that the hashes of words leave free: the ends of a sentence and of a text, and bits that tell numbers and signs.
+_END, _END_OF_TEXT = -1, -2
+_NUMBER, _SIGN = 1 << 40, 1 << 41
 _BIAS = 1
 
 # Examples of each class that join every training sample, so that a small corpus without some form doesn't unlearn it.
@@ -107,10 +119,8 @@ def seeds() -> list[tuple[int, np.ndarray]]:
     """(class, features) of the examples."""
     out = []
     for c, text in SEEDS.items():
-        docs = [[(" ".join(x.split()),) * 2] for x in text.split("|")]
-        value, start = features(docs)
-        ends = np.append(start[1:], len(value))
-        out += [(CLASSES.index(c) + 1, value[a:b]) for a, b in zip(start, ends)] * _SEED_TIMES
+        value, start, _ = features([shown(" ".join(x.split())) for x in text.split("|")])
+        out += [(CLASSES.index(c) + 1, x) for x in np.split(value, start[1:])] * _SEED_TIMES
     return out
 
 
@@ -129,16 +139,27 @@ def label(paragraph: str) -> str | None:
     return None
 
 
-def sentences(text: str) -> list[tuple[str, str]]:
-    """(sentence, its paragraph) of a text, without code; white space is made single."""
-    if "`" in text or "~~~" in text:
-        text = _CODE.sub(" ", text)
-    out = []
-    for p in _PARAGRAPH.split(text):
-        p = " ".join(p.split())
-        if p:
-            out += [(s, p) for s in _SENTENCE.split(p)]
-    return out
+def shown(text: str) -> str:
+    """A text without code blocks and back-quoted parts, normalised."""
+    return normalize(_CODE.sub(" ", text) if "`" in text or "~~~" in text else text)
+
+
+def sentences(text: str) -> list[list[str]]:
+    """The sentences of each paragraph of a shown() text, those with a token only, as features() cuts them."""
+    paragraphs = [[s for s in _SENTENCE.split(p) if _ANY.search(s)] for p in _PARAGRAPH.split(text)]
+    return [p for p in paragraphs if p]
+
+
+def _hash(token: str) -> int:
+    if token == "\x00":
+        return _END_OF_TEXT
+    if token[0] in ".!?…\n":
+        return _END
+    if len(token) > 3 and not token[0].isalnum():
+        return xxhash.xxh32_intdigest("#ruler") | _SIGN
+    if token.isdigit():
+        return xxhash.xxh32_intdigest("#status" if len(token) == 3 and token[0] in "45" else "#number") | _NUMBER
+    return xxhash.xxh32_intdigest(token) | (0 if token[0].isalpha() else _SIGN)
 
 
 def _token_hashes(tokens: list[str]) -> np.ndarray:
@@ -149,43 +170,61 @@ def _token_hashes(tokens: list[str]) -> np.ndarray:
             _HASHES.clear()
         for t in tokens:
             if t not in _HASHES:
-                key = "#status" if len(t) == 3 and t.isdigit() and t[0] in "45" else "#number" if t.isdigit() else t
-                _HASHES[t] = xxhash.xxh32_intdigest(key)
+                _HASHES[t] = _hash(t)
         return np.fromiter(map(_HASHES.__getitem__, tokens), np.int64, len(tokens))
 
 
-def _tokens(docs: list[list[tuple[str, str]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(token hashes of all sentences in a row, the sentence of each, hashes of neighbouring pairs, the sentence of each)."""
-    tokens = _TOKEN.findall("\n".join(s for d in docs for s, _ in d).lower())
-    h = _token_hashes(tokens)
-    ends = h == _token_hashes(["\n"])[0]
-    at = np.cumsum(ends)
-    inside = ~ends
-    near = inside[1:] & inside[:-1] if len(h) else inside
-    pair = np.flatnonzero(near)
-    pairs = (h[pair] * 31 + h[pair + 1] * 17 + 7) * 0x9E3779B1 >> 12
-    return h[inside] & _MASK, at[inside], pairs & _MASK, at[pair]
-
-
-def _extras(docs: list[list[tuple[str, str]]], sizes: np.ndarray) -> np.ndarray:
-    """A feature of each sentence's length, of whether it is the first of its text (the title), and of whether it is alone."""
-    first = np.zeros(len(sizes), bool)
-    first[np.cumsum([0, *(len(d) for d in docs[:-1])])[[bool(d) for d in docs]]] = True
-    alone = np.repeat([len(d) == 1 for d in docs], [len(d) for d in docs])
-    return (1000 + np.minimum(np.log2(sizes + 1).astype(np.int64), 9) + 16 * first + 32 * alone) & _MASK
-
-
-def features(docs: list[list[tuple[str, str]]]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of all sentences of some texts in a row, and where each sentence's features start."""
-    n = sum(map(len, docs))
+def _mixed(*parts: np.ndarray) -> np.ndarray:
+    h = np.zeros(len(parts[0]), np.int64)
+    for p in parts:
+        h = (h + p) * 0x9E3779B1
+        h ^= h >> 29
+    return (h >> 7) & _MASK
+
+
+def _parts(docs: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, int]:
+    """([(features, the sentence of each)], the text of each sentence, number of sentences) of some texts without code.
+
+    All texts are cut by one pass of one pattern; each list of features is in the order of the sentences.
+    """
+    h = _token_hashes(_TOKEN.findall("\x00".join(d.replace("\x00", " ") for d in docs)))
+    inside = h >= 0
+    at = np.cumsum(~inside)
+    text = np.cumsum(h == _END_OF_TEXT)[inside]
+    at, h = at[inside], h[inside]
+    if not len(h):
+        return [], np.empty(0, np.int64), 0
+    new = np.concatenate([[True], at[1:] != at[:-1]])
+    start = np.flatnonzero(new)
+    at = np.cumsum(new) - 1
+    of = text[start]
+    same = at[1:] == at[:-1]
+    pair = np.flatnonzero(same)
+    # the kind of a token around a sign: the sign itself, a number or a word
+    sign = h >= _SIGN
+    shape = np.where(sign, h, np.where(h >= _NUMBER, 3, 5))
+    three = np.flatnonzero(same[1:] & same[:-1] & (sign[2:] | sign[1:-1] | sign[:-2])) if len(h) > 2 else np.empty(0, np.int64)
+    first = np.concatenate([[True], of[1:] != of[:-1]])
+    alone = first & np.concatenate([of[1:] != of[:-1], [True]])
+    size = np.minimum(np.log2(np.diff(np.append(start, len(h))) + 1).astype(np.int64), 9)
+    n = len(start)
+    title = np.flatnonzero(first[at])
+    title = title[title - start[at[title]] < 12]
+    out = [
+        (_mixed(h), at), (_mixed(h[pair], h[pair + 1]), at[pair]), (_mixed(shape[three], shape[three + 1], shape[three + 2]), at[three]),
+        (_mixed(h[title], np.full(len(title), 11)), at[title]), (_mixed(size + 16 * first + 32 * alone, np.full(n, 13)), np.arange(n)), (np.full(n, _BIAS), np.arange(n)),
+    ]
+    return out, of, n
+
+
+def features(docs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed features of all sentences of some texts without code in a row, where each sentence's features start, and the text of each."""
+    parts, of, n = _parts(docs)
     if not n:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    h, at, pairs, pair_at = _tokens(docs)
-    extra = _extras(docs, np.bincount(at, minlength=n))
-    where = np.concatenate([at, pair_at, np.arange(n), np.arange(n)])
-    value = np.concatenate([h, pairs, extra, np.full(n, _BIAS)])
+        return np.empty(0, np.int64), np.empty(0, np.int64), of
+    where = np.concatenate([x for _, x in parts])
     order = np.argsort(where, kind="stable")
-    return value[order], np.searchsorted(where[order], np.arange(n))
+    return np.concatenate([x for x, _ in parts])[order], np.searchsorted(where[order], np.arange(n)), of
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -199,18 +238,15 @@ def scores(weights: np.ndarray, value: np.ndarray, start: np.ndarray) -> np.ndar
     return _softmax(np.add.reduceat(weights[value], start, axis=0))
 
 
-def probabilities(weights: np.ndarray, docs: list[list[tuple[str, str]]]) -> np.ndarray:
-    """scores() of the features() of some texts, summed without bringing each sentence's features together."""
-    n = sum(map(len, docs))
-    if not n:
-        return np.empty((0, weights.shape[1]))
-    h, at, pairs, pair_at = _tokens(docs)
-    z = weights[_extras(docs, np.bincount(at, minlength=n))] + weights[_BIAS]
-    for value, of in ((h, at), (pairs, pair_at)):
-        if len(of):
-            new = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-            z[of[new]] += np.add.reduceat(weights[value], new, axis=0)
-    return _softmax(z)
+def probabilities(weights: np.ndarray, docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(scores() of the sentences of some texts without code, the text of each), summed without bringing each sentence's features together."""
+    parts, of, n = _parts(docs)
+    z = np.zeros((n, weights.shape[1]), np.float32)
+    for value, at in parts:
+        if len(at):
+            new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            z[at[new]] += np.add.reduceat(weights[value], new, axis=0)
+    return _softmax(z) if n else z, of
 
 
 def train(rows: list[tuple[int, np.ndarray]], penalty: float, epochs: int = EPOCHS, seed: int = 5) -> np.ndarray:
@@ -238,76 +274,108 @@ def train(rows: list[tuple[int, np.ndarray]], penalty: float, epochs: int = EPOC
     return w.astype(np.float32)
 
 
-def sample(docs: DataFrame, id_col: str, text_col: str, host_col: str, most: int = SAMPLE_DOCS) -> list[tuple[int, str, np.ndarray]]:
-    """(class, host, features) of a bounded sample of sentences: those of documents with the smallest hashes, all labelled ones and some others."""
+def _labels(text: str) -> list[tuple[int, bool]]:
+    """(weak label, whether it is near residue) of each sentence of a shown() text: a class from 1, 0 for none, -1 for a sentence of a labelled paragraph that
+    has no label itself. Where only two neighbouring sentences together have the label, both get it. A text of one sentence is near."""
+    out = []
+    own = sentences(text)
+    for p in own:
+        whole = label(" ".join(p))
+        found = [whole and (label(s) if len(p) > 1 else whole) for s in p]
+        if whole and not any(found):
+            for i in range(len(p) - 1):
+                if label(f"{p[i]} {p[i + 1]}"):
+                    found[i] = found[i + 1] = whole
+        for s, c in zip(p, found):
+            out.append((CLASSES.index(c) + 1 if c else -1 if whole else 0, bool(_NEAR.search(s)) or len(own) == len(p) == 1))
+    return out
+
+
+def sample(docs: DataFrame, id_col: str, text_col: str, host_col: str, most: int = SAMPLE_DOCS) -> list[tuple[int, float, str, np.ndarray]]:
+    """(class, weight, host, features) of a bounded sample of sentences, of the documents with the smallest hashes.
+
+    Labelled sentences, those that hold a word or sign of the phrases, and others are kept up to a bound each, by hash; the weight is how
+    many a kept one stands for. The labelled sample is written once.
+    """
     share = min(1.0, most / max(1, docs.count()))
-    few = docs.select(F.pmod(F.xxhash64(F.lit(7), F.col(id_col)), F.lit(1 << 30)).alias("h"), F.col(host_col).cast("string").alias("host"), F.col(text_col).alias("t")).where(F.col("h") < F.lit(int(share * (1 << 30)))).where("t is not null")
+    keyed = docs.select(F.pmod(F.xxhash64(F.lit(7), F.col(id_col)), F.lit(1 << 30)).alias("h"), F.col(host_col).cast("string").alias("host"), F.col(text_col).alias("t"))
+    few = keyed.where(F.col("h") < F.lit(int(share * (1 << 30)))).where("t is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "t"):
-            own = [sentences(t) for t in texts(b.column(2))]
-            value, start = features(own)
+            own = [shown(t.replace("\x00", " ")) for t in texts(b.column(2))]
+            value, start, of = features(own)
+            known = [x for t in own for x in _labels(t)]
+            if len(known) != len(start):
+                raise AssertionError(f"{len(known)} labels for {len(start)} sentences")
+            kind = np.array([(1 if c > 0 else 2 if near else 3) if c >= 0 else 0 for c, near in known], np.int64)
+            at = np.flatnonzero((kind > 0) & ((kind < 3) | (np.arange(len(kind)) * 2654435761 % 2**32 < 2**32 // 4)))
             ends = np.append(start[1:], len(value))
-            label_, host, at, k = [], [], [], 0
-            for d, h in zip(own, b.column(1).to_pylist()):
-                known: dict[str, str | None] = {}
-                for s, p in d:
-                    if p not in known:
-                        known[p] = label(p)
-                    c = known[p] and (label(s) if len(p) > len(s) else known[p])
-                    if c or (not known[p] and (k * 2654435761) % 2**32 < 2**32 // 4):
-                        label_.append(CLASSES.index(c) + 1 if c else 0)
-                        host.append(h or "")
-                        at.append(k)
-                    k += 1
+            hosts = b.column(1).to_pylist()
             f = pa.array([value[start[i] : ends[i]].astype(np.int32) for i in at], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(label_, pa.int32()), pa.array(host, pa.string()), f], ["c", "host", "f"])
+            cols = [pa.array(kind[at], pa.int32()), pa.array([known[i][0] for i in at], pa.int32()), pa.array([hosts[of[i]] or "" for i in at], pa.string()), f]
+            yield pa.RecordBatch.from_arrays(cols, ["kind", "c", "host", "f"])
+
+    rows = materialize(few.mapInArrow(run, "kind int, c int, host string, f array<int>").withColumn("o", F.xxhash64("f", "host")), "sentences")
+    counts = {r[0]: r[1] for r in rows.groupBy("kind").agg(F.count("*")).collect()}
+    out = []
+    for kind, bound in ((1, SAMPLE_POSITIVE), (2, SAMPLE_NEAR), (3, SAMPLE_OTHER)):
+        part = rows.where(F.col("kind") == kind).orderBy("o").limit(bound).select("c", "host", "f").collect()
+        stands = counts.get(kind, 0) / max(1, len(part)) * (4 if kind == 3 else 1)
+        out += [(r[0], stands, r[1], np.array(r[2], np.int64)) for r in part]
+    return out
 
-    rows = few.mapInArrow(run, "c int, host string, f array<int>").withColumn("o", F.xxhash64("f"))
-    kept = rows.where("c > 0").orderBy("o").limit(SAMPLE_POSITIVE).unionByName(rows.where("c = 0").orderBy("o").limit(SAMPLE_NEGATIVE))
-    return [(r[0], r[1], np.array(r[2], np.int64)) for r in kept.select("c", "host", "f").collect()]
 
+def _best_cutoff(p: np.ndarray, c: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
+    """(cutoff, precision, recall) of the sentences with any residue: the cutoff with the highest F1, the middle one of equal ones."""
+    of = p[:, 1:].argmax(1) + 1
+    got = []
+    for cut in CUTOFFS:
+        hit = 1 - p[:, 0] >= cut
+        right = (weight * (hit & (of == c))).sum()
+        precision, recall = right / max(1e-9, (weight * hit).sum()), right / max(1e-9, (weight * (c > 0)).sum())
+        got.append((float(2 * precision * recall / max(1e-9, precision + recall)), cut, float(precision), float(recall)))
+    best = [x[1:] for x in got if x[0] >= max(got)[0] - 1e-6]
+    return best[len(best) // 2]
 
-def fit(rows: list[tuple[int, str, np.ndarray]]) -> tuple[np.ndarray, dict]:
-    """Weights, and what the held-out hosts (a fifth of them) gave: the penalty that was taken, sentences and their share classified right."""
-    held = [xxhash.xxh32_intdigest(h) % 5 == 0 for _, h, _ in rows]
-    known, unseen = [(c, f) for (c, _, f), x in zip(rows, held) if not x], [(c, f) for (c, _, f), x in zip(rows, held) if x]
+
+def fit(rows: list[tuple[int, float, str, np.ndarray]]) -> tuple[np.ndarray, float, dict]:
+    """(weights, cutoff, report). A fifth of the hosts is held out: the penalty is the one with the least loss there, the cutoff the one with
+    the highest F1; the report tells both, the held-out sentences, and the precision and recall on them. The weights are then fitted to all rows."""
+    if not rows:
+        return train([], PENALTIES[0]), CUTOFFS[len(CUTOFFS) // 2], {"penalty": PENALTIES[0], "cutoff": CUTOFFS[len(CUTOFFS) // 2], "sentences": 0, "precision": 0.0, "recall": 0.0}
+    held = np.array([xxhash.xxh32_intdigest(h) % 5 == 0 for _, _, h, _ in rows])
+    known, unseen = [(r[0], r[3]) for r, x in zip(rows, held) if not x], [r for r, x in zip(rows, held) if x]
     best = None
     for penalty in PENALTIES:
-        w = train(known + seeds() if known else [], penalty)
-        right, loss = 0, 0.0
-        if unseen:
-            p = scores(w, np.concatenate([f for _, f in unseen]), np.concatenate([[0], np.cumsum([len(f) for _, f in unseen])[:-1]]).astype(np.int64))
-            c = np.array([c for c, _ in unseen])
-            right, loss = int((p.argmax(1) == c).sum()), float(-np.log(p[np.arange(len(c)), c] + 1e-9).mean())
-        if best is None or loss < best[1]["loss"]:
-            best = (w, {"penalty": penalty, "sentences": len(unseen), "right": right / max(1, len(unseen)), "loss": loss})
-    return train([(c, f) for c, _, f in rows] + (seeds() if rows else []), best[1]["penalty"]), best[1]
-
-
-def find(docs: DataFrame, weights: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text", low: float = LOW) -> DataFrame:
-    """(id_col, residue, score) of the texts with residue: of the sentences that the classifier scores above `low` and whose paragraph has
-    a phrase, the one with the highest score."""
+        if not unseen or not known:
+            best = (0.0, penalty, CUTOFFS[len(CUTOFFS) // 2], 0.0, 0.0)
+            break
+        w = train(known + seeds(), penalty)
+        p = scores(w, np.concatenate([r[3] for r in unseen]), np.cumsum([0, *(len(r[3]) for r in unseen[:-1])]))
+        c, weight = np.array([r[0] for r in unseen]), np.array([r[1] for r in unseen])
+        loss = float(-(weight * np.log(p[np.arange(len(c)), c] + 1e-9)).sum() / weight.sum())
+        if best is None or loss < best[0]:
+            best = (loss, penalty, *_best_cutoff(p, c, weight))
+    _, penalty, cutoff, precision, recall = best
+    report = {"penalty": penalty, "cutoff": cutoff, "sentences": len(unseen), "precision": precision, "recall": recall}
+    return train([(r[0], r[3]) for r in rows] + seeds(), penalty), cutoff, report
+
+
+def find(docs: DataFrame, weights: np.ndarray, cutoff: float, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, residue, score) of the texts with residue: class and score of the sentence that is most probably some, if its score reaches the cutoff."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         for b in pieces(batches, text_col, 1_000_000):
-            own = [sentences(t) if t else [] for t in texts(b.column(1))]
-            at, name, score = [], [], []
-            if any(own):
-                p = 1 - probabilities(w, own)[:, 0]
-                ends = np.cumsum([len(d) for d in own])
-                found: dict[int, tuple[float, str]] = {}
-                for k in np.flatnonzero(p >= low):
-                    d = int(np.searchsorted(ends, k, "right"))
-                    if d in found and found[d][0] >= p[k]:
-                        continue
-                    c = label(own[d][int(k) - (int(ends[d - 1]) if d else 0)][1])
-                    if c:
-                        found[d] = (float(p[k]), c)
-                at, name, score = list(found), [found[d][1] for d in found], [found[d][0] for d in found]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(name, pa.string()), pa.array(score, pa.float64())], [id_col, "residue", "score"])
+            p, of = probabilities(w, [shown(t) if t else "" for t in texts(b.column(1))])
+            score = 1 - p[:, 0] if len(p) else np.empty(0)
+            k = np.flatnonzero(score >= cutoff)
+            k = k[np.lexsort((k, -score[k], of[k]))]
+            k = k[np.concatenate([[True], of[k][1:] != of[k][:-1]])] if len(k) else k
+            name = [CLASSES[i] for i in p[k, 1:].argmax(1)] if len(k) else []
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(of[k], pa.int64())), pa.array(name, pa.string()), pa.array(score[k], pa.float64())], [id_col, "residue", "score"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, residue string, score double")

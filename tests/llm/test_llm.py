@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quernstone.functions.words import words
-from quernstone.llm import binpack, bpe, leakage, mixing, neardup, pairs, quality, queries, residue
+from quernstone.llm import binpack, bpe, leakage, mixing, neardup, pairs, quality, queries
 from quernstone.session import table
 from tests import oracle
 
@@ -280,36 +280,6 @@ def test_classes_of_nothing(spark):
     assert quality.learn(df.limit(0)) == [] and quality.classify(df.limit(0), []).count() == 0
 
 
-# 8: residue
-
-RESIDUE = {
-    "placeholder": ["Hello {{ first_name }}, thank you.", "Dear [YOUR CITY], welcome.", "Welcome to %(city)s, the home of @@author@@.", "This page about [object Object] was last changed.", "All rights to (add company here) belong to us."],
-    "filler": ["Lorem ipsum dolor sit amet, consectetur elit sed magna.", "Your headline goes here.", "Votre titre apparaîtra ici."],
-    "error_page": ["404 Not Found\nThe page /a/b does not exist on this server.", "Traceback (most recent call last):\n  File \"a.py\", line 3, in load\nKeyError: 'x'", "Error interno del servidor (500). Vuelva a intentarlo en 3 minutos."],
-    "script_notice": ["Please enable JavaScript to view this page.", "Bitte aktivieren Sie JavaScript, um die Seite zu nutzen."],
-    None: [PROSE, "In the prompt file, `{{ city }}` is filled from the seed record before the call is made.", "Here is the template:\n\n```\nDear {{ company }}, your request is on its way.\n```", "Visitors were asked in a survey whether they allow JavaScript, and most of them do.", "Older versions returned a 503 status during maintenance, which confused the retry counter.", "Designers often use Latin filler text in drafts, but the reviewers remove it."],
-}
-
-
-def test_residue_phrases():
-    for c, ts in RESIDUE.items():
-        for t in ts:
-            found = {residue.label(p) for _, p in residue.sentences(t)} - {None}
-            assert found == ({c} if c else set()), t
-
-
-def test_residue_classifier(spark, sf):
-    docs = table(spark, sf.replace("sf0.001", "sf0.01"), "documents")
-    weights, held = residue.fit(residue.sample(docs, "doc_id", "text", "source_id"))
-    assert held["sentences"] > 100 and held["right"] > 0.98
-    rows = [(f"{c}-{i}", PROSE + "\n\n" + t + "\n\n" + PROSE) for c, ts in RESIDUE.items() for i, t in enumerate(ts)] + [("none", None), ("empty", "")]
-    df = spark.createDataFrame(rows, "doc_id string, text string").withColumn("score", F.lit("clash"))
-    got = {r["doc_id"]: r["residue"] for r in residue.find(df, weights).collect()}
-    want = {f"{c}-{i}": c for c, ts in RESIDUE.items() if c for i in range(len(ts))}
-    assert set(got) <= set(want) and all(want[k] == v for k, v in got.items()) and len(got) >= 0.8 * len(want)
-    assert residue.find(df.limit(0), residue.fit([])[0]).count() == 0
-
-
 def test_brute_force_on_the_tables(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text").collect()
     items = table(spark, sf, "eval_items").select("item_id", "question", "passage").collect()
