@@ -10,16 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quernstone.functions.lexicon import COMMON
 from quernstone.functions.words import pieces, texts, words
 
-# Frequent words by language.
-STOP_WORDS = {
-    "en": frozenset("the of and to in is it that for you with on are this be not from have can will which at by an or as we if but there".split()),
-    "de": frozenset("der die das und ist nicht ein eine einen zu den dem mit von für auf sich sie ich wir es auch bei aus nach wie wird".split()),
-    "fr": frozenset("le la les des du et est un une que qui dans pour pas sur au aux avec ce cette vous nous il elle par plus ne".split()),
-    "es": frozenset("el los las del y es una que en no por para con se su al lo como más pero está este esta usted puede".split()),
-}
-_ALL_STOPS = frozenset().union(*STOP_WORDS.values())
+_ALL_STOPS = frozenset().union(*(COMMON[k] for k in ("en", "de", "fr", "es")))
 #: Tags that end a block, and those whose content isn't text (fixed values).
 BLOCKS = frozenset("p div br li ul ol h1 h2 h3 h4 h5 h6 table tr td th section article header footer nav aside main blockquote pre form hr dd dt".split())
 SILENT = frozenset("script style noscript template head svg".split())
@@ -88,7 +82,7 @@ def main_text(html: str, *, most_links: float = 0.2, short: int = 70, long: int
 def identify(text: str) -> tuple[float, str | None]:
     """(score, language) by frequent words; the score is the language's share of all frequent words found."""
     ws = words(text)
-    hits = {k: sum(w in v for w in ws) for k, v in STOP_WORDS.items()}
+    hits = {k: sum(w in v for w in ws) for k, v in COMMON.items()}
     best = max(hits, key=hits.get)
     return (hits[best] / sum(hits.values()), best) if hits[best] else (0.0, None)
 
