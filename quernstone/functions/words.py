@@ -15,13 +15,18 @@ _DROP = re.compile(f"[{ZERO_WIDTH}]")
 WORD = re.compile(r"[^\W_]+")
 
 
-def normalize(text: str) -> str:
-    """NFKC, removal of zero-width characters, lower case."""
+def fold(text: str) -> str:
+    """NFKC, removal of zero-width characters."""
     if text.isascii():
-        return text.lower()
+        return text
     if not unicodedata.is_normalized("NFKC", text):
         text = unicodedata.normalize("NFKC", text)
-    return _DROP.sub("", text).lower()
+    return _DROP.sub("", text)
+
+
+def normalize(text: str) -> str:
+    """NFKC, removal of zero-width characters, lower case."""
+    return fold(text).lower()
 
 
 def words(text: str) -> list[str]:

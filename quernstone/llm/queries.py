@@ -94,7 +94,9 @@ def p4_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The statistics and the class of every document."""
     docs = table(spark, sf_dir, "documents")
-    return quality.classify(docs, quality.learn(docs))
+    rules, report = quality.learn(docs)
+    _LOG.info("p5 on held-out documents: %s", report)
+    return quality.classify(docs, rules)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quernstone.functions.words import words
-from quernstone.llm import binpack, bpe, leakage, mixing, neardup, pairs, quality, queries
+from quernstone.llm import binpack, bpe, leakage, mixing, neardup, pairs, queries
 from quernstone.session import table
 from tests import oracle
 
@@ -249,37 +249,6 @@ def test_label_model_finds_accuracies():
     assert pairs.unpattern(pairs.pattern([1, -1, 0]), 3) == [1, -1, 0] and pairs.fit({}, 3) == {}
 
 
-# 5: classes
-
-SAMPLES = {
-    "list": ["\n".join(f"- {a} {b}: {c}, tickets" for a, b, c in zip("Red Blue Green Grey Pale Dark Tall".split(), "lamp desk box chair shelf door plate".split(), "late dense empty rare packed short long".split())), "\n".join(f"{i}. queries ({i * 7})" for i in range(1, 12))],
-    "table": ["| a | b |\n|---|---|\n" + "\n".join(f"| cell {i} | {i} |" for i in range(9)), "name;size;day\n" + "\n".join(f"x{i};{i};late" for i in range(9)), "<table>\n" + "\n".join(f"<tr><td>a{i}</td><td>{i}</td></tr>" for i in range(9)) + "\n</table>"],
-    "junk": ["§$%& !?=+ ~#*<> " * 20, "QzAEWuqYeweOsJM6fRRUZBNMDn6vIAZqV6OyXRFymmXAbk73ffiIfqyaIveTrpw1k4TG0RMkfRwG\n" * 5, "=====\n-----\n" * 20, "buy cheap lamps " * 30, " ".join(str(i * 7919 % 99991) for i in range(90))],
-    "prose": [PROSE * 4, "Guest: Who pays for it?\nAgent: There is nothing to pay for the return of it.\n" * 4, PROSE + "\n- one\n- two\n" + PROSE],
-}
-
-
-def test_line_labels():
-    for c, ts in SAMPLES.items():
-        assert [quality.line_label(t) for t in ts] == [c] * len(ts)
-    assert quality.line_label(None) == quality.line_label(" \n") == "prose" and quality.statistics(None)[0] == 0
-
-
-def test_rules_hold_out(spark, sf):
-    docs = table(spark, sf.replace("sf0.001", "sf0.01"), "documents").select("doc_id", "text")
-    rules = quality.learn(docs.where("doc_id % 2 = 0"))
-    assert {c for c, _ in rules} == set(quality.CLASSES) and "CASE WHEN" in quality.case_sql(rules)
-    rest = docs.where("doc_id % 2 = 1")
-    both = quality.classify(rest, rules).select("doc_id", "text_class").join(quality.describe(rest, labelled=True).select("doc_id", "label"), "doc_id").collect()
-    assert sum(r["text_class"] == r["label"] for r in both) >= 0.97 * len(both)
-
-
-def test_classes_of_nothing(spark):
-    df = spark.createDataFrame([(1, None), (2, ""), (3, "\n ")], "doc_id long, text string").withColumn("label", F.lit(1))
-    assert {r["text_class"] for r in quality.classify(df, quality.learn(df)).collect()} == {"prose"}
-    assert quality.learn(df.limit(0)) == [] and quality.classify(df.limit(0), []).count() == 0
-
-
 def test_brute_force_on_the_tables(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text").collect()
     items = table(spark, sf, "eval_items").select("item_id", "question", "passage").collect()
