@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.llm import binpack, bpe, leakage, mixing, neardup, pairs, quality, residue
-from quernstone.session import table
+from quernstone.session import materialize, table
 
 _LOG = logging.getLogger(__name__)
 
@@ -100,8 +100,10 @@ def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents that are lists, tables or junk."""
-    return p5_classes(spark, sf_dir).where("text_class <> 'prose'").select("doc_id", "text_class")
+    """The documents that are lists, tables or junk. The classes are written first: a filter on them would be pushed below the statistics, which
+    would then be computed again inside it, once for each place where a rule names one."""
+    classes = materialize(p5_classes(spark, sf_dir).select("doc_id", "text_class"), "classes")
+    return classes.where("text_class <> 'prose'")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
