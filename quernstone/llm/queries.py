@@ -81,14 +81,20 @@ def p3_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binpack.fill(p3_packed(spark, sf_dir))
 
 
+def _posteriors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, float]]:
+    posts, cutoffs, report = pairs.posteriors(pairs.chat_pairs(table(spark, sf_dir, "sdg_chat"), table(spark, sf_dir, "sdg_preference")))
+    _LOG.info("p4 on the validation set: %s", report)
+    return posts, cutoffs
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The defective answers, each with its most probable defect."""
-    return pairs.worst(pairs.posteriors(pairs.chat_pairs(table(spark, sf_dir, "sdg_chat"), table(spark, sf_dir, "sdg_preference"))))
+    return pairs.worst(*_posteriors(spark, sf_dir))
 
 
 def p4_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every defect of every answer whose posterior reaches its cutoff."""
-    return pairs.defects(pairs.posteriors(pairs.chat_pairs(table(spark, sf_dir, "sdg_chat"), table(spark, sf_dir, "sdg_preference"))))
+    return pairs.defects(*_posteriors(spark, sf_dir))
 
 
 def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:

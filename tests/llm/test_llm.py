@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quernstone.functions.words import words
-from quernstone.llm import binpack, bpe, leakage, mixing, neardup, pairs, queries
+from quernstone.llm import binpack, bpe, leakage, mixing, neardup, queries
 from quernstone.session import table
 from tests import oracle
 
@@ -213,42 +213,6 @@ def test_blend_reaches_its_shares(spark):
     assert mixing.blend(docs.limit(0), spec).count() == 0 and mixing.plan(docs, spec.limit(0)).count() == 0
 
 
-# 4: pairs
-
-LABELLED = [
-    ("How do I report a late delivery?", None, "empty"), ("How do I report a late delivery?", "n/a.", "empty"), ("How?", "​", "empty"), ("How?", "<think>\n</think>", "empty"), ("What is it?", "[]", "empty"),
-    ("How do I report a late delivery?", "HOW DO I REPORT A LATE DELIVERY.", "copy"), ("Who pays for the return?", 'You asked: "Who pays for the return?"', "copy"), ("Is a lost parcel covered by the plan?", "Is a lost parcel by the plan?", "copy"),
-    ("Who pays?", "I'm sorry, but I can't help with that.", "refusal"), ("Who pays?", "Hello and welcome. I'd rather not get into that topic. Have a nice day!", "refusal"), ("Wer zahlt?", "Dazu möchte ich mich nicht äußern. Bitte stellen Sie eine andere Frage.", "refusal"),
-    ("Who pays the return postage of the parcel?", "Ersatz verlässt unser Lager innerhalb von 4 Tagen. Der Tarif gilt ab dem Kauf für 3 Monate.", "language"), ("¿Quién paga el envío?", "There is nothing to pay for the return. Take two photos in daylight.", "language"),
-    ("Who pays?", "There is nothing to pay for the return. Once the form is sent, the status changes to", "truncated"), ("Who pays?", "There is nothing to pay.\n\n1. Open the page.\n2. Choose the entry.\n3. ", "truncated"), ("Who pays?", 'Take two photos.\n\n```json\n{"a": 4, "b": ', "truncated"),
-    ("Who pays?", "I'm sorry about a late delivery; that should not have happened. There is nothing to pay for the return.", None), ("Who pays?", "I can't change the entry myself, but the form on the page does it at once.", None),
-    ("Who pays? Bitte auf Deutsch.", "Für die Rücksendung müssen Sie nichts bezahlen.", None), ("Who pays?", "There is nothing to pay.\n- batches: 4\n- pages: 12", None), ("Who pays?", "There is nothing to pay.\n```\nx = 1\n```", None), ("Who pays?", "There is nothing to pay.\n\n– Team Lamp", None),
-    ("Who pays the return?", 'You asked: "Who pays the return?" There is nothing to pay for the return. A replacement leaves our warehouse within 4 days of your report.', None),
-]
-
-
-def test_pair_defects(spark):
-    rows = [(i, "assistant_response", q, a, "EN", d) for i, (q, a, d) in enumerate(LABELLED)]
-    rows += [(1000 + i, "assistant_response", "Who pays the return postage?", f"{PROSE} It takes {i} days.", None, None) for i in range(120)]
-    df = spark.createDataFrame([r[:5] for r in rows] + [rows[0][:5]], "record_id long, resp_field string, query string, answer string, lang string").withColumn("empty", F.lit("clash"))
-    got = {r["record_id"]: r["defect"] for r in pairs.worst(pairs.posteriors(df)).collect()}
-    wrong = [(LABELLED[i][0], LABELLED[i][1], LABELLED[i][2], got.get(i)) for i in range(len(LABELLED)) if got.get(i) != LABELLED[i][2]]
-    assert not wrong and not [i for i in got if i >= 1000]
-    assert pairs.posteriors(df.limit(0)).count() == 0
-
-
-def test_label_model_finds_accuracies():
-    r = np.random.default_rng(0)
-    y = r.random(5000) < 0.1
-    counts = Counter()
-    for t in y:
-        votes = [int(t if r.random() < acc else not t) if r.random() < 0.9 else -1 for acc in (0.97, 0.9, 0.93)]
-        counts[pairs.pattern(votes)] += 1
-    post = pairs.fit(counts, 3)
-    assert post[pairs.pattern([1, 1, 1])] > 0.95 and post[pairs.pattern([0, 0, 0])] < 0.02
-    assert pairs.unpattern(pairs.pattern([1, -1, 0]), 3) == [1, -1, 0] and pairs.fit({}, 3) == {}
-
-
 def test_brute_force_on_the_tables(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text").collect()
     items = table(spark, sf, "eval_items").select("item_id", "question", "passage").collect()
