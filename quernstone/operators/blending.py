@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quernstone.functions.text import md5_int
+from quernstone.operators.ranges import rank_within
 
 
 def ratio_split(df: DataFrame, key: str, ratios: dict[str, float], seed: int) -> DataFrame:
@@ -43,10 +44,9 @@ def head_holdout(df: DataFrame, order: str, n: int) -> DataFrame:
 
 
 def stratified_split(df: DataFrame, key: str, stratum: str, every: int) -> DataFrame:
-    """A share of 1 / every of each stratum is val, those with the smallest hashes of the key."""
-    w = W.partitionBy(stratum)
-    ranked = df.withColumn("_n", F.count("*").over(w)).withColumn("_r", F.row_number().over(w.orderBy(md5_int(F.col(key).cast("string")), key)))
-    return ranked.withColumn("split", F.when(F.col("_r") <= F.expr(f"_n div {every}"), "val").otherwise("train")).drop("_n", "_r")
+    """A share of 1 / every of each stratum, rounded down, is val, those with the smallest hashes of the key; a stratum may hold most rows."""
+    ranked = rank_within(df.withColumn("_h", md5_int(F.col(key).cast("string"))), [stratum], ["_h", key], "_r", "_n")
+    return ranked.withColumn("split", F.when(F.col("_r") <= F.expr(f"_n div {every}"), "val").otherwise("train")).drop("_n", "_r", "_h")
 
 
 def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:

@@ -29,12 +29,13 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 50) -> DataFrame:
     """(node, component) of every node of an edge, component being the least node of it.
 
-    Alternating large-star and small-star rounds; each round is a written table, so lost executors cost no restart.
+    Alternating large-star and small-star rounds; the edges and each round are written tables, so edges are computed once and lost executors cost no
+    restart. A node with very many links is a skewed key of a sort-merge join, which adaptive execution splits.
     Edges with a null end are ignored, loops make a component of their own; an empty table gives an empty result.
     """
-    pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")
+    pairs = materialize(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null").distinct(), "edges")
     nodes = pairs.select("u").unionByName(pairs.select(F.col("v").alias("u"))).distinct()
-    now = materialize(pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    now = pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     mark = None
     for _ in range(most_rounds):
         now = materialize(_stars(_stars(now, True), False), "edges")

@@ -12,6 +12,8 @@ from pyspark.sql import Window as W
 
 from quernstone.functions.words import pieces, texts
 from quernstone.operators.components import components
+from quernstone.operators.ranges import with_group_min
+from quernstone.session import materialize
 
 
 def exact_groups(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -20,14 +22,15 @@ def exact_groups(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def exact_duplicates(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Ids of all copies but the one with the least id. Hot texts are no problem: their groups were reduced to one row before the join."""
-    many = exact_groups(df, id_col, text_col).where("copies > 1").select("digest", "survivor")
-    return df.where(F.col(text_col).isNotNull()).select(F.md5(text_col).alias("digest"), id_col).join(many, "digest").where(F.col(id_col) != F.col("survivor")).select(id_col)
+    """Ids of all copies but the one with the least id. Copies never meet: hashes are aggregated to the survivors, and the join is by id."""
+    survivors = exact_groups(df, id_col, text_col).select(F.col("survivor").alias(id_col))
+    return df.where(F.col(text_col).isNotNull()).select(id_col).join(survivors, id_col, "left_anti")
 
 
 def exact_survivors(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """df without the copies; rows without text stay. Only ids and hashes are shuffled before the final anti join."""
-    return df.join(exact_duplicates(df, id_col, text_col), id_col, "left_anti")
+    """df without the copies; rows without text stay."""
+    survivors = exact_groups(df, id_col, text_col).select(F.col("survivor").alias(id_col))
+    return df.where(F.col(text_col).isNotNull()).join(survivors, id_col, "left_semi").unionByName(df.where(F.col(text_col).isNull()))
 
 
 def char_shingles(text: Column, n: int) -> Column:
@@ -66,15 +69,21 @@ def minhash(df: DataFrame, id_col: str, text_col: str, *, chars: int = 24, bands
 
 
 def lsh_edges(signatures: DataFrame, id_col: str) -> DataFrame:
-    """(a, b): each member of a bucket with the bucket's least id, so a bucket of n gives n - 1 edges."""
-    rows = signatures.select(id_col, F.posexplode("bands").alias("band", "h"))
-    low = rows.groupBy("band", "h").agg(F.min(id_col).alias("a"), F.count("*").alias("n")).where("n > 1").select("band", "h", "a")
-    return rows.join(low, ["band", "h"]).where(F.col(id_col) != F.col("a")).select("a", F.col(id_col).alias("b")).distinct()
+    """(a, b): each member of a bucket with the bucket's least id, so a bucket of n gives n - 1 edges; a bucket may hold most rows."""
+    rows = signatures.select(F.col(id_col).alias("b"), F.posexplode("bands").alias("band", "h"))
+    return with_group_min(rows, ["band", "h"], "b", "a", "n").where("n > 1 and a <> b").select("a", "b").distinct()
 
 
 def fuzzy_groups(df: DataFrame, id_col: str, text_col: str, **options: int) -> DataFrame:
-    """(node, component) of the texts that share a band with another."""
-    return components(lsh_edges(minhash(df, id_col, text_col, **options), id_col))
+    """(node, component) of the texts that share a band with another.
+
+    Copies are min-hashed once: only the survivor of equal texts has a signature, and each copy is linked to it. Signatures and edges are written once.
+    """
+    digests = df.where(F.col(text_col).isNotNull() & (F.length(text_col) >= options.get("chars", 24))).select(F.col(id_col).alias("b"), F.md5(text_col).alias("h"))
+    copies = materialize(with_group_min(digests, ["h"], "b", "a", "n").where("n > 1 and a <> b").select("a", "b"), "copies")
+    firsts = df.join(copies.select(F.col("b").alias(id_col)), id_col, "left_anti")
+    signatures = materialize(minhash(firsts, id_col, text_col, **options), "signatures")
+    return components(lsh_edges(signatures, id_col).unionByName(copies))
 
 
 def fuzzy_survivors(df: DataFrame, id_col: str, text_col: str, **options: int) -> DataFrame:
@@ -111,9 +120,11 @@ def repeated_windows(df: DataFrame, id_col: str, text_col: str, width: int) -> D
             cat = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(cat(place), pa.int64()), pa.array(cat(hashes), pa.int64())], [id_col, "place", "h"])
 
-    rows = df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, place long, h long")
-    many = rows.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct(id_col, "place")).alias("first")).where("n > 1")
-    hit = rows.join(many, "h").select(id_col, "place", (F.struct(id_col, "place") == F.col("first")).alias("first"))
+    rows = materialize(df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, place long, h long"), "windows")
+    # of the windows that occur once nothing goes on
+    many = rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    repeated = rows.join(many, "h", "left_semi").select("h", F.struct(id_col, "place").alias("at"))
+    hit = with_group_min(repeated, ["h"], "at", "first", "n").select(f"at.{id_col}", "at.place", (F.col("at") == F.col("first")).alias("first"))
     return merge_ranges(hit.select(id_col, F.col("place").alias("start"), (F.col("place") + width).alias("stop"), "first"), [id_col, "first"])
 
 

@@ -4,26 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+
+from quernstone.operators.ranges import running_sum
 
 PERCENTILES = tuple(range(5, 100, 5))
 
 
-def weighted_thresholds(df: DataFrame, score_cols: list[str], weight: Column, percentiles: tuple[int, ...] = PERCENTILES, ranges: int = 64) -> DataFrame:
+def weighted_thresholds(df: DataFrame, score_cols: list[str], weight: Column, percentiles: tuple[int, ...] = PERCENTILES) -> DataFrame:
     """(score, p, threshold): the least score whose cumulated weight reaches p percent of the whole, for every score column.
 
-    Equal scores are summed first. The running sum is spread: rows are cut into `ranges` score ranges at approximate quantiles, each
-    range is summed alone and gets the sum of those before it, so no task sorts all scores.
+    Equal scores are summed first; the running sum is made in ranges of the scores, so no task sorts all of them.
     """
-    stacked = df.select(weight.alias("w"), F.explode(F.map_from_arrays(F.array(*map(F.lit, score_cols)), F.array(*(F.col(c).cast("double") for c in score_cols)))).alias("score", "v"))
+    named = F.map_from_arrays(F.array(*map(F.lit, score_cols)), F.array(*(F.col(c).cast("double") for c in score_cols)))
+    stacked = df.select(weight.alias("w"), F.explode(named).alias("score", "v"))
     sums = stacked.where("v is not null and w is not null").groupBy("score", "v").agg(F.sum("w").alias("w"))
-    cuts = sums.groupBy("score").agg(F.percentile_approx("v", [i / ranges for i in range(1, ranges)], 1000).alias("cuts"))
-    placed = sums.join(F.broadcast(cuts), "score").withColumn("r", F.aggregate("cuts", F.lit(0), lambda a, c: a + (F.col("v") > c).cast("int"))).drop("cuts")
-    per = placed.groupBy("score", "r").agg(F.sum("w").alias("rw"))
-    per = per.withColumn("before", F.sum("rw").over(W.partitionBy("score").orderBy("r")) - F.col("rw")).withColumn("total", F.sum("rw").over(W.partitionBy("score")))
-    run = placed.join(per.drop("rw"), ["score", "r"]).withColumn("cw", F.sum("w").over(W.partitionBy("score", "r").orderBy("v")) + F.col("before"))
     cdf = F.col("cw") / F.col("total")
-    out = run.groupBy("score").agg(*(F.min(F.when(cdf >= p / 100, F.col("v"))).alias(f"_{p}") for p in percentiles))
+    out = running_sum(sums, ["score"], ["v"], "w", "cw", "total").groupBy("score").agg(*(F.min(F.when(cdf >= p / 100, F.col("v"))).alias(f"_{p}") for p in percentiles))
     pairs = F.array(*(F.struct(F.lit(p).alias("p"), F.col(f"_{p}").alias("threshold")) for p in percentiles))
     return out.select("score", F.explode(pairs).alias("x")).select("score", "x.p", "x.threshold")
 

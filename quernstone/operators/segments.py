@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from quernstone.functions.text import n_tokens
+from quernstone.operators.ranges import rank_within, running_sum
 
 
 def split_lines(df: DataFrame, id_col: str, text_col: str, separator: str = "\n") -> DataFrame:
@@ -33,9 +33,13 @@ def join_segments(segments: DataFrame, id_col: str, order_col: str, text_col: st
 
 
 def windows(df: DataFrame, id_col: str, text_col: str, window: int, hop: int) -> DataFrame:
-    """(id_col, k, start, stop, window) of character windows; a short tail goes to the last whole window, a text shorter than a window is one."""
+    """(id_col, k, start, stop, window) of character windows that start every `hop` characters.
+
+    A text shorter than a window is one. Windows that would reach over the end are none of their own: what they would add goes to the last whole window.
+    With hop < window several of them end in the same tail, and it is added once.
+    """
     n = F.length(text_col)
-    whole = F.when(n < window, 1).otherwise(((n - window) / hop).cast("int") + 1)
+    whole = F.when(n < window, 1).otherwise(F.expr(f"(length(`{text_col}`) - {window}) div {hop}").cast("int") + 1)
     rows = df.select(id_col, F.col(text_col).alias("_t"), n.alias("_n"), whole.alias("_w")).select(id_col, "_t", "_n", "_w", F.explode(F.sequence(F.lit(0), F.col("_w") - 1)).alias("k"))
     start = F.col("k") * hop
     last = (F.col("k") == F.col("_w") - 1) & (F.col("_n") >= window)
@@ -61,43 +65,31 @@ def sentence_chunks(df: DataFrame, id_col: str, text_col: str, sentences: int) -
 
 def page_windows(pages: DataFrame, doc_col: str, page_col: str, least: int = 2) -> DataFrame:
     """(doc_col, window, pages): whole windows of 2 to 8 pages by the document's number of pages; a short tail is left out."""
-    n = F.col("n")
+    n = F.col("_n")
     size = F.when((n > 60), 8).when((n > 50) & (n < 60), 7).when((n > 40) & (n < 50), 6).when((n > 30) & (n < 40), 5).when((n > 20) & (n < 30), 4).otherwise(2)
-    rows = pages.withColumn("n", F.count("*").over(W.partitionBy(doc_col))).withColumn("_i", F.row_number().over(W.partitionBy(doc_col).orderBy(page_col)) - 1).withColumn("_size", size)
-    rows = rows.groupBy(doc_col, F.floor(F.col("_i") / F.col("_size")).alias("window")).agg(F.sort_array(F.collect_list(page_col)).alias("pages"), F.first("_size").alias("_size"))
+    rows = rank_within(pages.select(doc_col, page_col), [doc_col], [page_col], "_i", "_n").withColumn("_size", size)
+    rows = rows.groupBy(doc_col, F.floor((F.col("_i") - 1) / F.col("_size")).alias("window")).agg(F.sort_array(F.collect_list(page_col)).alias("pages"), F.first("_size").alias("_size"))
     return rows.where((F.size("pages") == F.col("_size")) & (F.size("pages") >= least)).select(doc_col, "window", "pages")
 
 
 def bundles(df: DataFrame, id_col: str, size: int, how: str = "sequential", group_col: str | None = None) -> DataFrame:
     """(bundle, id_col): documents in bundles: neighbours by id, or one of each group in turn (interleaved)."""
     if how == "interleaved" and group_col:
-        ranked = df.withColumn("_r", F.row_number().over(W.partitionBy(group_col).orderBy(id_col)))
+        ranked = rank_within(df.select(id_col, group_col), [group_col], [id_col], "_r")
         ranked = global_rank(ranked, ["_r", id_col], "_k")
     else:
-        ranked = global_rank(df, [id_col], "_k")
+        ranked = global_rank(df.select(id_col), [id_col], "_k")
     return ranked.select(F.expr(f"(_k - 1) div {size}").alias("bundle"), id_col)
 
 
 def global_rank(df: DataFrame, order: list[str], out: str) -> DataFrame:
-    """df with the rank of each row from 1 in a total order, without bringing the rows to one task.
+    """df with the rank of each row from 1 in a total order, without bringing the rows to one task."""
+    return rank_within(df, [], order, out)
 
-    Rows are range-partitioned and ranked within their range; the ranges' sizes, one row each, give the offsets.
-    """
-    ranged = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    sizes = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
-    offsets = sizes.select("_p", (F.sum("_n").over(W.orderBy("_p")) - F.col("_n")).alias("_before"))
-    own = F.row_number().over(W.partitionBy("_p").orderBy(*order))
-    return ranged.withColumn("_own", own).join(F.broadcast(offsets), "_p").withColumn(out, F.col("_own") + F.col("_before")).drop("_p", "_own", "_before")
-
-
-def exclusive_sum(df: DataFrame, order: str, value: str, out: str, buckets: int = 64) -> DataFrame:
-    """df with the sum of the values of all rows before each; ranges of the order are summed alone and shifted by those before them."""
-    cuts = df.agg(F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 1000).alias("_cuts"))
-    placed = df.join(F.broadcast(cuts)).withColumn("_r", F.coalesce(F.aggregate("_cuts", F.lit(0), lambda a, c: a + (F.col(order) > c).cast("int")), F.lit(0))).drop("_cuts")
-    per = placed.groupBy("_r").agg(F.sum(value).alias("_sum"))
-    per = per.select("_r", (F.sum("_sum").over(W.orderBy("_r")) - F.col("_sum")).alias("_before"))
-    own = F.sum(value).over(W.partitionBy("_r").orderBy(order).rowsBetween(W.unboundedPreceding, 0)) - F.col(value)
-    return placed.withColumn(out, own).join(F.broadcast(per), "_r").withColumn(out, F.col(out) + F.col("_before")).drop("_r", "_before")
+
+def exclusive_sum(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
+    """df with the sum of the values of all rows before each in a total order."""
+    return running_sum(df, [], [order], value, out).withColumn(out, F.col(out) - F.col(value))
 
 
 def until_budget(df: DataFrame, order: str, value: str, budget: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -87,16 +88,30 @@ def identify(text: str) -> tuple[float, str | None]:
     return (hits[best] / sum(hits.values()), best) if hits[best] else (0.0, None)
 
 
+#: The character that each byte from 0x80 on becomes when it is read as Windows-1252, or as Latin-1 where that has none.
+_BYTE_CHARS = [(bytes([b]).decode("cp1252", "ignore") or chr(b)) for b in range(0x80, 0x100)]
+_BYTE_OF = {c: 0x80 + i for i, c in enumerate(_BYTE_CHARS)} | {chr(b): b for b in range(0x80, 0x100)}
+
+
+def _read_as(low: int, high: int) -> str:
+    return "[" + re.escape("".join(dict.fromkeys(c for c, b in _BYTE_OF.items() if low <= b <= high))) + "]"
+
+
+_NEXT = _read_as(0x80, 0xBF)
+#: A character of two to four UTF-8 bytes whose bytes were read one by one.
+_BROKEN = re.compile(f"{_read_as(0xC2, 0xDF)}{_NEXT}|{_read_as(0xE0, 0xEF)}{_NEXT}{{2}}|{_read_as(0xF0, 0xF4)}{_NEXT}{{3}}")
+
+
+def _decoded(m: re.Match) -> str:
+    try:
+        return bytes(_BYTE_OF[c] for c in m[0]).decode()
+    except UnicodeDecodeError:
+        return m[0]
+
+
 def repaired(text: str) -> str:
-    """Text whose UTF-8 was read as a one-byte encoding, decoded again where that works and leaves fewer odd characters."""
-    for encoding in ("cp1252", "latin-1"):
-        try:
-            again = text.encode(encoding).decode("utf-8")
-        except (UnicodeEncodeError, UnicodeDecodeError):
-            continue
-        if len(again) < len(text):
-            return again
-    return text
+    """Text in which every character whose UTF-8 bytes were read one by one is put together again; sound characters around them stay."""
+    return text if text.isascii() else _BROKEN.sub(_decoded, text)
 
 
 def _mapped(df: DataFrame, id_col: str, text_col: str, names: list[str], kinds: list[pa.DataType], sql: str, fn) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from quernstone.functions import text as T
 from quernstone.operators import blending, quality, segments, transforms
 from quernstone.plans.base import query
-from quernstone.session import table
+from quernstone.session import materialize, table
 
 _H = "CAST(('0x' || substr(md5({}), 1, 15)) AS BIGINT)"
 _U = _H + " / 1152921504606846976.0"
@@ -96,7 +96,8 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quernstone.operators import dedup
 
     d = dedup.exact_survivors(docs(spark, sf_dir).where("text is not null").select("doc_id", "text"), "doc_id", "text")
-    return d.select("doc_id", F.octet_length("text").cast("long").alias("bytes"), *(T.unit(F.concat("text", F.lit(f"#{i}"))).alias(f"s{i}") for i in (1, 2, 3)))
+    out = d.select("doc_id", F.octet_length("text").cast("long").alias("bytes"), *(T.unit(F.concat("text", F.lit(f"#{i}"))).alias(f"s{i}") for i in (1, 2, 3)))
+    return materialize(out, "scored")
 
 
 @query(_SCORED + " SELECT score, CAST(p AS INTEGER) AS p, round(threshold, 9) AS threshold FROM t")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quernstone.operators import dedup
 from quernstone.operators.components import components
+from quernstone.operators.ranges import with_group_min
 from quernstone.operators.transforms import anti
 from quernstone.plans.base import query
 from quernstone.plans.corpus import docs
@@ -51,8 +52,7 @@ def linked_documents(spark, sf_dir):
     """Components of documents that share a text or an address."""
     d = docs(spark, sf_dir)
     keys = d.where("text is not null").select("doc_id", F.md5("text").alias("h")).unionByName(d.where("url is not null").select("doc_id", F.concat(F.lit("u"), "url").alias("h")))
-    low = keys.groupBy("h").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).where("n > 1").select("h", "a")
-    edges = keys.join(low, "h").where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
+    edges = with_group_min(keys, ["h"], "doc_id", "a", "n").where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
     return components(edges).select(F.col("node").alias("doc_id"), "component")
 
 

@@ -34,6 +34,13 @@ def html_main_text(spark, sf_dir):
     return web.extract(d, "doc_id", "html").select("doc_id", F.length("text").alias("chars"))
 
 
+@query("SELECT doc_id, md5(text) AS digest FROM documents WHERE text IS NOT NULL")
+def encoding_round_trip(spark, sf_dir):
+    """Every text broken on purpose (its UTF-8 read as Latin-1) and repaired."""
+    broken = docs(spark, sf_dir).where("text is not null").select("doc_id", F.decode(F.encode("text", "UTF-8"), "ISO-8859-1").alias("text"))
+    return web.repair(broken, "doc_id", "text").select("doc_id", F.md5("text").alias("digest"))
+
+
 _H = "CAST(('0x' || substr(md5({}), 1, 15)) AS BIGINT)"
 
 
