@@ -8,7 +8,12 @@ probability 1 - exp(-branch) on a level; `runs` independent runs are made togeth
 of found pairs (from the pairs that one run or two runs found) reaches `recall`.
 
 Pairs of a node are first held against each other by a sketch of 64 two-bit minwise symbols, with a margin of four standard
-deviations (of pairs just at the threshold it passes 9,999 in 10,000), then by the exact similarity of the whole sets. Equal texts are one class; only its least id takes part in the join.
+deviations, then by the exact similarity of the whole sets. What the sketch may lose of pairs just at the threshold, by the binomial
+distribution of its symbols, counts against the recall; each round has another sketch. A join that doesn't reach the recall fails. Equal
+texts are one class; only its least id takes part in the join.
+
+A node that very many texts chose (a common run of words) is found by a heavy-hitter sketch of fixed size before the rows are brought together by
+node; its rows go on to the next level as they are, and on the last one into blocks.
 
 Null and empty texts and those of fewer than `min_words` words take no part. Ids must be unique; repeated ids and texts, empty
 tables and further columns are no problem.
@@ -17,6 +22,7 @@ tables and further columns are no problem.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +32,13 @@ from pyspark.sql import functions as F
 
 from quernstone.functions.words import pieces, texts, words
 from quernstone.operators.components import components
+from quernstone.operators.ranges import with_group_min
 from quernstone.session import materialize
 
 WIDTH, THRESHOLD, MIN_WORDS = 5, 0.8, 1
-RUNS, LEVELS, BRANCH, RECALL, MOST_ROUNDS = 3, 3, 3.0, 0.999, 6
+RUNS, LEVELS, BRANCH, RECALL = 3, 3, 3.0, 0.999
+#: Rounds of runs after which a join that is still below the recall fails; their runs have a bit each in one long.
+MOST_ROUNDS = 20
 #: Texts of a node that are compared at once, and texts in a block of a node that stays large.
 BUCKET, BLOCK = 512, 256
 #: Words whose hashes a worker keeps.
@@ -132,7 +141,7 @@ def _signatures(df: DataFrame, id_col: str, text_col: str, width: int, min_words
             h, ends = word_runs([ws for _, ws in docs], width)
             if not len(h):
                 continue
-            s = sketches(h, ends)
+            s = sketches(h, ends, 11 + first_run)
             picked, at = choices(h, ends, first_run, runs, levels, share)
             picks = pa.ListArray.from_arrays(pa.array(np.arange(len(docs) + 1) * (runs * levels), pa.int32()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(picked)))
             keys = [xxhash.xxh3_128_digest(" ".join(ws)) for _, ws in docs]
@@ -263,6 +272,16 @@ def _level(rows: DataFrame, threshold: float, bucket: int) -> DataFrame:
     return rows.select(*_ROW).repartition("node").sortWithinPartitions("node").mapInArrow(run, _LEVEL)
 
 
+#: Nodes that the heavy-hitter sketch may name and the counters that it keeps: a node with a 5,000th of all rows is surely named.
+HEAVY_NODES, HEAVY_COUNTERS = 1_000, 32_768
+
+
+def _heavy(rows: DataFrame, bucket: int) -> list[int]:
+    """The nodes with most rows, at most HEAVY_NODES, of those with far more than `bucket`."""
+    top = rows.agg(F.expr(f"approx_top_k(node, {HEAVY_NODES}, {HEAVY_COUNTERS})").alias("t")).first()["t"]
+    return [x["item"] for x in top or [] if x["count"] > 16 * bucket]
+
+
 def _candidates(reps: DataFrame, runs: int, levels: int, threshold: float, bucket: int, block: int) -> DataFrame:
     """(a, b, mask): pairs that a node brought together and whose sketches are alike; mask has a bit for each run."""
 
@@ -277,15 +296,19 @@ def _candidates(reps: DataFrame, runs: int, levels: int, threshold: float, bucke
     rows = rows.select(node(F.col("run"), F.col("run")).alias("node"), *value)
     out = None
     for level in range(levels):
-        given = materialize(_level(rows, threshold, bucket), "level")
+        heavy = _heavy(rows, bucket)
+        cold = rows.where(~F.col("node").isin(heavy)) if heavy else rows
+        given = materialize(_level(cold, threshold, bucket), "level")
         pairs = given.where("not hot").select("a", "b", "bit")
         out = pairs if out is None else out.unionByName(pairs)
         hot = given.where("hot").select(*_ROW)
+        if heavy:
+            hot = hot.unionByName(rows.where(F.col("node").isin(heavy)).select(*_ROW))
         if hot.isEmpty():
             break
         if level == levels - 1:
-            sizes = hot.groupBy("node").agg(F.count("*").alias("c"))
-            both = blocked_pairs(hot.join(sizes, "node").select("node", "c", F.struct(*value).alias("v")), ["node"], "c", "rep", block).where(_alike(threshold))
+            sized = with_group_min(hot, ["node"], "rep", "_least", "c")
+            both = blocked_pairs(sized.select("node", "c", F.struct(*value).alias("v")), ["node"], "c", "rep", block).where(_alike(threshold))
             out = out.unionByName(both.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.expr(f"shiftleft(1L, cast(node & {_RUN_BITS - 1} as int))").alias("bit")))
             break
         own = reps.select(F.col("rep").alias("_r"), chosen(level + 1).alias("p"))
@@ -294,52 +317,59 @@ def _candidates(reps: DataFrame, runs: int, levels: int, threshold: float, bucke
     return out.groupBy("a", "b").agg(F.bit_or("bit").alias("mask"))
 
 
-#: Ids of texts to verify that are broadcast; more are joined by a shuffle.
-MOST_BROADCAST_IDS = 2_000_000
-
-
 def _verified(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str, width: int, threshold: float) -> DataFrame:
-    """Pairs whose sets have the exact similarity."""
+    """Pairs whose sets have the exact similarity; the sets of the texts in question are made once and written."""
     ids = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-    few = ids.limit(MOST_BROADCAST_IDS + 1).count() <= MOST_BROADCAST_IDS
-    own = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(F.broadcast(ids) if few else ids, "doc", "left_semi")
-    sets = _sets(own, "doc", "text", width)
+    own = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(ids, "doc", "left_semi")
+    sets = materialize(_sets(own, "doc", "text", width), "sets")
     both = pairs.join(sets.select(F.col("doc").alias("a"), F.col("runs").alias("ra")), "a").join(sets.select(F.col("doc").alias("b"), F.col("runs").alias("rb")), "b")
     both = both.withColumn("shared", F.size(F.array_intersect("ra", "rb"))).withColumn("all", F.size("ra") + F.size("rb") - F.col("shared"))
     return both.where(F.col("shared") >= F.lit(threshold) * F.col("all") - 1e-9).select("a", "b", "mask", (F.col("shared") / F.col("all")).alias("similarity"))
 
 
+def sketch_loss(threshold: float) -> float:
+    """The probability that the sketches of two texts just at the threshold differ in too many symbols; it is less for more similar ones."""
+    p, most = (1 - threshold) * 3 / 4, _most_apart(threshold)
+    return 1 - sum(comb(_SYMBOLS, k) * p**k * (1 - p) ** (_SYMBOLS - k) for k in range(most + 1))
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = WIDTH, threshold: float = THRESHOLD, min_words: int = MIN_WORDS,
     runs: int = RUNS, levels: int = LEVELS, branch: float = BRANCH, recall: float = RECALL, most_rounds: int = MOST_ROUNDS, bucket: int = BUCKET, block: int = BLOCK,
-) -> tuple[DataFrame, DataFrame]:
-    """(members, pairs): members (doc, rep) has every text that takes part and the least id of the texts with the same words;
-    pairs (a, b, similarity) has the pairs of representatives a < b whose similarity reaches the threshold."""
-    members, pairs = None, None
+) -> tuple[DataFrame, DataFrame, float]:
+    """(members, pairs, reached): members (doc, rep) has every text that takes part and the least id of the texts with the same words;
+    pairs (a, b, similarity) has the pairs of representatives a < b whose similarity reaches the threshold; reached is the estimated recall."""
+    if not 1 <= runs <= _RUN_BITS or runs * most_rounds > 63:
+        raise ValueError(f"{runs} runs in {most_rounds} rounds: at most {_RUN_BITS} runs a round and 63 in all")
+    members, pairs, reached = None, None, 0.0
     for round_ in range(most_rounds):
         base = materialize(_signatures(df, id_col, text_col, width, min_words, round_ * runs, runs, levels, branch / threshold), "signatures")
         if members is None:
-            members = base.select("doc", "key").distinct().join(base.groupBy("key").agg(F.min("doc").alias("rep")), "key").select("doc", "rep")
+            members = materialize(with_group_min(base.select("doc", "key").distinct(), ["key"], "doc", "rep", "copies").select("doc", "rep", "copies"), "members")
         reps = base.groupBy("key").agg(F.min("doc").alias("rep"), *(F.first(c).alias(c) for c in ("n", "s1", "s2", "picks")))
         reps = materialize(reps.drop("key"), "representatives")
         found = materialize(_candidates(reps, runs, levels, threshold, bucket, block), "candidates")
-        new = materialize(_verified(found, df, id_col, text_col, width, threshold), "pairs")
-        pairs = new if pairs is None else materialize(pairs.unionByName(new.withColumn("mask", F.expr(f"shiftleft(mask, {round_ * runs})"))).groupBy("a", "b").agg(F.bit_or("mask").alias("mask"), F.first("similarity").alias("similarity")), "pairs")
+        new = _verified(found, df, id_col, text_col, width, threshold)
+        if pairs is None:
+            pairs = materialize(new, "pairs")
+        else:
+            both = pairs.unionByName(new.withColumn("mask", F.expr(f"shiftleft(mask, {round_ * runs})")))
+            pairs = materialize(both.groupBy("a", "b").agg(F.bit_or("mask").alias("mask"), F.first("similarity").alias("similarity")), "pairs")
         times = F.bit_count("mask")
         n, once, twice = pairs.agg(F.count("*"), F.coalesce(F.sum((times == 1).cast("int")), F.lit(0)), F.coalesce(F.sum((times == 2).cast("int")), F.lit(0))).first()
         missing = once * once / (2 * twice) if twice else once * (once - 1) / 2
-        if n >= recall * (n + missing):
-            break
-    return members, pairs.select("a", "b", "similarity")
+        reached = (n / (n + missing) if n else 1.0) * (1 - sketch_loss(threshold) ** (round_ + 1))
+        if reached >= recall:
+            return members, pairs.select("a", "b", "similarity"), reached
+    raise RuntimeError(f"the join reached a recall of {reached:.4f} in {most_rounds} rounds; {recall} was asked for")
 
 
 def document_pairs(members: DataFrame, pairs: DataFrame, block: int = 1024) -> DataFrame:
     """(a, b), a < b: the pairs of documents that pairs of representatives and equal texts stand for."""
     left, right = members.select(F.col("doc").alias("x"), F.col("rep").alias("a")), members.select(F.col("doc").alias("y"), F.col("rep").alias("b"))
     across = pairs.select("a", "b").join(left, "a").join(right, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    sizes = members.groupBy("rep").agg(F.count("*").alias("c")).where("c > 1")
-    equal = members.join(sizes, "rep").select("rep", "c", F.struct("doc").alias("v"))
-    within = blocked_pairs(equal, ["rep"], "c", "doc", block).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
+    equal = members.where("copies > 1").select("rep", "copies", F.struct("doc").alias("v"))
+    within = blocked_pairs(equal, ["rep"], "copies", "doc", block).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
     return across.unionByName(within)
 
 

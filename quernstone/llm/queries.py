@@ -17,16 +17,20 @@ _LOG = logging.getLogger(__name__)
 P2 = {"width": 3, "threshold": 0.6, "min_words": 50}
 
 
+def _near_duplicates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    members, found, reached = neardup.near_duplicates(table(spark, sf_dir, "documents"), **P2)
+    _LOG.info("p2: estimated recall %.5f", reached)
+    return members, found
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of documents that are near-duplicates or equal."""
-    members, pairs = neardup.near_duplicates(table(spark, sf_dir, "documents"), **P2)
-    return neardup.document_pairs(members, pairs).select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
+    return neardup.document_pairs(*_near_duplicates(spark, sf_dir)).select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
 
 
 def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row a document that takes part: its group of linked texts and the number of links of its text."""
-    members, pairs = neardup.near_duplicates(table(spark, sf_dir, "documents"), **P2)
-    return neardup.groups(members, pairs).select(F.col("doc").alias("doc_id"), F.col("group").alias("group_id"), "links")
+    return neardup.groups(*_near_duplicates(spark, sf_dir)).select(F.col("doc").alias("doc_id"), F.col("group").alias("group_id"), "links")
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

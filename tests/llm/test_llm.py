@@ -91,17 +91,41 @@ def test_near_duplicates_against_brute_force(spark, bucket):
             rows.append((len(rows), " ".join(t)))
     rows += [(len(rows) + i, rows[0][1].upper() + "!") for i in range(3)] + [(900, None), (901, ""), (902, "too short")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("rep", F.lit("clash")).withColumn("n", F.lit("clash"))
-    members, found = neardup.near_duplicates(df, **queries.P2, bucket=bucket, block=4)
+    members, found, reached = neardup.near_duplicates(df, **queries.P2, bucket=bucket, block=4)
     assert {tuple(x) for x in neardup.document_pairs(members, found, block=2).collect()} == _brute_pairs(rows, 3, 0.6, 50)
+    assert reached >= neardup.RECALL
     groups = {x["doc"]: x["group"] for x in neardup.groups(members, found).collect()}
     assert len(groups) == len(rows) - 3 and all(groups[a] == groups[b] for a, b in _brute_pairs(rows, 3, 0.6, 50))
 
 
 def test_near_duplicates_of_nothing(spark):
-    members, found = neardup.near_duplicates(spark.createDataFrame([(1, None)], "doc_id long, text string"))
+    members, found, reached = neardup.near_duplicates(spark.createDataFrame([(1, None)], "doc_id long, text string"))
     assert members.count() == 0 and found.count() == 0
 
 
+def test_hot_node_and_copies(spark):
+    """All texts share a run of words that half of all choices fall on, and half of the texts are one text: the node is found heavy and nothing is lost."""
+    r = random.Random(9)
+    shared = " ".join(f"s{i}" for i in range(40))
+    rows = [(i, shared + " " + " ".join(f"x{r.randrange(10**6)}" for _ in range(8))) for i in range(300)] + [(300 + i, shared + " and the same end of it") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    members, found, _ = neardup.near_duplicates(df, width=3, threshold=0.6, bucket=8, block=64)
+    assert members.groupBy("rep").count().agg(F.max("count")).first()[0] == 300
+    assert {tuple(x) for x in neardup.document_pairs(members, found, block=64).collect()} == _brute_pairs(rows, 3, 0.6, 1)
+    base = neardup._signatures(df, "doc_id", "text", 3, 1, 0, 3, 3, 5.0)
+    rows_ = base.select(F.explode(F.flatten("picks")).alias("node"))
+    assert 0 < len(neardup._heavy(rows_, 8)) <= neardup.HEAVY_NODES
+
+
+def test_recall_is_reached_or_the_join_fails(spark):
+    df = spark.createDataFrame([(i, " ".join(f"w{j + i // 2 * 100 + (j == 3) * i}" for j in range(60))) for i in range(80)], "doc_id long, text string")
+    assert 0 < neardup.sketch_loss(0.6) < 2e-4 and neardup.sketch_loss(0.8) < 2e-4
+    with pytest.raises(RuntimeError, match="recall"):
+        neardup.near_duplicates(df, width=3, threshold=0.6, runs=1, levels=1, branch=0.05, most_rounds=1)
+    with pytest.raises(ValueError, match="runs"):
+        neardup.near_duplicates(df, runs=9)
+
+
 # 7: leakage
 
 
