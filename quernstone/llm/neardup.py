@@ -94,8 +94,9 @@ def word_runs(docs: list[list[str]], width: int) -> tuple[np.ndarray, np.ndarray
     short = np.repeat(np.minimum(sizes, width), sizes)
     keep = left >= short
     h, text = h[keep], text[keep]
-    order = np.lexsort((h, text))
-    h, text = h[order], text[order]
+    ends = np.searchsorted(text, np.arange(len(docs) + 1)).tolist()
+    for a, b in zip(ends, ends[1:]):
+        h[a:b].sort()
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
     h, text = h[new], text[new]
