@@ -19,7 +19,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN_BINS, LANE_TOKENS, DEFAULT_SIZE = 64, 8_000_000, 2048
@@ -102,13 +102,20 @@ def capacities(packed: DataFrame) -> DataFrame:
     return packed.groupBy("dataset").agg(F.max("pack_size").alias("pack_size")).where("pack_size > 0")
 
 
+def _content() -> Column:
+    """A hash of the tokens of a sequence without an id."""
+    return F.when(F.col("seq_id").isNull(), F.xxhash64("input_ids")).alias("h")
+
+
 def _laned(seqs: DataFrame, sizes: DataFrame, lane_tokens: int, default_size: int) -> DataFrame:
     """Rows of seqs (with n) with capacity and lane, each lane within one partition and in order."""
     per_shard = seqs.groupBy("dataset", "shard_index").agg(F.sum("n").alias("total"))
     per_shard = per_shard.join(sizes.withColumnRenamed("dataset", "_d"), F.col("dataset").eqNullSafe(F.col("_d")), "left")
     per_shard = per_shard.select(F.col("dataset").alias("_d"), F.col("shard_index").alias("_s"), F.coalesce("pack_size", F.lit(default_size)).alias("pack_size"), F.ceil(F.col("total") / lane_tokens).alias("_lanes"))
     out = seqs.join(per_shard, F.col("dataset").eqNullSafe(F.col("_d")) & F.col("shard_index").eqNullSafe(F.col("_s"))).drop("_d", "_s")
-    out = out.withColumn("lane", F.pmod(F.xxhash64("seq_id"), F.greatest("_lanes", F.lit(1))).cast("int")).drop("_lanes")
+    # sequences without an id are spread by their content
+    key = F.coalesce(F.col("seq_id").cast("string"), F.concat(F.lit("h"), F.col("h").cast("string")))
+    out = out.withColumn("lane", F.pmod(F.xxhash64(key), F.greatest("_lanes", F.lit(1))).cast("int")).drop("_lanes")
     return out.repartition("dataset", "shard_index", "lane").sortWithinPartitions("dataset", "shard_index", "lane", "seq_id")
 
 
@@ -117,7 +124,7 @@ _GROUP = "dataset string, shard_index int, lane int, bin long, pack_size int"
 
 def placements(seqs: DataFrame, sizes: DataFrame, *, open_bins: int = OPEN_BINS, lane_tokens: int = LANE_TOKENS, default_size: int = DEFAULT_SIZE) -> DataFrame:
     """(dataset, shard_index, lane, bin, pack_size, pos, seq_id, start, tokens, pieces): where each piece of each sequence goes; only lengths are shuffled."""
-    narrow = seqs.select("dataset", "shard_index", F.col("seq_id").cast("long").alias("seq_id"), F.coalesce(F.size("input_ids"), F.lit(0)).alias("n")).where("n > 0")
+    narrow = seqs.select("dataset", "shard_index", F.col("seq_id").cast("long").alias("seq_id"), F.coalesce(F.size("input_ids"), F.lit(0)).alias("n"), _content()).where("n > 0")
     laned = _laned(narrow, sizes, lane_tokens, default_size).select("dataset", "shard_index", "lane", "seq_id", "n", "pack_size")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +149,7 @@ def placements(seqs: DataFrame, sizes: DataFrame, *, open_bins: int = OPEN_BINS,
 
 def pack(seqs: DataFrame, sizes: DataFrame, *, open_bins: int = OPEN_BINS, lane_tokens: int = LANE_TOKENS, default_size: int = DEFAULT_SIZE) -> DataFrame:
     """The containers: seq_ids, input_ids, loss_mask (shifted left by one inside each item, last 0) and seq_start_id; sequences are shuffled once."""
-    narrow = seqs.select("dataset", "shard_index", F.col("seq_id").cast("long").alias("seq_id"), F.coalesce(F.size("input_ids"), F.lit(0)).alias("n"), "input_ids", "loss_mask").where("n > 0")
+    narrow = seqs.select("dataset", "shard_index", F.col("seq_id").cast("long").alias("seq_id"), F.coalesce(F.size("input_ids"), F.lit(0)).alias("n"), _content(), "input_ids", "loss_mask").where("n > 0")
     laned = _laned(narrow, sizes, lane_tokens, default_size).select("dataset", "shard_index", "lane", "seq_id", "n", "pack_size", "input_ids", "loss_mask")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:

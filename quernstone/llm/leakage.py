@@ -7,7 +7,8 @@ q-grams are looked up in an index of all fields' q-grams, hits are counted in ov
 bound are left out, and in the rest each window is aligned with the region of the band, in a band of k around its diagonal (with k = 0,
 compared), word ends included.
 
-The test items are broadcast, so their number of characters is checked; documents are never shuffled. Null, empty or short fields
+The index of the test items is broadcast, so they are taken in blocks of a bounded number of characters; of more than one block, each is a pass
+over the documents whose rows are written before the next. Documents are never shuffled. Null, empty or short fields
 and texts give nothing; repeated documents each give their rows; repeated items count once; empty tables give an empty result.
 """
 
@@ -18,15 +19,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions.words import pieces, texts, words
+from quernstone.session import materialize
 
 SPAN, LEAST, EDITS = 13, 8, 0
 #: Lengths of q-grams, powers of two; a field takes the longest with a bound of at least four q-grams, or else the shortest.
 GRAMS = (16, 8, 4, 2, 1)
-MOST_INDEX_CHARS = 50_000_000
+#: Characters of test items whose index (about 25 bytes a character) is broadcast at once.
+MOST_INDEX_CHARS = 4_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 22
 
@@ -177,10 +181,21 @@ def leaks(
     """(id_col, item_col): a document holds a window of a field of the item, with at most `edits` edits."""
     flat = items.select(item_col, F.explode(F.array(*field_cols)).alias("t")).where("t is not null").distinct()
     chars = flat.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
-    if chars > most_index_chars:
-        raise ValueError(f"the test items have {chars} characters; at most {most_index_chars} are broadcast")
-    made = index([(r[0], r[1]) for r in flat.collect()], span, least, edits)
-    shared = docs.sparkSession.sparkContext.broadcast(made)
+    blocks = max(1, -(-chars // most_index_chars))
+    found = None
+    for block in range(blocks):
+        # texts go to blocks by hash, so that equal ones share one
+        rows = flat.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == block).collect()
+        shared = docs.sparkSession.sparkContext.broadcast(index([(r[0], r[1]) for r in rows], span, least, edits))
+        one = _found(docs, items, shared, id_col, text_col, item_col, least, edits)
+        if blocks > 1:
+            one = materialize(one, "leaks")
+            shared.unpersist()
+        found = one if found is None else found.unionByName(one)
+    return found.distinct()
+
+
+def _found(docs: DataFrame, items: DataFrame, shared: Broadcast, id_col: str, text_col: str, item_col: str, least: int, edits: int) -> DataFrame:
     kinds = [docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,4 +207,4 @@ def leaks(
             item = [x for f in found for x in sorted(f)]
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(item, pa.int64())], [id_col, item_col])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kinds[0]}, `{item_col}` {kinds[1]}").distinct()
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kinds[0]}, `{item_col}` {kinds[1]}")
