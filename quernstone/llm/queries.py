@@ -47,6 +47,19 @@ def p6_tokens_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("chars_per_token", F.round(F.col("chars") / F.nullif("tokens", F.lit(0)), 4))
 
 
+def p6_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A digest of every text that the decoded ids give."""
+    back = bpe.decode_ids(bpe.encode_texts(table(spark, sf_dir, "documents")))
+    return back.select("doc_id", F.md5("text").alias("digest"))
+
+
+def p1_block_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The characters that the blocks of each source hold: all of its documents'."""
+    docs, spec = table(spark, sf_dir, "documents"), table(spark, sf_dir, "blend_sources")
+    cut = mixing.blocks(docs, mixing.plan(docs, spec))
+    return cut.groupBy("name").agg(F.sum("chars").alias("chars"))
+
+
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sources of a blend that cannot reach their target."""
     return mixing.shortfalls(mixing.plan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "blend_sources")))
@@ -80,6 +93,15 @@ def p3_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binpack.pack(table(spark, sf_dir, "token_sequences"), binpack.capacities(table(spark, sf_dir, "packed_sequences")))
 
 
+def p3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens and sequences that the containers of each dataset and shard hold: all of them, each once."""
+    packed = p3_packed(spark, sf_dir)
+    tokens = packed.groupBy("dataset", "shard_index").agg(F.sum(F.size("input_ids")).alias("tokens"))
+    ids = packed.select("dataset", "shard_index", F.explode("seq_ids").alias("s")).groupBy("dataset", "shard_index").agg(F.countDistinct("s").alias("sequences"))
+    same = tokens["dataset"].eqNullSafe(ids["dataset"]) & tokens["shard_index"].eqNullSafe(ids["shard_index"])
+    return tokens.join(ids, same).select(tokens["dataset"], tokens["shard_index"], "tokens", "sequences")
+
+
 def p3_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Containers and used space of each dataset."""
     return binpack.fill(p3_packed(spark, sf_dir))
@@ -145,8 +167,11 @@ def p8_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_plan, p1_blend, p1_shares, p2_found, p2_groups, p3_found, p3_packed, p3_fill, p4_found, p4_labels, p5_found, p5_classes, p6_ids, p6_tokens_by_lang, p7_found, p7_near, p8_found, p8_clean)
-}
+    for f in (
+        p1_found, p1_plan, p1_block_chars, p1_blend, p1_shares, p2_found, p2_groups, p3_found, p3_packed, p3_tokens, p3_fill, p4_found, p4_labels, p5_found, p5_classes, p6_ids, p6_round_trip, p6_tokens_by_lang,
+        p7_found, p7_near, p8_found, p8_clean,
+    )
+}
 
 _PLAN_SQL = """
 WITH spec AS (
@@ -164,6 +189,11 @@ WITH spec AS (
 ORACLE: dict[str, str] = {
     "p1_found": _PLAN_SQL + " SELECT blend, name FROM plan WHERE target > supply",
     "p1_plan": _PLAN_SQL + " SELECT blend, name, category, max_repeats, round(share, 9) AS share, round(target, 3) AS target, CAST(supply AS BIGINT) AS supply FROM plan",
+    "p1_block_chars": _PLAN_SQL + " SELECT name, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents JOIN (SELECT DISTINCT name FROM one) o ON o.name = lower(trim(source, E' \t\n\r')) WHERE n_chars > 0 GROUP BY name",
+    "p6_round_trip": "SELECT doc_id, md5(coalesce(text, '')) AS digest FROM documents",
+    "p3_tokens": """
+WITH s AS (SELECT DISTINCT dataset, shard_index, seq_id, len(input_ids) AS n, CASE WHEN seq_id IS NULL THEN input_ids END AS i FROM token_sequences WHERE len(input_ids) > 0)
+SELECT dataset, shard_index, CAST(sum(n) AS BIGINT) AS tokens, count(DISTINCT seq_id) AS sequences FROM s GROUP BY 1, 2""",
     "p3_found": """
 WITH lens AS (SELECT DISTINCT seq_id, len(input_ids) AS n FROM token_sequences WHERE len(input_ids) > 0
 ), packs AS (SELECT DISTINCT pack_id, pack_size, seq_ids, seq_start_id, len(input_ids) AS total FROM packed_sequences
