@@ -123,3 +123,53 @@ def cosine(a: Column, b: Column) -> Column:
 def is_finite(a: Column, dim: int) -> Column:
     """Whether a vector has `dim` numbers, none of them NaN or infinite."""
     return (F.size(a) == dim) & F.forall(a, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+
+
+def restored(prefix: Column, text: Column, suffix: Column) -> Column:
+    """A text between its prefix and suffix (null ones are empty), without line ends at its end."""
+    return F.regexp_replace(F.concat(F.coalesce(prefix, F.lit("")), text, F.coalesce(suffix, F.lit(""))), r"\n+$", "")
+
+
+def json_answer(c: Column) -> Column:
+    """The answer in a JSON text: the first element of a list, the first value of an object, a scalar itself; what is no JSON stays as it is."""
+    key = F.get(F.json_object_keys(c), F.lit(0))
+    scalar = F.get_json_object(c, "$")
+    in_object = F.get(F.map_values(F.from_json(c, "map<string,string>")), F.lit(0))
+    return F.when(F.json_array_length(c).isNotNull(), F.get_json_object(c, "$[0]")).when(key.isNotNull(), in_object).otherwise(F.coalesce(scalar, c))
+
+
+def normalized_path(c: Column) -> Column:
+    """A path or address with forward slashes, without anchor and query, and of an address without its scheme and host."""
+    plain = F.regexp_replace(F.replace(c, F.lit("\\"), F.lit("/")), r"[#?].*$", "")
+    return F.regexp_replace(F.regexp_replace(plain, r"^[a-z]+://[^/]*/?", ""), r"^(\./)+", "")
+
+
+def base_name(c: Column) -> Column:
+    return F.regexp_extract(c, r"([^/]*)$", 1)
+
+
+def clip_key(c: Column) -> Column:
+    """A clip's name without the start and end times at its end."""
+    return F.regexp_replace(c, r"_[0-9]+(\.[0-9]+)?_[0-9]+(\.[0-9]+)?$", "")
+
+
+def flat_content(parts: Column) -> Column:
+    """The texts of a message's parts, one to a line; null and empty ones are left out."""
+    return F.array_join(F.filter(parts, lambda x: F.coalesce(x, F.lit("")) != ""), "\n")
+
+
+def qa_pairs(c: Column) -> Column:
+    """Pairs of "Question: ..." and "Answer: ..." lines as (question, answer)."""
+    pattern = r"Question: ([^\n]+)\nAnswer: ([^\n]+)"
+    zipped = F.arrays_zip(F.regexp_extract_all(c, F.lit(pattern), 1).alias("question"), F.regexp_extract_all(c, F.lit(pattern), 2).alias("answer"))
+    return F.transform(zipped, lambda x: F.struct(F.trim(x["question"]).alias("question"), F.trim(x["answer"]).alias("answer")))
+
+
+def sampled_category(values: list[str], key: Column) -> Column:
+    """One of some values, fixed by a key."""
+    return F.element_at(F.array(*map(F.lit, values)), (F.pmod(md5_int(key), F.lit(len(values))) + 1).cast("int"))
+
+
+def segment_budget(max_input: int, prefix_tokens: int) -> int:
+    """Tokens of a segment that fit into a prompt besides its prefix and two marks."""
+    return max_input - prefix_tokens - 2

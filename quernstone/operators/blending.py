@@ -49,6 +49,13 @@ def stratified_split(df: DataFrame, key: str, stratum: str, every: int) -> DataF
     return ranked.withColumn("split", F.when(F.col("_r") <= F.expr(f"_n div {every}"), "val").otherwise("train")).drop("_n", "_r", "_h")
 
 
+def fractional_split(df: DataFrame, key: str, seed: int, val: float, test: float) -> DataFrame:
+    """df with a split: in an order that key and seed fix, the first floor(n val) rows are val, the next floor(n test) test, the others train."""
+    ranked = rank_within(df.withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))), [], ["_h", key], "_r", "_n")
+    v, t = F.floor(F.col("_n") * val), F.floor(F.col("_n") * test)
+    return ranked.withColumn("split", F.when(F.col("_r") <= v, "val").when(F.col("_r") <= v + t, "test").otherwise("train")).drop("_r", "_n", "_h")
+
+
 def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
     """Rows in an order that the key and the seed fix."""
     return df.orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string"))), key)

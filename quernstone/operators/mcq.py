@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions.text import md5_int
+from quernstone.operators.segments import global_rank
 
 LETTERS = "ABCDEFGHIJ"
 
@@ -97,3 +98,51 @@ def outliers(df: DataFrame, id_col: str, choice_col: str, vec_col: str, is_answe
 
 def seeded_rank(id_col: str, seed: int) -> Column:
     return md5_int(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
+
+
+def with_results(df: DataFrame, results: DataFrame, id_col: str, *, valid: str | None = None) -> DataFrame:
+    """df with a judge's or filter's columns, the questions only that have a result; with `valid` those only where that column is true."""
+    out = df.join(results, id_col)
+    return out.where(F.col(valid)).drop(valid) if valid else out
+
+
+def with_distractors(df: DataFrame, distractors: DataFrame, id_col: str, column: str) -> DataFrame:
+    """df with distractors joined; questions without any are dropped."""
+    return df.join(distractors.select(id_col, column), id_col, "left").where(F.col(column).isNotNull())
+
+
+def revalidated(df: DataFrame, results: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
+    """df whose `cols` are those of the results and whose former values are kept as original_*; questions without a result are dropped."""
+    renamed = df.withColumnsRenamed({c: f"original_{c}" for c in cols})
+    return renamed.join(results.select(id_col, *cols), id_col)
+
+
+def regrouped(rows: DataFrame, id_col: str, order: str, value: str) -> DataFrame:
+    """(id_col, values): the values of each question in their order, from one row a value."""
+    return rows.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x[value]).alias("values"))
+
+
+def remapped_answer(choices: Column, right: Column) -> Column:
+    """The index of the right choice among the choices, null where it is missing."""
+    return F.nullif(F.array_position(choices, right) - 1, F.lit(-1))
+
+
+def has_all_tags(tags: Column, wanted: list[str]) -> Column:
+    """Whether a comma list of tags, blanks around them ignored, holds all of the wanted ones; a null list doesn't."""
+    own = F.transform(F.split(tags, ","), lambda x: F.trim(x))
+    return F.coalesce(F.size(F.array_except(F.array(*map(F.lit, wanted)), own)) == 0, F.lit(False))
+
+
+def first_of_each(values: Column, key) -> Column:
+    """The values without those whose key an earlier one has."""
+    keys = F.transform(values, key)
+    return F.filter(values, lambda x, i: F.array_position(keys, key(x)) == i + 1)
+
+
+def drawn_with_replacement(df: DataFrame, order: str, draws: DataFrame, draw: str, seed: int) -> DataFrame:
+    """(draw, columns of df): a row for each draw, with replacement, by a number that the draw and the seed fix. Rows are numbered in ranges; both sides
+    are joined by number, so neither is held by one task."""
+    ranked = global_rank(df, [order], "_k")
+    n = df.count()
+    at = draws.select(draw, (F.pmod(md5_int(F.concat_ws(":", F.lit(str(seed)), F.col(draw).cast("string"))), F.lit(max(n, 1))) + 1).alias("_k"))
+    return at.join(ranked, "_k").drop("_k")

@@ -34,3 +34,14 @@ def ensemble(df: DataFrame, score_cols: list[str], weight: Column, out: str = "e
     t = weighted_thresholds(df, score_cols, weight).groupBy().agg(*(F.sort_array(F.collect_list(F.when(F.col("score") == c, F.col("threshold")))).alias(f"_t_{c}") for c in score_cols))
     binned_ = df.join(F.broadcast(t)).withColumns({f"{c}_int": binned(F.col(c), F.col(f"_t_{c}")) for c in score_cols}).drop(*(f"_t_{c}" for c in score_cols))
     return binned_.withColumn(out, F.greatest(*(F.col(f"{c}_int") for c in score_cols)))
+
+
+def weighted_score(scores: dict[str, float], most: float = 5.0) -> Column:
+    """The weighted mean of score columns of 0 to `most`, as a share of it; a null score counts 0."""
+    return sum(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) * w for c, w in scores.items()) / most
+
+
+def metric_summary(df: DataFrame, metrics: list[str]) -> DataFrame:
+    """(metric, mean, std, total) of numeric columns over all rows, in one pass; std is that of the whole population."""
+    stats = F.array(*(F.struct(F.lit(m).alias("metric"), F.avg(m).alias("mean"), F.stddev_pop(m).alias("std"), F.sum(F.col(m).cast("double")).alias("total")) for m in metrics))
+    return df.agg(stats.alias("m")).select(F.explode("m").alias("m")).select("m.*")

@@ -92,6 +92,14 @@ def exclusive_sum(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
     return running_sum(df, [], [order], value, out).withColumn(out, F.col(out) - F.col(value))
 
 
+def stitched(df: DataFrame, file: str, order: str, size: str, out: str) -> DataFrame:
+    """df with each row's offset in all files put together by name: that within its file plus the sizes of the files before it."""
+    inner = running_sum(df, [file], [order], size, out).withColumn(out, F.col(out) - F.col(size))
+    files = df.groupBy(file).agg(F.sum(size).alias("_s"))
+    bases = running_sum(files, [], [file], "_s", "_base").select(F.col(file).alias("_f"), (F.col("_base") - F.col("_s")).alias("_base"))
+    return inner.join(bases, F.col(file).eqNullSafe(F.col("_f"))).withColumn(out, F.col(out) + F.col("_base")).select(*df.columns, out)
+
+
 def until_budget(df: DataFrame, order: str, value: str, budget: int) -> DataFrame:
     """The leading rows whose predecessors sum to less than the budget; null values count 0."""
     out = exclusive_sum(df.withColumn("_v", F.coalesce(value, F.lit(0))), order, "_v", "_before_all")

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.session import shared_dir
@@ -136,6 +136,21 @@ def pending(shards: DataFrame, receipts: DataFrame, key: str = "shard_index") ->
     return shards.join(latest_receipts(receipts, key), key, "left_anti")
 
 
+def shard_states(shards: DataFrame, receipts: DataFrame, now: Column, *, key: str = "shard_index", status: str = "status", made: str = "created_at", plan: str = "plan_hash", stale_minutes: int = 30, outputs: DataFrame | None = None, output: str = "output_file") -> DataFrame:
+    """(key, state) of every shard, by its newest receipt of the newest plan: done, claimed (started less than `stale_minutes` ago), failed, or pending
+    (no receipt, a stale claim, or a completed one whose output is missing from `outputs`, a listing with a column of the same name)."""
+    newest = receipts.agg(F.max_by(plan, F.struct(made, plan)).alias("_plan"))
+    own = receipts.join(F.broadcast(newest), F.col(plan).eqNullSafe(F.col("_plan")))  # one row
+    last = own.groupBy(key).agg(F.max_by(F.struct(F.col(status).alias("_s"), F.col(made).alias("_at"), F.col(output).alias("_o") if outputs is not None else F.lit(None).alias("_o")), F.struct(made, status)).alias("r")).select(key, "r.*")
+    out = shards.join(last, key, "left")
+    if outputs is not None:
+        out = out.join(outputs.select(F.col(output).alias("_o")).distinct().withColumn("_there", F.lit(True)), "_o", "left")
+    there = F.coalesce("_there", F.lit(False)) if outputs is not None else F.lit(True)
+    fresh = F.col("_at") > now - F.expr(f"INTERVAL {stale_minutes} MINUTES")
+    state = F.when((F.col("_s") == "completed") & there, "done").when((F.col("_s") == "started") & fresh, "claimed").when(F.col("_s") == "failed", "failed").otherwise("pending")
+    return out.select(key, state.alias("state"))
+
+
 class Artifacts:
     """Versioned artifacts {root}/{name}/v{n} with a manifest; `latest` names the newest one and is written last."""
 
