@@ -14,6 +14,10 @@ from quernstone.functions.text import md5_int
 from quernstone.operators.ranges import rank_within
 
 
+#: Categories whose weights are broadcast at most.
+MOST_CATEGORIES = 100_000
+
+
 def ratio_split(df: DataFrame, key: str, ratios: dict[str, float], seed: int) -> DataFrame:
     """df with a split that the key and the seed fix; no shuffle, and a row stays in its split when others come or go."""
     if abs(sum(ratios.values()) - 1) > 1e-9:
@@ -64,8 +68,11 @@ def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
 def weighted_draws(categories: DataFrame, name: str, weight: str, draws: DataFrame, draw: str) -> DataFrame:
     """(draw, name): a category for each draw, with replacement, in proportion to the weights, by an inverse-CDF range join on hashes.
 
-    The categories, one row each, are broadcast.
+    The categories, one row each, are broadcast, so there may be MOST_CATEGORIES at most.
     """
+    n = categories.where(F.col(weight) > 0).limit(MOST_CATEGORIES + 1).count()
+    if n > MOST_CATEGORIES:
+        raise ValueError(f"more than {MOST_CATEGORIES} categories")
     w = W.orderBy(name).rowsBetween(W.unboundedPreceding, 0)
     cdf = categories.where(F.col(weight) > 0).select(name, weight).withColumn("_hi", F.sum(weight).over(w)).withColumn("_total", F.sum(weight).over(W.partitionBy()))
     cdf = cdf.select(name, ((F.col("_hi") - F.col(weight)) / F.col("_total")).alias("_lo"), (F.col("_hi") / F.col("_total")).alias("_hi"))

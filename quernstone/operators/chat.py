@@ -119,3 +119,9 @@ def render(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], [id_col, "seq", "pos", "role", "chunk"])
 
     return df.select(id_col, json_col).mapInArrow(run, f"`{id_col}` {kind}, seq int, pos int, role string, chunk string")
+
+
+def system_and_user(chunk: Column) -> Column:
+    """A first chunk that holds the system block and a user's turn as (system, user); without a user's turn that part is null."""
+    at = F.locate(f"{START}user\n", chunk)
+    return F.when(at > 0, F.struct(F.substring(chunk, F.lit(1), at - 1).alias("system"), F.substring(chunk, at, F.length(chunk)).alias("user"))).otherwise(F.struct(chunk.alias("system"), F.lit(None).cast("string").alias("user")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,12 +11,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from quernstone.functions.text import tokens
 from quernstone.functions.words import pieces, texts
 from quernstone.operators.components import components
 from quernstone.operators.ranges import with_group_min
 from quernstone.session import materialize
 
 
+#: What parts tokens, as in functions.text.tokens.
+_BLANKS = re.compile(r"[ \t\r\n]+")
+
+
 def exact_groups(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(digest, survivor, copies) of every text that is there; hashes are aggregated before the shuffle, texts never move."""
     return df.where(F.col(text_col).isNotNull()).select(F.md5(text_col).alias("digest"), id_col).groupBy("digest").agg(F.min(id_col).alias("survivor"), F.count("*").alias("copies"))
@@ -106,7 +112,7 @@ def repeated_windows(df: DataFrame, id_col: str, text_col: str, width: int) -> D
         for b in pieces(batches, text_col):
             at, place, hashes = [], [], []
             for i, t in enumerate(texts(b.column(1))):
-                ws = t.split() if t else []
+                ws = [w for w in _BLANKS.split(t) if w] if t else []
                 if len(ws) < width:
                     continue
                 h = np.array([xxhash.xxh3_64_intdigest(w) for w in ws], np.uint64)
@@ -144,7 +150,7 @@ def substring_dedup(df: DataFrame, id_col: str, text_col: str, width: int, keep_
     else:
         ranges = merge_ranges(ranges.select(id_col, "start", "stop"), [id_col])
     per = ranges.groupBy(id_col).agg(F.collect_list(F.struct("start", "stop")).alias("_cut"))
-    toks = F.expr(f"filter(split(`{text_col}`, '\\\\s+'), x -> x <> '')")
+    toks = tokens(F.col(text_col))
     kept = F.filter(F.transform(toks, lambda x, i: F.when(~F.exists("_cut", lambda r: (i >= r["start"]) & (i < r["stop"])), x)), lambda x: x.isNotNull())
     return df.select(id_col, text_col).join(per, id_col, "left").select(id_col, F.when(F.col("_cut").isNull(), F.col(text_col)).otherwise(F.array_join(kept, " ")).alias("text"))
 

@@ -84,7 +84,7 @@ def role_chunks(spark, sf_dir):
     return chat.render(c, "record_id", "j").select("record_id", "seq", "pos", "role", F.md5("chunk").alias("digest"))
 
 
-@query()
+@query("SELECT DISTINCT record_id, CASE WHEN assistant_response IS NOT NULL THEN least(strlen(assistant_response) + 1, 2048) END AS n, coalesce(strlen(assistant_response) + 1 > 2048, false) AS truncated, false AS failed FROM sdg_chat")
 def byte_tokens(spark, sf_dir):
     out = tokenization.tokenize(chats(spark, sf_dir).select("record_id", "assistant_response"), "record_id", "assistant_response", "bytes", most_tokens=2048, eos=256)
     return out.select("record_id", F.size("ids").alias("n"), "truncated", "failed")
@@ -117,3 +117,10 @@ def dangling_seeds(spark, sf_dir):
 def template_fill(spark, sf_dir):
     t = F.concat(F.lit("Answer as a "), F.coalesce("segment", F.lit("guest")), F.lit(": {question}"))
     return chats(spark, sf_dir).select("record_id", T.fill_question(t, F.coalesce("user_query", F.lit(""))).alias("filled"), F.coalesce(T.first_filled(F.col("user_query"), F.col("inquiry_type")), F.lit("-")).alias("first_field"))
+
+
+@query(f"SELECT DISTINCT record_id, md5(left({_MSGS}, greatest(instr({_MSGS}, '<|im_start|>user' || chr(10)) - 1, 0))) AS system, md5(substr({_MSGS}, instr({_MSGS}, '<|im_start|>user' || chr(10)))) AS rest FROM sdg_chat WHERE user_query IS NOT NULL")
+def system_user_split(spark, sf_dir):
+    """The rendering cut where the first user's turn begins."""
+    c = conversations(spark, sf_dir).select("record_id", chat.system_and_user(chat.chatml(F.col("messages"))).alias("s"))
+    return c.where("s.user is not null").select("record_id", F.md5("s.system").alias("system"), F.md5("s.user").alias("rest"))

@@ -80,9 +80,16 @@ def distinct_sources(spark, sf_dir):
     return docs(spark, sf_dir).where("source is not null").select(F.lower(F.trim("source")).alias("source")).distinct().orderBy("source")
 
 
+#: Scores of a text that stand for what classifiers would say: the share of its characters that are ASCII letters, that of its tokens that are
+#: distinct, and tokens a character, all from 0 to 1.
+_SCORES = (
+    "CASE WHEN length(text) > 0 THEN length(regexp_replace(text, '[^A-Za-z]', '', 'g')) / length(text)::DOUBLE ELSE 0 END",
+    f"CASE WHEN {_TOK.format('text')} > 0 THEN len(list_distinct(list_filter(string_split_regex(text, '[ \t\r\n]+'), lambda x: x <> ''))) / {_TOK.format('text')}::DOUBLE ELSE 0 END",
+    f"CASE WHEN length(text) > 0 THEN {_TOK.format('text')} / length(text)::DOUBLE ELSE 0 END",
+)
 _SCORED = f"""
 WITH d AS (SELECT doc_id, text, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS rn FROM documents WHERE text IS NOT NULL),
-s AS (SELECT doc_id, strlen(text) AS w, {_U.format("text || '#1'")} AS s1, {_U.format("text || '#2'")} AS s2, {_U.format("text || '#3'")} AS s3 FROM d WHERE rn = 1),
+s AS (SELECT doc_id, strlen(text) AS w, {_SCORES[0]} AS s1, {_SCORES[1]} AS s2, {_SCORES[2]} AS s3 FROM d WHERE rn = 1),
 l AS (SELECT doc_id, w, 's1' AS score, s1 AS v FROM s UNION ALL SELECT doc_id, w, 's2', s2 FROM s UNION ALL SELECT doc_id, w, 's3', s3 FROM s),
 g AS (SELECT score, v, sum(w) AS w FROM l GROUP BY 1, 2),
 c AS (SELECT score, v, sum(w) OVER (PARTITION BY score ORDER BY v) / sum(w) OVER (PARTITION BY score) AS cdf FROM g),
@@ -92,11 +99,13 @@ e AS (SELECT doc_id, max(bin) AS bucket FROM b GROUP BY 1)"""
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deduplicated documents with three stand-in scores and their byte size."""
+    """Deduplicated documents with three scores of their text and their byte size; written once, since thresholds, bins and summaries all read it."""
     from quernstone.operators import dedup
 
     d = dedup.exact_survivors(docs(spark, sf_dir).where("text is not null").select("doc_id", "text"), "doc_id", "text")
-    out = d.select("doc_id", F.octet_length("text").cast("long").alias("bytes"), *(T.unit(F.concat("text", F.lit(f"#{i}"))).alias(f"s{i}") for i in (1, 2, 3)))
+    rows = d.select("doc_id", F.octet_length("text").cast("long").alias("bytes"), F.length("text").alias("n"), F.length(F.regexp_replace("text", "[^A-Za-z]+", "")).alias("letters"), T.tokens(F.col("text")).alias("t"))
+    share = lambda a, b: F.coalesce(a / F.nullif(b, F.lit(0)), F.lit(0.0))
+    out = rows.select("doc_id", "bytes", share(F.col("letters"), F.col("n")).alias("s1"), share(F.size(F.array_distinct("t")), F.size("t")).alias("s2"), share(F.size("t"), F.col("n")).alias("s3"))
     return materialize(out, "scored")
 
 
@@ -187,9 +196,9 @@ def stratified_split(spark, sf_dir):
     return blending.stratified_split(docs(spark, sf_dir), "doc_id", "lang", 10).select("doc_id", "lang", "split")
 
 
-@query("SELECT 'p' || (doc_id % 4) AS shard, count(*) AS docs, sha256(string_agg(doc_id || ':' || coalesce(CAST(n_chars AS VARCHAR), ''), ',' ORDER BY doc_id)) AS fingerprint FROM documents GROUP BY 1")
+@query("SELECT 'p' || (doc_id // 64) AS shard, count(*) AS docs, sha256(string_agg(doc_id || ':' || coalesce(CAST(n_chars AS VARCHAR), ''), ',' ORDER BY doc_id)) AS fingerprint FROM documents GROUP BY 1")
 def shard_fingerprints(spark, sf_dir):
-    d = docs(spark, sf_dir).select(F.concat(F.lit("p"), F.col("doc_id") % 4).alias("shard"), "doc_id", F.concat_ws(":", F.col("doc_id"), F.coalesce(F.col("n_chars").cast("string"), F.lit(""))).alias("k"))
+    d = docs(spark, sf_dir).select(F.concat(F.lit("p"), F.expr("doc_id div 64")).alias("shard"), "doc_id", F.concat_ws(":", F.col("doc_id"), F.coalesce(F.col("n_chars").cast("string"), F.lit(""))).alias("k"))
     return d.groupBy("shard").agg(F.count("*").alias("docs"), F.expr("sha2(listagg(k, ',') within group (order by doc_id), 256)").alias("fingerprint"))
 
 
@@ -237,3 +246,20 @@ def partition_pruned_scan(spark, sf_dir):
 
     path = sinks.partitioned(docs(spark, sf_dir).select("doc_id", "source", "lang"), ["lang"], "by-lang")
     return spark.read.parquet(path).where(F.col("lang").isin("en", "de") & F.col("source").startswith("fenweb")).select("doc_id", "lang", "source")
+
+
+@query(f"SELECT split, count(*) AS docs, min(doc_id) AS first_doc FROM (SELECT doc_id, CASE WHEN {_B} < 8000 THEN 'train' WHEN {_B} < 9000 THEN 'val' ELSE 'test' END AS split FROM documents) GROUP BY 1")
+def split_views(spark, sf_dir):
+    """A folder for each split, read again."""
+    from quernstone.sources import sinks
+
+    split = blending.ratio_split(docs(spark, sf_dir).select("doc_id"), "doc_id", {"train": 0.8, "val": 0.1, "test": 0.1}, 42)
+    back = spark.read.parquet(sinks.partitioned(split, ["split"], "splits"))
+    return back.groupBy("split").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first_doc"))
+
+
+@query(_SCORED.replace("l AS (", f"m AS (SELECT * FROM s WHERE {_U.format("'sample:' || doc_id")} < 0.1), l AS (").replace("FROM s UNION", "FROM m UNION").replace("'s3', s3 FROM s)", "'s3', s3 FROM m)") + " SELECT score, CAST(p AS INTEGER) AS p, round(threshold, 9) AS threshold FROM t")
+def sampled_thresholds(spark, sf_dir):
+    """Thresholds from a tenth of the documents, drawn by their ids."""
+    few = scored(spark, sf_dir).where(T.unit(F.concat(F.lit("sample:"), F.col("doc_id").cast("string"))) < 0.1)
+    return quality.weighted_thresholds(few, ["s1", "s2", "s3"], F.col("bytes")).select("score", "p", F.round("threshold", 9).alias("threshold"))

@@ -56,20 +56,29 @@ def linked_documents(spark, sf_dir):
     return components(edges).select(F.col("node").alias("doc_id"), "component")
 
 
-_TOKS = r"list_filter(string_split_regex(trim(text), '\s+'), lambda x: x <> '')"
-_WINDOWS = f"""t AS (SELECT doc_id, {_TOKS} AS w FROM documents WHERE text IS NOT NULL),
+_TOKS = r"list_filter(string_split_regex(text, '[ \t\r\n]+'), lambda x: x <> '')"
+_RANGES = f"""WITH t AS (SELECT doc_id, text, {_TOKS} AS w FROM documents WHERE text IS NOT NULL),
 g AS (SELECT doc_id, unnest(range(0, len(w) - 24)) AS place, w FROM t WHERE len(w) >= 25),
-h AS (SELECT doc_id, place, md5(array_to_string(list_slice(w, place + 1, place + 25), ' ')) AS h FROM g)"""
+h AS (SELECT doc_id, place, md5(array_to_string(list_slice(w, place + 1, place + 25), ' ')) AS h FROM g),
+m AS (SELECT *, count(*) OVER (PARTITION BY h) AS n, row_number() OVER (PARTITION BY h ORDER BY doc_id, place) = 1 AS first FROM h),
+o AS (SELECT doc_id, first, place AS start, place + 25 AS stop, CASE WHEN max(place + 25) OVER (PARTITION BY doc_id, first ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= place THEN 0 ELSE 1 END AS new FROM m WHERE n > 1),
+i AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, first ORDER BY start ROWS UNBOUNDED PRECEDING) AS g FROM o),
+r AS (SELECT doc_id, first, min(start) AS start, max(stop) AS stop FROM i GROUP BY doc_id, first, g)"""
 
 
-@query()
+@query(_RANGES + " SELECT doc_id, first, start, stop FROM r")
 def repeated_ranges(spark, sf_dir):
     """Merged token ranges of 25 or more tokens that occur more than once."""
     return dedup.repeated_windows(docs(spark, sf_dir), "doc_id", "text", 25)
 
 
-@query()
+@query(
+    _RANGES
+    + """, c AS (SELECT doc_id, list(start) AS a, list(stop) AS z FROM r WHERE NOT first GROUP BY 1)
+SELECT doc_id, md5(CASE WHEN a IS NULL THEN text ELSE array_to_string(list_filter(w, lambda x, k: len(list_filter(range(1, len(a) + 1), lambda q: k - 1 >= a[q] AND k - 1 < z[q])) = 0), ' ') END) AS digest FROM t LEFT JOIN c USING (doc_id)"""
+)
 def substring_dedup(spark, sf_dir):
+    """Texts without the token ranges that an earlier place has; first occurrences stay."""
     out = dedup.substring_dedup(docs(spark, sf_dir).where("text is not null"), "doc_id", "text", 25)
     return out.select("doc_id", F.md5("text").alias("digest"))
 

@@ -118,11 +118,18 @@ def answer_router(spark, sf_dir):
     return e.select("item_id", mcq.router(F.col("question"), F.col("answer"), F.col("choices")).alias("route"))
 
 
-@query("SELECT item_id, upper(substr(answer, 1, 1)) AS parsed FROM eval_items WHERE answer IS NOT NULL")
+@query("SELECT item_id, way, CASE WHEN way = 'missing' OR way = 'far' THEN '-' ELSE answer END AS parsed FROM (SELECT item_id, answer, unnest(['bold', 'boxed', 'colon', 'lower', 'bracket', 'alone', 'missing', 'far']) AS way FROM eval_items WHERE answer IS NOT NULL)")
 def answer_parsing(spark, sf_dir):
+    """Answers in the ways that models give them: marked, boxed, after a colon, in brackets, alone, not at all, or one that there is no option for."""
     e = table(spark, sf_dir, "eval_items").where("answer is not null")
-    said = F.concat(F.lit("I think the **answer is** ("), F.col("answer"), F.lit(")."))
-    return e.select("item_id", mcq.parsed_answer(said, 10).alias("parsed"))
+    a = F.col("answer")
+    said = {
+        "bold": F.concat(F.lit("I think the **answer is** ("), a, F.lit(").")), "boxed": F.concat(F.lit("So the answer is $\\boxed{"), a, F.lit("}$")), "colon": F.concat(F.lit("Answer: "), a, F.lit("\nIt fits best.")),
+        "lower": F.concat(F.lit("the answer is "), F.lower(a), F.lit(".")), "bracket": F.concat(F.lit("Only ["), a, F.lit("] can be right.")), "alone": F.concat(a, F.lit(") for sure")),
+        "missing": F.lit("I do not know which one it may be"), "far": F.lit("The answer is J."),
+    }
+    rows = e.select("item_id", F.explode(F.map_from_arrays(F.array(*map(F.lit, said)), F.array(*said.values()))).alias("way", "said"))
+    return rows.select("item_id", "way", mcq.parsed_answer(F.col("said"), 4).alias("parsed"))
 
 
 _SEG = "SELECT label AS doc, vec_id, embedding, CASE WHEN vec_id % 3 = 0 THEN 'q' ELSE 's' END AS kind FROM embeddings"

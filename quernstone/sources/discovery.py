@@ -60,3 +60,34 @@ def fetch_limit(files: list[tuple[str, int]], bytes_per_row: float, most_rows: i
         out.append(path)
         rows += size / max(bytes_per_row, 1e-9)
     return out
+
+
+def discover_with(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(path, size) of the input files of a glob, folder or file on any file system that the session knows, sorted by path; nothing is read."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for status in fs.globStatus(where) or []:
+        for one in fs.listStatus(status.getPath()) if status.isDirectory() and "*" not in path else [status]:
+            name = one.getPath().getName()
+            if one.isFile() and name.endswith(SUFFIXES) and not name.startswith(("_", ".")):
+                out.append((one.getPath().toString(), int(one.getLen())))
+    return sorted(out)
+
+
+def partitioned_by_size(files: list[tuple[str, int]], blocksize: int) -> list[list[str]]:
+    """Files, in their order, in partitions of at most `blocksize` bytes; a larger file is a partition of its own."""
+    out: list[list[str]] = []
+    held = 0
+    for path, size in files:
+        if not out or held + size > blocksize:
+            out.append([])
+            held = 0
+        out[-1].append(path)
+        held += size
+    return out
+
+
+def partitioned_by_count(files: list[str], files_per_partition: int) -> list[list[str]]:
+    return [files[i : i + files_per_partition] for i in range(0, len(files), files_per_partition)]

@@ -28,18 +28,31 @@ def partitioned(df: DataFrame, by: list[str], name: str) -> str:
 
 
 def _written(df: DataFrame, folder: str, write) -> list[tuple]:
-    """Each task writes one file under a name of its own and renames it when it is whole; only the driver's list of finished tasks counts."""
+    """Each task writes one file under a name of its own and renames it when it is whole; only the driver's list of finished tasks counts.
+
+    The folder must be one that all executors and the driver mount; a task that doesn't find the driver's mark in it fails before it writes.
+    """
+    if "://" in folder:
+        raise ValueError(f"{folder}: files of these formats are written to a mounted folder; use a Parquet sink for other file systems")
     os.makedirs(folder, exist_ok=True)
+    mark = os.path.join(folder, f".mark-{uuid.uuid4().hex}")
+    with open(mark, "w"):
+        pass
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        if not os.path.exists(mark):
+            raise RuntimeError(f"{folder} is not the driver's folder on this executor")
         part = TaskContext.get().partitionId()
         row = write(batches, folder, part)
         kinds = [("part", pa.int32()), ("path", pa.string()), ("rows", pa.int64()), ("items", pa.int64()), ("checksum", pa.string())]
         yield pa.RecordBatch.from_pylist([row], schema=pa.schema(kinds))
 
-    out = df.mapInArrow(run, "part int, path string, rows long, items long, checksum string").collect()  # one row a task
+    try:
+        out = df.mapInArrow(run, "part int, path string, rows long, items long, checksum string").collect()  # one row a task
+    finally:
+        os.remove(mark)
     return sorted(tuple(r) for r in out)
 
 

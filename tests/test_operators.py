@@ -213,3 +213,47 @@ def test_web(spark):
     assert web.char_f("abc def", "abc def") == 100 and web.char_f("abc", "xyz") == 0
     df = spark.createDataFrame([(1, None), (2, "")], "id long, t string")
     assert [r["language"] for r in web.languages(df, "id", "t").collect()] == [None, None]
+
+
+def test_discovery_on_any_file_system(spark, tmp_path):
+    for name in ("b.parquet", "a.jsonl", "_hidden.json", ".x.json", "notes.txt"):
+        (tmp_path / name).write_text("x" * len(name))
+    (tmp_path / "sub").mkdir()
+    names = lambda found: [(p.rsplit("/", 1)[-1], n) for p, n in found]
+    assert names(discovery.discover_with(spark, f"file://{tmp_path}")) == [("a.jsonl", 7), ("b.parquet", 9)]
+    assert names(discovery.discover_with(spark, f"{tmp_path}/*.parquet")) == [("b.parquet", 9)]
+    assert discovery.discover_with(spark, f"{tmp_path}/none/*") == []
+
+
+def test_file_partitions():
+    files = [("a", 5), ("b", 4), ("c", 20), ("d", 1), ("e", 9)]
+    assert discovery.partitioned_by_size(files, 10) == [["a", "b"], ["c"], ["d", "e"]]
+    assert discovery.partitioned_by_size([], 10) == [] and discovery.partitioned_by_count(list("abcde"), 2) == [["a", "b"], ["c", "d"], ["e"]]
+
+
+def test_files_go_to_a_mounted_folder_only(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "a int")
+    with pytest.raises(ValueError, match="mounted"):
+        sinks.write_jsonl(df, "s3://bucket/x")
+    sinks.write_jsonl(df, str(tmp_path / "out"))
+    assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith(".mark")]
+
+
+def test_json_answers_and_paths(spark):
+    cases = {'["x", "y"]': "x", '{"a": "v", "b": 1}': "v", '{"n": 3}': "3", "plain": "plain", '"quoted"': "quoted", "12": "12", "[]": None, "{broken": "{broken", "": ""}
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()] + [(None, None)], "raw string, want string")
+    assert [r["raw"] for r in df.where(~T.json_answer(F.col("raw")).eqNullSafe(F.col("want"))).collect()] == []
+    paths = {"https://a.b/c/d.txt?x=1#y": "c/d.txt", "data\\sub\\f.png": "data/sub/f.png", "./x/y": "x/y", "f": "f", "": ""}
+    df = spark.createDataFrame(list(paths.items()), "raw string, want string")
+    assert df.where(~T.normalized_path(F.col("raw")).eqNullSafe(F.col("want"))).count() == 0
+    got = spark.range(1).select(T.clip_key(F.lit("v_1_2.50_7")).alias("a"), T.restored(F.lit(None).cast("string"), F.lit("q\n\n"), F.lit("\n")).alias("b")).first()
+    assert tuple(got) == ("v_1", "q") and T.segment_budget(2048, 46) == 2000
+
+
+def test_shard_states_cases(spark):
+    receipts = [(1, "completed", "2026-01-01 00:00:00", "p2", "o1"), (2, "started", "2026-01-01 00:50:00", "p2", None), (3, "started", "2026-01-01 00:10:00", "p2", None), (4, "failed", "2026-01-01 00:20:00", "p2", None), (5, "completed", "2025-12-01 00:00:00", "p1", "o5"), (6, "completed", "2026-01-01 00:30:00", "p2", "gone"), (4, "started", "2026-01-01 00:01:00", "p2", None)]
+    r = spark.createDataFrame(receipts, "shard_index int, status string, created_at string, plan_hash string, output_file string").withColumn("created_at", F.col("created_at").cast("timestamp"))
+    shards, there = spark.createDataFrame([(i,) for i in range(1, 8)], "shard_index int"), spark.createDataFrame([("o1",), ("o5",)], "output_file string")
+    got = {x[0]: x[1] for x in sinks.shard_states(shards, r, F.lit("2026-01-01 01:00:00").cast("timestamp"), outputs=there).collect()}
+    assert got == {1: "done", 2: "claimed", 3: "pending", 4: "failed", 5: "pending", 6: "pending", 7: "pending"}
+    assert {x[1] for x in sinks.shard_states(shards, r.limit(0), F.current_timestamp()).collect()} == {"pending"}
