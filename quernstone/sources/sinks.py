@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.session import shared_dir
+from quernstone.session import materialize, shared_dir
 
 #: Start of an index file, its version, and the codes of token types (fixed values of the format).
 MAGIC, VERSION = b"MMIDIDX\x00\x00", 1
@@ -134,6 +134,76 @@ def read_token_file(base: str) -> list[list[int]]:
     return [data[p // kind.itemsize : p // kind.itemsize + k].tolist() for p, k in zip(places, lengths)]
 
 
+def read_token_files(spark: SparkSession, bases: list[str], column: str = "input_ids") -> DataFrame:
+    """(base, place, column): the sequences of .bin and .idx pairs; a task reads whole pairs, which are as large as the partitions that wrote them."""
+    rows = spark.createDataFrame([(b,) for b in bases], "base string").repartition(max(1, len(bases)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for base in b.column(0).to_pylist():
+                own = read_token_file(base)
+                for at in range(0, len(own), 1000):
+                    part = own[at : at + 1000]
+                    cols = [pa.array([base] * len(part)), pa.array(range(at, at + len(part)), pa.int64()), pa.array(part, pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays(cols, ["base", "place", column])
+
+    return rows.mapInArrow(run, f"base string, place long, `{column}` array<long>")
+
+
+def write_tar_shards(df: DataFrame, key: str, text: str, folder: str) -> DataFrame:
+    """Write a tar file of each partition, with a member `key`.txt a row, and give its index (shard, key, idx, offset, size) as a written table.
+
+    Members can be read alone at their offset. Rows without key or text are left out.
+    """
+    rows = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
+    if "://" in folder:
+        raise ValueError(f"{folder}: tar files are written to a mounted folder")
+    os.makedirs(folder, exist_ok=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import tarfile
+        from io import BytesIO
+
+        from pyspark import TaskContext
+
+        path = f"{folder}/shard-{TaskContext.get().partitionId():06d}.tar"
+        tmp, idx = f"{path}.{uuid.uuid4().hex}", 0
+        with tarfile.open(tmp, "w", format=tarfile.GNU_FORMAT) as tar:
+            for b in batches:
+                index = []
+                for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    data = t.encode()
+                    info = tarfile.TarInfo(f"{k}.txt")
+                    info.size = len(data)
+                    tar.addfile(info, BytesIO(data))
+                    # contents are padded to blocks of 512 bytes
+                    index.append({"shard": path, "key": k, "idx": idx, "offset": tar.offset - -(-len(data) // 512) * 512, "size": len(data)})
+                    idx += 1
+                if index:
+                    yield pa.RecordBatch.from_pylist(index, schema=pa.schema([("shard", pa.string()), ("key", pa.string()), ("idx", pa.int64()), ("offset", pa.int64()), ("size", pa.int64())]))
+        os.replace(tmp, path)
+
+    return materialize(rows.mapInArrow(run, "shard string, key string, idx long, offset long, size long"), "tar-index")
+
+
+def read_tar_members(index: DataFrame) -> DataFrame:
+    """(key, text) of the rows of an index, each read at its place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out, files = [], {}
+            for shard, offset, size in zip(*(b.column(i).to_pylist() for i in (1, 2, 3))):
+                if shard not in files:
+                    files[shard] = open(shard, "rb")
+                files[shard].seek(offset)
+                out.append(files[shard].read(size).decode())
+            for f in files.values():
+                f.close()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["key", "text"])
+
+    return index.select("key", "shard", "offset", "size").mapInArrow(run, "key string, text string")
+
+
 def write_packed(packs: DataFrame, path: str) -> None:
     """input_ids, loss_mask and seq_start_id as zstd Parquet."""
     packs.select("input_ids", F.transform("loss_mask", lambda x: x.cast("tinyint")).alias("loss_mask"), "seq_start_id").write.mode("overwrite").option("compression", "zstd").parquet(path)

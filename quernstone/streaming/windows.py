@@ -15,9 +15,9 @@ def read_increments(spark: SparkSession, folder: str, schema: str, most_files: i
     return (reader.option("maxFilesPerTrigger", most_files) if most_files else reader).parquet(folder)
 
 
-def ingest(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def ingest(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
     """All that is there now, in batches to the sink, resuming from the checkpoint; a batch that is written again has the same number."""
-    stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.foreachBatch(sink).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def windowed(stream: DataFrame, at: str, by: list[str], length: str, late: str, slide: str | None = None, value: str | None = None) -> DataFrame:
