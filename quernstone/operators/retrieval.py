@@ -10,154 +10,118 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-#: A block of queries is broadcast as one matrix; more queries take more blocks.
-QUERY_BLOCK, MOST_QUERY_BYTES = 4096, 64_000_000
-#: Scores that hard_negatives holds at once.
-SCORE_CELLS = 4_000_000
+from quernstone.functions.text import cosine
 
+#: Rows of a block of queries and of a block of the corpus, whose product is one unit of work, and scores that are held at once.
+QUERY_BLOCK, CORPUS_BLOCK, SCORE_CELLS = 1024, 16_384, 4_000_000
 
-def top_k(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str, vec: str, k: int, *, same: bool = False) -> DataFrame:
-    """(query_id, corpus_id, score, rank): the k best rows of the corpus for every query by cosine, ties by the least corpus id.
 
-    Ids are integers. Queries are taken in blocks of bounded size, each a broadcast matrix; a task multiplies it with batches of the corpus and keeps the
-    k best of its own, so k rows a query and task are shuffled. With `same` a row is not found for the query with its own id. Vectors
-    that are null or have no length are left out.
+def blocks(df: DataFrame, by: list[str], id_col: str, vec: str, size: int, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(by, _k, _b, ids, vs, extra): the rows of each group in about _k = rows / size blocks, with their ids and all numbers of their vectors in a row.
+
+    Ids are integers; rows without id or vector, and vectors of no length, are left out. `extra` has further columns as arrays.
     """
-    rows = queries.select(query_id, vec).where(F.col(vec).isNotNull()).orderBy(query_id)
-    found, ids, vectors = None, [], []
-
-    def block(ids: list, vectors: list) -> DataFrame:
-        q = np.array(vectors, np.float64)
-        q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
-        if q.nbytes > MOST_QUERY_BYTES:
-            raise ValueError("a block of queries is too large to be broadcast")
-        shared = queries.sparkSession.sparkContext.broadcast((np.array(ids, np.int64), q))
-        kind = corpus.schema[corpus_id].dataType.simpleString()
-        qkind = queries.schema[query_id].dataType.simpleString()
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            qid, m = shared.value
-            if not len(qid):
-                return
-            best_s, best_i = np.full((len(qid), 0), -np.inf), np.zeros((len(qid), 0), np.int64)
-            for b in batches:
-                own = [(i, v) for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if v is not None and i is not None]
-                if not own:
-                    continue
-                c = np.array([v for _, v in own], np.float64)
-                n = np.linalg.norm(c, axis=1)
-                i = np.array([x for x, _ in own])[n > 0]
-                s = m @ (c[n > 0] / n[n > 0, None]).T
-                if same:
-                    s[qid[:, None] == i[None, :]] = -np.inf
-                best_s, best_i = np.concatenate([best_s, s], 1), np.concatenate([best_i, np.broadcast_to(i, s.shape)], 1)
-                if best_s.shape[1] > 4 * k:
-                    best_s, best_i = _kept(best_s, best_i, k)
-            best_s, best_i = _kept(best_s, best_i, k)
-            ok = np.isfinite(best_s)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qid, best_s.shape[1])[ok.ravel()]), pa.array(best_i[ok]), pa.array(best_s[ok])], [query_id, corpus_id, "score"])
-
-        return corpus.select(corpus_id, vec).mapInArrow(run, f"`{query_id}` {qkind}, `{corpus_id}` {kind}, score double")
-
-    for r in rows.toLocalIterator():
-        ids.append(r[0])
-        vectors.append(r[1])
-        if len(ids) == QUERY_BLOCK:
-            part = block(ids, vectors)
-            found, ids, vectors = part if found is None else found.unionByName(part), [], []
-    if ids or found is None:
-        part = block(ids, vectors or np.zeros((0, 1)))
-        found = part if found is None else found.unionByName(part)
-    rank = F.row_number().over(W.partitionBy(query_id).orderBy(F.desc(F.round("score", 9)), corpus_id))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k)
+    length = F.aggregate(F.col(vec), F.lit(0.0), lambda a, x: a + x.cast("double") * x)
+    own = df.where(F.col(id_col).isNotNull() & F.col(vec).isNotNull()).where(length > 0)
+    rows = own.select(*by, F.col(id_col).cast("long").alias("_i"), F.col(vec).cast("array<double>").alias("_v"), *extra)
+    counts = rows.groupBy(*by).agg(F.ceil(F.count("*") / size).cast("int").alias("_k"))
+    sized = rows.join(counts, by) if by else rows.withColumn("_k", F.lit(counts.first()["_k"]))
+    placed = sized.withColumn("_b", F.pmod(F.xxhash64("_i"), F.greatest("_k", F.lit(1))).cast("int"))
+    field = lambda n: F.transform("_r", lambda r: r[n])
+    lists = [field(n).alias(n) for n in extra]
+    packed = placed.groupBy(*by, "_k", "_b").agg(F.collect_list(F.struct("_i", "_v", *extra)).alias("_r"))
+    return packed.select(*by, "_k", "_b", field("_i").alias("ids"), F.flatten(field("_v")).alias("vs"), *lists)
+
+
+def paired(queries: DataFrame, corpus: DataFrame, by: list[str]) -> DataFrame:
+    """Each block of queries with each block of the corpus of its group, as columns q_* and c_*; the blocks of queries, which are fewer, are repeated."""
+    counts = corpus.select(*by, "_k").distinct()
+    q = queries.select(*by, *(F.col(c).alias(f"q_{c}") for c in queries.columns if c not in (*by, "_k", "_b")))
+    q = q.join(counts, by) if by else q.withColumn("_k", F.lit(max([r["_k"] for r in counts.collect()], default=0)))
+    q = q.where("_k > 0").select("*", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("_b")).drop("_k")
+    c = corpus.select(*by, "_b", *(F.col(x).alias(f"c_{x}") for x in corpus.columns if x not in (*by, "_k", "_b")))
+    return q.join(c, [*by, "_b"])
+
+
+def _unit(flat: np.ndarray, n: int) -> np.ndarray:
+    m = flat.reshape(n, -1)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
 def _kept(s: np.ndarray, i: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best scores of each row and their ids; scores that are equal to nine places are ordered by id."""
     order = np.lexsort((i, -np.round(s, 9)), axis=1)[:, :k]
     return np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
 
 
+def _best(rows: DataFrame, k: int, same: bool, schema: str) -> DataFrame:
+    """(q, c, score): of each pair of blocks the k best of each query; with q_most only those that score at most that, with c_of none that names the query."""
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in range(b.num_rows):
+                of = dict(zip(names, (c[r] for c in b.columns)))
+                qi, ci = (of[x].values.to_numpy(zero_copy_only=False) for x in ("q_ids", "c_ids"))
+                q, c = _unit(of["q_vs"].values.to_numpy(zero_copy_only=False), len(qi)), _unit(of["c_vs"].values.to_numpy(zero_copy_only=False), len(ci))
+                sort = np.argsort(qi)
+                qi, q = qi[sort], q[sort]
+                best_s, best_i = np.full((len(qi), 0), -np.inf), np.zeros((len(qi), 0), np.int64)
+                step = max(1, SCORE_CELLS // len(qi))
+                for at in range(0, len(ci), step):
+                    s, ids = q @ c[at : at + step].T, ci[at : at + step]
+                    if "q_most" in of:
+                        s[~(s <= of["q_most"].values.to_numpy(zero_copy_only=False)[sort][:, None])] = -np.inf
+                    if "c_of" in of:
+                        named = of["c_of"].values[at : at + step].to_pylist()
+                        col = np.repeat(np.arange(len(ids)), [len(x or ()) for x in named])
+                        flat = np.array([y for x in named for y in x or ()], np.int64)
+                        row = np.minimum(np.searchsorted(qi, flat), len(qi) - 1)
+                        hit = qi[row] == flat
+                        s[row[hit], col[hit]] = -np.inf
+                    if same:
+                        s[qi[:, None] == ids[None, :]] = -np.inf
+                    best_s, best_i = _kept(np.concatenate([best_s, s], 1), np.concatenate([best_i, np.broadcast_to(ids, s.shape)], 1), k)
+                ok = np.isfinite(best_s)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qi, best_s.shape[1])[ok.ravel()]), pa.array(best_i[ok]), pa.array(best_s[ok])], ["q", "c", "score"])
+
+    return rows.mapInArrow(run, schema)
+
+
+def _ranked(found: DataFrame, query_id: str, qkind: str, doc_id: str, kind: str, k: int) -> DataFrame:
+    out = found.select(F.col("q").cast(qkind).alias(query_id), F.col("c").cast(kind).alias(doc_id), "score")
+    rank = F.row_number().over(W.partitionBy(query_id).orderBy(F.desc(F.round("score", 9)), doc_id))
+    return out.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def top_k(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str, vec: str, k: int, *, same: bool = False) -> DataFrame:
+    """(query_id, corpus_id, score, rank): the k best rows of the corpus for every query by cosine, ties by the least corpus id.
+
+    Ids are integers. Blocks of queries meet blocks of the corpus, each pair is a matrix product of bounded size that leaves k rows a query; nothing goes
+    to the driver and nothing is broadcast by hand. With `same` a row is not found for the query with its own id. Vectors that are null or have no
+    length are left out; repeated ids count each.
+    """
+    kinds = queries.schema[query_id].dataType.simpleString(), corpus.schema[corpus_id].dataType.simpleString()
+    both = paired(blocks(queries, [], query_id, vec, QUERY_BLOCK), blocks(corpus, [], corpus_id, vec, CORPUS_BLOCK), [])
+    return _ranked(_best(both, k, same, "q long, c long, score double"), query_id, kinds[0], corpus_id, kinds[1], k)
+
+
 def hard_negatives(queries: DataFrame, corpus: DataFrame, positives: DataFrame, query_id: str, doc_id: str, vec: str, margin: float, n: int, *, same: bool = False) -> DataFrame:
     """(query_id, doc_id, score, rank): of the whole corpus the n best that aren't positive and score at most margin times the query's least positive score.
 
-    Blocks of queries as in top_k. Each document has the list of the block's queries that it is positive for. A first pass over the positives
-    gives each query's least score, one number a query, which goes out with the block; the second, over the corpus, keeps n a query and task. Queries
-    without a positive that has a vector give nothing; vectors that are null or have no length are left out.
+    The least positive scores come from the positive pairs alone; they go with the blocks of queries. Each document has the list of the queries that it is
+    positive for. Products as in top_k. Queries without a positive that has a vector give nothing; vectors that are null or have no length are left out.
     """
-    spark, (qkind, kind) = queries.sparkSession, (queries.schema[query_id].dataType.simpleString(), corpus.schema[doc_id].dataType.simpleString())
-    pairs = positives.select(query_id, doc_id).distinct()
-    parts = []
-    for ids, vectors in _blocks(queries, query_id, vec):
-        q = np.array(vectors, np.float64)
-        if q.nbytes > MOST_QUERY_BYTES:
-            raise ValueError("a block of queries is too large to be broadcast")
-        length = np.linalg.norm(q, axis=1)
-        qid, q = np.array(ids, np.int64)[length > 0], q[length > 0] / length[length > 0, None]
-        if not len(qid):
-            continue
-        block = F.broadcast(spark.createDataFrame([(int(x),) for x in qid], f"`{query_id}` {qkind}"))
-        of = pairs.join(block, query_id, "left_semi").groupBy(doc_id).agg(F.collect_list(F.col(query_id).cast("long")).alias("_of"))
-        vectors_of = corpus.select(doc_id, vec)
-
-        def least(batches: Iterator[pa.RecordBatch], shared=spark.sparkContext.broadcast((qid, q))) -> Iterator[pa.RecordBatch]:
-            qid, m = shared.value
-            low = np.full(len(qid), np.inf)
-            for _, s, row, col in _scored(batches, qid, m):
-                np.minimum.at(low, row, s[row, col])
-            ok = np.isfinite(low)
-            yield pa.RecordBatch.from_arrays([pa.array(qid[ok]), pa.array(low[ok])], ["q", "low"])
-
-        lows = vectors_of.join(of, doc_id).mapInArrow(least, "q long, low double").groupBy("q").agg(F.min("low").alias("low"))
-        low = dict.fromkeys(qid.tolist(), np.nan) | {r["q"]: r["low"] for r in lows.collect()}
-        most = margin * np.array([low[x] for x in qid.tolist()])
-
-        def run(batches: Iterator[pa.RecordBatch], shared=spark.sparkContext.broadcast((qid, q, most))) -> Iterator[pa.RecordBatch]:
-            qid, m, most = shared.value
-            best_s, best_i = np.full((len(qid), 0), -np.inf), np.zeros((len(qid), 0), np.int64)
-            for i, s, row, col in _scored(batches, qid, m):
-                s[~(s <= most[:, None])] = -np.inf
-                s[row, col] = -np.inf
-                if same:
-                    s[qid[:, None] == i[None, :]] = -np.inf
-                best_s, best_i = _kept(np.concatenate([best_s, s], 1), np.concatenate([best_i, np.broadcast_to(i, s.shape)], 1), n)
-            ok = np.isfinite(best_s)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qid, best_s.shape[1])[ok.ravel()]), pa.array(best_i[ok]), pa.array(best_s[ok])], [query_id, doc_id, "score"])
-
-        parts.append(vectors_of.join(of, doc_id, "left").mapInArrow(run, f"`{query_id}` long, `{doc_id}` long, score double"))
-    found = parts[0] if parts else spark.createDataFrame([], f"`{query_id}` long, `{doc_id}` long, score double")
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    found = found.select(F.col(query_id).cast(qkind).alias(query_id), F.col(doc_id).cast(kind).alias(doc_id), "score")
-    return found.withColumn("rank", F.row_number().over(W.partitionBy(query_id).orderBy(F.desc(F.round("score", 9)), doc_id))).where(F.col("rank") <= n)
-
-
-def _blocks(queries: DataFrame, query_id: str, vec: str) -> Iterator[tuple[list, list]]:
-    """(ids, vectors) of at most QUERY_BLOCK queries each, by rising id."""
-    ids, vectors = [], []
-    for r in queries.select(query_id, vec).where(F.col(vec).isNotNull() & F.col(query_id).isNotNull()).orderBy(query_id).toLocalIterator():
-        ids.append(r[0])
-        vectors.append(r[1])
-        if len(ids) == QUERY_BLOCK:
-            yield ids, vectors
-            ids, vectors = [], []
-    if ids:
-        yield ids, vectors
-
-
-def _scored(batches: Iterator[pa.RecordBatch], qid: np.ndarray, m: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of (id, vector, positive for) rows: ids, scores for every query, and the places (query, document) of the positive pairs; in pieces of bounded size."""
-    step = max(1, SCORE_CELLS // len(qid))
-    for b in batches:
-        for at in range(0, b.num_rows, step):
-            own = [x for x in zip(*(c.to_pylist() for c in b.slice(at, step).columns)) if x[0] is not None and x[1] is not None]
-            if not own:
-                continue
-            c = np.array([v for _, v, _ in own], np.float64)
-            length = np.linalg.norm(c, axis=1)
-            own = [x for x, ok in zip(own, length > 0) if ok]
-            of = [np.array(x[2] or [], np.int64) for x in own]
-            row = np.searchsorted(qid, np.concatenate(of)) if of else np.zeros(0, np.int64)
-            yield np.array([x[0] for x in own], np.int64), m @ (c[length > 0] / length[length > 0, None]).T, row, np.repeat(np.arange(len(own)), [len(x) for x in of])
+    qkind, kind = queries.schema[query_id].dataType.simpleString(), corpus.schema[doc_id].dataType.simpleString()
+    pairs = positives.select(query_id, doc_id).where(F.col(query_id).isNotNull() & F.col(doc_id).isNotNull()).distinct()
+    q, c = queries.select(query_id, F.col(vec).alias("_q")), corpus.select(doc_id, F.col(vec).alias("_c"))
+    score = cosine(F.col("_q"), F.col("_c"))
+    low = pairs.join(q, query_id).join(c, doc_id).groupBy(query_id).agg(F.min(score).alias("_low")).where("_low is not null")
+    asked = queries.select(query_id, vec).join(low, query_id).withColumn("most", F.lit(margin) * F.col("_low"))
+    of = pairs.groupBy(doc_id).agg(F.collect_list(F.col(query_id).cast("long")).alias("of"))
+    own = blocks(corpus.select(doc_id, vec).join(of, doc_id, "left"), [], doc_id, vec, CORPUS_BLOCK, ("of",))
+    both = paired(blocks(asked, [], query_id, vec, QUERY_BLOCK, ("most",)), own, [])
+    return _ranked(_best(both, n, same, "q long, c long, score double"), query_id, qkind, doc_id, kind, n)
 
 
 def ranking_metrics(ranked: DataFrame, qrels: DataFrame, query_id: str, doc_id: str, ks: tuple[int, ...] = (1, 5, 10)) -> DataFrame:
@@ -193,10 +157,15 @@ def unroll_positives(df: DataFrame, id_col: str, pos_col: str) -> DataFrame:
 
 
 def coverage(questions: DataFrame, segments: DataFrame, doc: str, question: str, segment: str, vec: str) -> DataFrame:
-    """(doc, matched, segments, coverage, best): which share of a document's segments is some question's most similar segment, and the most that so many questions could reach."""
-    from quernstone.functions.text import cosine
+    """(doc, matched, segments, coverage, best): which share of a document's segments is some question's most similar segment, and the most that so many questions could reach.
 
-    both = questions.select(doc, question, F.col(vec).alias("_q")).join(segments.select(doc, segment, F.col(vec).alias("_s")), doc)
-    match = both.groupBy(doc, question).agg(F.max_by(segment, F.struct(F.round(cosine(F.col("_q"), F.col("_s")), 9), -F.col(segment))).alias("_m"))
-    got = match.groupBy(doc).agg(F.countDistinct("_m").alias("matched"), F.count("*").alias("_nq"))
+    A document's questions and segments meet in blocks, as in top_k, so a large document spreads over tasks and a pair is never a row. Ids are integers
+    and unique in the corpus; documents are not null.
+    """
+    q = blocks(questions.select(doc, question, vec), [doc], question, vec, QUERY_BLOCK)
+    both = paired(q, blocks(segments.select(doc, segment, vec), [doc], segment, vec, QUERY_BLOCK), [doc])
+    found = _best(both.drop("_b"), 1, False, "q long, c long, score double")
+    match = found.groupBy("q").agg(F.max_by("c", F.struct(F.round("score", 9), -F.col("c"))).alias("_m"))
+    of = questions.select(doc, F.col(question).cast("long").alias("q")).distinct()
+    got = of.join(match, "q").groupBy(doc).agg(F.countDistinct("_m").alias("matched"), F.count("*").alias("_nq"))
     return got.join(segments.groupBy(doc).agg(F.count("*").alias("segments")), doc).select(doc, "matched", "segments", (F.col("matched") / F.col("segments")).alias("coverage"), (F.least("_nq", "segments") / F.col("segments")).alias("best"))
