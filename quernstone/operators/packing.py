@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quernstone.operators.ranges import restarting_blocks
+
 
 def first_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     """Each item, in order, into the first bin with room; a tournament tree over the bins' free space finds it in logarithmic time."""
@@ -91,14 +93,9 @@ def assign_bins(df: DataFrame, shard_cols: list[str], order: str, length: str, c
 
 
 def next_fit_fold(df: DataFrame, shard_cols: list[str], order: str, length: str, capacity: int) -> DataFrame:
-    """(shard_cols, order, length, bin) by next_fit as one fold over a shard's ordered lengths, without Python; for shards whose lengths fit in a task."""
-    rows = df.groupBy(*shard_cols).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(length).cast("int").alias("n")))).alias("_s"))
-    step = f"""aggregate(_s, named_struct('b', -1, 'u', {capacity + 1}, 'out', cast(array() as array<int>)), (a, x) ->
-      CASE WHEN a.u + least(x.n, {capacity}) > {capacity}
-        THEN named_struct('b', a.b + 1, 'u', least(x.n, {capacity}), 'out', array_append(a.out, a.b + 1))
-        ELSE named_struct('b', a.b, 'u', a.u + least(x.n, {capacity}), 'out', array_append(a.out, a.b)) END).out"""
-    z = rows.select(*shard_cols, F.explode(F.arrays_zip(F.col("_s"), F.expr(step).alias("b"))).alias("z"))
-    return z.select(*shard_cols, F.col("z._s.o").alias(order), F.col("z._s.n").alias("length"), F.col("z.b").cast("long").alias("bin"))
+    """(shard_cols, order, length, bin) by next_fit over a shard's ordered lengths, which are streamed; only keys and lengths are sent."""
+    rows = df.select(*shard_cols, order, F.col(length).cast("int").alias("length"), F.least(F.col(length).cast("long"), F.lit(capacity)).alias("_n"))
+    return restarting_blocks(rows, shard_cols, order, "_n", capacity, "bin").drop("_n")
 
 
 def shifted_mask(mask: Column) -> Column:

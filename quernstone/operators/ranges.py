@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -64,3 +67,30 @@ def with_group_min(rows: DataFrame, keys: list[str], value: str, least: str, cou
     parts = own.groupBy(*keys, "_salt").agg(F.min(value).alias("_m"), F.count("*").alias("_n"))
     whole = parts.groupBy(*keys).agg(F.min("_m").alias(least), F.sum("_n").alias(count))
     return own.join(parts.select(*keys, "_salt").join(whole, keys), [*keys, "_salt"]).drop("_salt")
+
+
+def restarting_blocks(df: DataFrame, keys: list[str], order: str, value: str, limit: int, out: str) -> DataFrame:
+    """df with the number from 0 of each row's block: rows of a key, in order, share a block while their values sum to `limit` at most.
+
+    Where a block ends depends on where it began, so a key's rows are taken one after another, but as a stream: a task holds a batch and a sum. Values
+    are not null; a value above the limit is a block of its own.
+    """
+    places = [df.columns.index(k) for k in keys]
+    at = df.columns.index(value)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, block, used = None, 0, 0
+        for b in batches:
+            numbers = []
+            for key, n in zip(zip(*(b.column(i).to_pylist() for i in places)), b.column(at).to_pylist()):
+                if key != last:
+                    last, block, used = key, 0, n
+                elif used + n > limit:
+                    block, used = block + 1, n
+                else:
+                    used += n
+                numbers.append(block)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(numbers, pa.int64())], [*b.schema.names, out])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys, order).mapInArrow(run, f"{kinds}, `{out}` long")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions.text import n_tokens
-from quernstone.operators.ranges import rank_within, running_sum
+from quernstone.operators.ranges import rank_within, restarting_blocks, running_sum
 
 
 def split_lines(df: DataFrame, id_col: str, text_col: str, separator: str = "\n") -> DataFrame:
@@ -17,19 +17,12 @@ def split_lines(df: DataFrame, id_col: str, text_col: str, separator: str = "\n"
 def join_segments(segments: DataFrame, id_col: str, order_col: str, text_col: str, most_tokens: int, separator: str = "\n") -> DataFrame:
     """(id_col, block from 0, text, segments, tokens): neighbouring segments joined while they hold most_tokens at most.
 
-    Segments that hold more by themselves are left out first. A restart depends on the sum so far, so a text's sizes are folded in order;
-    the fold holds the segments of one text.
+    Segments that hold more by themselves are left out first. Only sizes are folded in order, as a stream; a task holds the segments of one block.
     """
-    sized = segments.withColumn("_n", n_tokens(F.col(text_col))).where(F.col("_n") <= most_tokens)
-    rows = sized.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col("_n").alias("n"), F.col(text_col).alias("t")))).alias("_s"))
-    # the fold keeps (block, total, the block of every segment)
-    step = f"""aggregate(_s, named_struct('b', 0, 't', 0, 'out', cast(array() as array<int>)), (a, x) ->
-      CASE WHEN size(a.out) > 0 AND a.t + x.n > {most_tokens}
-        THEN named_struct('b', a.b + 1, 't', x.n, 'out', array_append(a.out, a.b + 1))
-        ELSE named_struct('b', a.b, 't', a.t + x.n, 'out', array_append(a.out, a.b)) END).out"""
-    placed = rows.select(id_col, F.posexplode(F.arrays_zip(F.col("_s"), F.expr(step).alias("b"))).alias("i", "z"))
-    out = placed.groupBy(id_col, F.col("z.b").alias("block")).agg(F.sort_array(F.collect_list(F.struct("i", F.col("z._s.t").alias("t")))).alias("ts"), F.count("*").alias("segments"), F.sum("z._s.n").alias("tokens"))
-    return out.select(id_col, "block", F.array_join(F.transform("ts", lambda x: x["t"]), separator).alias("text"), "segments", "tokens")
+    sized = segments.select(id_col, order_col, F.col(text_col).alias("_t"), n_tokens(F.col(text_col)).cast("long").alias("_n")).where(F.col("_n") <= most_tokens)
+    placed = restarting_blocks(sized, [id_col], order_col, "_n", most_tokens, "block")
+    out = placed.groupBy(id_col, "block").agg(F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col("_t").alias("t")))).alias("_s"), F.count("*").alias("segments"), F.sum("_n").alias("tokens"))
+    return out.select(id_col, "block", F.array_join(F.transform("_s", lambda x: x["t"]), separator).alias("text"), "segments", "tokens")
 
 
 def windows(df: DataFrame, id_col: str, text_col: str, window: int, hop: int) -> DataFrame:

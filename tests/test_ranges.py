@@ -90,3 +90,33 @@ def test_repair_by_characters():
     assert web.repaired("It’s".encode().decode("cp1252")) == "It’s"
     for sound in ("", "plain", "Ãndrea", "â la carte", "CÔTÉ Â", "ÀÉÎÕÜ ñ ç", "漢字", "š € ™"):
         assert web.repaired(sound) == sound
+
+
+def test_blocks_that_restart(spark):
+    rows = [("a", i, n) for i, n in enumerate([3, 4, 4, 9, 10, 1, 1, 1])] + [(None, 0, 10), (None, 1, 1), ("b", 5, 0)]
+    df = spark.createDataFrame(rows, "k string, i long, n long")
+    got = {(r["k"], r["i"]): r["b"] for r in ranges.restarting_blocks(df, ["k"], "i", "n", 10, "b").collect()}
+    assert [got["a", i] for i in range(8)] == [0, 0, 1, 2, 3, 4, 4, 4] and got[None, 0] == 0 and got[None, 1] == 1 and got["b", 5] == 0
+    one = spark.range(200_000).select(F.lit("hot").alias("k"), F.col("id").alias("i"), F.lit(1).cast("long").alias("n"))
+    assert ranges.restarting_blocks(one, ["k"], "i", "n", 7, "b").agg(F.max("b")).first()[0] == 199_999 // 7
+    assert ranges.restarting_blocks(df.limit(0), ["k"], "i", "n", 10, "b").count() == 0
+
+
+def test_fuzzy_recall_against_brute_force(spark):
+    """Of the pairs whose 24-grams are alike to nine tenths or more, at least nine in ten are in one group."""
+    import random
+
+    r = random.Random(3)
+    rows = []
+    for base in range(30):
+        text = " ".join("".join(r.choice("abcdefghijklm") for _ in range(r.randint(2, 9))) for _ in range(150))
+        for _ in range(4):
+            t = list(text)
+            for _ in range(r.randint(0, 2)):
+                t[r.randrange(len(t))] = "z"
+            rows.append((len(rows), "".join(t)))
+    groups = {x["node"]: x["component"] for x in dedup.fuzzy_groups(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()}
+    sets = [{t[i : i + 24] for i in range(len(t) - 23)} for _, t in rows]
+    alike = [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if len(sets[a] & sets[b]) >= 0.9 * len(sets[a] | sets[b])]
+    found = [groups.get(a, -1) == groups.get(b, -2) for a, b in alike]
+    assert len(alike) > 60 and sum(found) >= 0.9 * len(found)
