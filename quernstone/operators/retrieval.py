@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -124,6 +124,16 @@ def hard_negatives(queries: DataFrame, corpus: DataFrame, positives: DataFrame,
     return _ranked(_best(both, n, same, "q long, c long, score double"), query_id, qkind, doc_id, kind, n)
 
 
+def reranked(ranked: DataFrame, texts: DataFrame, query_id: str, doc_id: str, text: str, score: Column, n: int, chars: int = 8000) -> DataFrame:
+    """(query_id, doc_id, score, rank): of each query's found documents the n best by a score of their text, cut to `chars` characters; ties by id.
+
+    `score` is an expression over the columns of both tables; a null one counts as the least. Found documents without a text are dropped.
+    """
+    both = ranked.drop("score", "rank").join(texts.select(doc_id, F.substring(text, 1, chars).alias(text)), doc_id).withColumn("score", score)
+    rank = F.row_number().over(W.partitionBy(query_id).orderBy(F.desc_nulls_last("score"), doc_id))
+    return both.withColumn("rank", rank).where(F.col("rank") <= n).select(query_id, doc_id, "score", "rank")
+
+
 def ranking_metrics(ranked: DataFrame, qrels: DataFrame, query_id: str, doc_id: str, ks: tuple[int, ...] = (1, 5, 10)) -> DataFrame:
     """(k, ndcg, map, recall, precision): means over the queries with a relevant document; relevance is 0 or 1."""
     total = qrels.groupBy(query_id).agg(F.countDistinct(doc_id).alias("_rel"))

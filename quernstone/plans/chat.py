@@ -124,3 +124,41 @@ def system_user_split(spark, sf_dir):
     """The rendering cut where the first user's turn begins."""
     c = conversations(spark, sf_dir).select("record_id", chat.system_and_user(chat.chatml(F.col("messages"))).alias("s"))
     return c.where("s.user is not null").select("record_id", F.md5("s.system").alias("system"), F.md5("s.user").alias("rest"))
+
+
+_SAYS = "'<|im_start|>{}' || chr(10) || {} || '<|im_end|>' || chr(10)"
+_TOOL_TEXT = " || ".join([
+    _SAYS.format("system", "'# Tools' || chr(10) || chr(10) || '<tools>' || chr(10) || '{\"name\": \"lookup\"}' || chr(10) || '</tools>'"),
+    _SAYS.format("user", "coalesce(user_query, '')"),
+    _SAYS.format("assistant", "'<think></think>' || chr(10) || '<tool_call>' || chr(10) || '<function=lookup>' || chr(10) || '<parameter=seed>' || chr(10) || seed_id || chr(10) || '</parameter>' || chr(10) || '</function>' || chr(10) || '</tool_call>'"),
+    _SAYS.format("user", "'<tool_response>' || chr(10) || product || chr(10) || '</tool_response>' || chr(10)"),
+    _SAYS.format("assistant", "'<think>' || chr(10) || 'It is ' || product || '.' || chr(10) || '</think>' || chr(10) || coalesce(assistant_response, '')"),
+])
+
+
+@query(f"SELECT DISTINCT record_id, 5 AS chunks, md5({_TOOL_TEXT}) AS digest FROM sdg_chat JOIN sdg_seeds USING (seed_id)")
+def tool_conversations(spark, sf_dir):
+    """Conversations with tools, a call whose arguments are JSON text, its answer, and thoughts, rendered by the template."""
+    c = chats(spark, sf_dir).select("record_id", "seed_id", "user_query", "assistant_response").join(table(spark, sf_dir, "sdg_seeds").select("seed_id", "product"), "seed_id")
+    says = lambda role, content, thought=None, call=None: F.struct(F.lit(role).alias("role"), content.alias("content"), (F.lit(None).cast("string") if thought is None else thought).alias("reasoning_content"), (F.lit(None).cast("array<struct<function:struct<name:string,arguments:string>>>") if call is None else call).alias("tool_calls"))
+    call = F.array(F.struct(F.struct(F.lit("lookup").alias("name"), F.to_json(F.struct(F.col("seed_id").alias("seed"))).alias("arguments")).alias("function")))
+    turns = F.array(says("user", F.col("user_query")), says("assistant", F.lit(""), call=call), says("tool", F.col("product")), says("assistant", F.col("assistant_response"), F.concat(F.lit("It is "), "product", F.lit("."))))
+    rows = c.select("record_id", F.to_json(F.struct(turns.alias("messages"), F.array(F.struct(F.lit("lookup").alias("name"))).alias("tools"))).alias("j"))
+    out = chat.render(rows, "record_id", "j").groupBy("record_id").agg(F.count("*").cast("int").alias("chunks"), F.array_sort(F.collect_list(F.struct("seq", "pos", "chunk"))).alias("c"))
+    return out.select("record_id", "chunks", F.md5(F.array_join(F.transform("c", lambda x: x["chunk"]), "")).alias("digest"))
+
+
+@query("SELECT record_id, valid FROM (SELECT DISTINCT record_id, NOT (record_id % 3 = 0) OR record_id % 2 = 0 AS valid FROM sdg_chat)")
+def tool_validity(spark, sf_dir):
+    """Whether conversations are valid of which a third calls tools and half of all list some."""
+    c = table(spark, sf_dir, "sdg_chat").select("record_id").distinct()
+    says = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
+    turns = F.array(says("system", F.when(F.col("record_id") % 2 == 0, "# Tools")), says("assistant", F.when(F.col("record_id") % 3 == 0, "<tool_call>x</tool_call>")))
+    return c.select("record_id", chat.is_valid(turns).alias("valid"))
+
+
+@query("SELECT DISTINCT c.record_id, c.seed_id + 200 AS seed FROM sdg_chat c WHERE seed_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sdg_seeds s WHERE s.seed_id = c.seed_id + 200)")
+def dangling_shifted_seeds(spark, sf_dir):
+    """References that point 200 rows further, of which many are out of range."""
+    c = table(spark, sf_dir, "sdg_chat").where("seed_id is not null").select("record_id", (F.col("seed_id") + 200).alias("seed")).distinct()
+    return transforms.anti(c, table(spark, sf_dir, "sdg_seeds").withColumnRenamed("seed_id", "seed"), "seed").select("record_id", "seed")

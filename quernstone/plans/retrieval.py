@@ -56,6 +56,32 @@ def ranking_metrics(spark, sf_dir):
     return retrieval.ranking_metrics(ranked(spark, sf_dir), relevant(spark, sf_dir), "query_id", "doc_id")
 
 
+@query(
+    _RANKED
+    + """, t AS (SELECT query_id, r.doc_id, length(replace(substr(text, 1, 1000), 'e', 'ee')) - length(substr(text, 1, 1000)) AS score FROM r JOIN documents d ON d.doc_id = r.doc_id WHERE rank <= 20),
+z AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC NULLS LAST, doc_id) AS place FROM t)
+SELECT query_id, doc_id, score, CAST(place AS INTEGER) AS rank FROM z WHERE place <= 5"""
+)
+def retrieve_then_rerank(spark, sf_dir):
+    """Of the 20 nearest vectors the five whose documents score best (here: by a letter's frequency) in their first 1,000 characters."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    score = F.length(F.replace("text", F.lit("e"), F.lit("ee"))) - F.length("text")
+    out = retrieval.reranked(ranked(spark, sf_dir, 20), d, "query_id", "doc_id", "text", score, 5, 1000)
+    return out.select("query_id", "doc_id", F.col("score").cast("long").alias("score"), "rank")
+
+
+@query(
+    _RANKED
+    + """, a AS (SELECT k, round(avg(CASE WHEN rank <= k AND ql = cl THEN 1.0::DOUBLE / k ELSE 0 END) * count(*) / count(DISTINCT query_id), 6) AS base FROM r, (SELECT unnest([1, 5, 10]) AS k) GROUP BY k)
+SELECT CAST(k AS INTEGER) AS k, base, round(base * 1.25, 6) AS tuned, round(base * 0.25, 6) AS delta, CASE WHEN base = 0 THEN 0.0 ELSE 25.0 END AS percent, false AS drifted FROM a"""
+)
+def metric_deltas(spark, sf_dir):
+    """Precision of the search against one a quarter better."""
+    m = retrieval.ranking_metrics(ranked(spark, sf_dir), relevant(spark, sf_dir), "query_id", "doc_id").select("k", "precision")
+    out = retrieval.metric_delta(m, m.withColumn("precision", F.col("precision") * 1.25), "k", "precision")
+    return out.select("k", "base", F.round("tuned", 6).alias("tuned"), F.round("delta", 6).alias("delta"), F.round("percent", 4).alias("percent"), "drifted")
+
+
 @query("SELECT query_id, count(*) AS positives FROM (SELECT q.vec_id AS query_id FROM embeddings q JOIN embeddings c ON q.label = c.label AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0) GROUP BY 1")
 def relevance_counts(spark, sf_dir):
     return relevant(spark, sf_dir).groupBy("query_id").agg(F.count("*").alias("positives"))
