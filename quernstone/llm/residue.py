@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -249,28 +250,50 @@ def probabilities(weights: np.ndarray, docs: list[str]) -> tuple[np.ndarray, np.
     return _softmax(z) if n else z, of
 
 
-def train(rows: list[tuple[int, np.ndarray]], penalty: float, epochs: int = EPOCHS, seed: int = 5) -> np.ndarray:
-    """Weights of a multinomial logistic regression by mini-batches with per-weight step sizes; rows are (class, features)."""
+@dataclass(frozen=True)
+class Batch:
+    """Some rows (class, features) side by side, their features in order, and where each feature's places begin in that order."""
+
+    value: np.ndarray
+    start: np.ndarray
+    kinds: np.ndarray
+    order: np.ndarray
+    row: np.ndarray
+    used: np.ndarray
+    first: np.ndarray
+
+
+def batches(rows: list[tuple[int, np.ndarray]], size: int = 256, seed: int = 5) -> list[Batch]:
+    """The rows in mini-batches by chance; their features are grouped once for all epochs and penalties."""
+    out = []
+    mixed = np.random.default_rng(seed).permutation(len(rows))
+    for k in range(0, len(mixed), size):
+        part = [rows[i] for i in mixed[k : k + size]]
+        sizes = np.array([len(f) for _, f in part])
+        value = np.concatenate([f for _, f in part])
+        order = np.argsort(value, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(value[order]) > 0]))
+        row = np.repeat(np.arange(len(part)), sizes)[order]
+        out.append(Batch(value, np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.array([c for c, _ in part]), order, row, value[order][first], first))
+    return out
+
+
+def train(parts: list[Batch], penalty: float, epochs: int = EPOCHS, seed: int = 5) -> np.ndarray:
+    """Weights of a multinomial logistic regression by mini-batches, in another order each epoch, with per-weight step sizes."""
     w = np.zeros((1 << BITS, len(CLASSES) + 1))
-    if not rows:
+    if not parts:
         w[_BIAS, 0] = 5.0
         return w.astype(np.float32)
     seen = np.full(w.shape, 1e-6)
     r = np.random.default_rng(seed)
     for _ in range(epochs):
-        order = r.permutation(len(rows))
-        for k in range(0, len(order), 256):
-            part = [rows[i] for i in order[k : k + 256]]
-            sizes = np.array([len(f) for _, f in part])
-            value, start = np.concatenate([f for _, f in part]), np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            g = scores(w, value, start)
-            g[np.arange(len(part)), [c for c, _ in part]] -= 1
-            used, back = np.unique(value, return_inverse=True)
-            grad = np.zeros((len(used), w.shape[1]))
-            np.add.at(grad, back, np.repeat(g, sizes, axis=0))
-            grad = grad / len(part) + penalty * w[used]
-            seen[used] += grad**2
-            w[used] -= 0.5 * grad / np.sqrt(seen[used])
+        for k in r.permutation(len(parts)):
+            b = parts[k]
+            g = scores(w, b.value, b.start)
+            g[np.arange(len(b.kinds)), b.kinds] -= 1
+            grad = np.add.reduceat(g[b.row], b.first, axis=0) / len(b.kinds) + penalty * w[b.used]
+            seen[b.used] += grad**2
+            w[b.used] -= 0.5 * grad / np.sqrt(seen[b.used])
     return w.astype(np.float32)
 
 
@@ -347,11 +370,12 @@ def fit(rows: list[tuple[int, float, str, np.ndarray]]) -> tuple[np.ndarray, flo
     held = np.array([xxhash.xxh32_intdigest(h) % 5 == 0 for _, _, h, _ in rows])
     known, unseen = [(r[0], r[3]) for r, x in zip(rows, held) if not x], [r for r, x in zip(rows, held) if x]
     best = None
+    parts = batches(known + seeds()) if known and unseen else []
     for penalty in PENALTIES:
-        if not unseen or not known:
+        if not parts:
             best = (0.0, penalty, CUTOFFS[len(CUTOFFS) // 2], 0.0, 0.0)
             break
-        w = train(known + seeds(), penalty)
+        w = train(parts, penalty)
         p = scores(w, np.concatenate([r[3] for r in unseen]), np.cumsum([0, *(len(r[3]) for r in unseen[:-1])]))
         c, weight = np.array([r[0] for r in unseen]), np.array([r[1] for r in unseen])
         loss = float(-(weight * np.log(p[np.arange(len(c)), c] + 1e-9)).sum() / weight.sum())
@@ -359,7 +383,7 @@ def fit(rows: list[tuple[int, float, str, np.ndarray]]) -> tuple[np.ndarray, flo
             best = (loss, penalty, *_best_cutoff(p, c, weight))
     _, penalty, cutoff, precision, recall = best
     report = {"penalty": penalty, "cutoff": cutoff, "sentences": len(unseen), "precision": precision, "recall": recall}
-    return train([(r[0], r[3]) for r in rows] + seeds(), penalty), cutoff, report
+    return train(batches([(r[0], r[3]) for r in rows] + seeds()), penalty), cutoff, report
 
 
 def find(docs: DataFrame, weights: np.ndarray, cutoff: float, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
