@@ -298,9 +298,10 @@ def _candidates(reps: DataFrame, runs: int, levels: int, threshold: float, bucke
     value = ("rep", "n", "s1", "s2")
     rows = reps.select(*value, F.posexplode(chosen(0)).alias("run", "p")).select(*value, "run", F.explode("p").alias("t"))
     rows = rows.select(node(F.col("run"), F.col("run")).alias("node"), *value)
-    out = None
+    out, heavy = None, []
     for level in range(levels):
-        heavy = _heavy(rows, bucket)
+        # a node's rows are some of its parent's, so only heavy nodes have heavy children
+        heavy = _heavy(rows, bucket) if heavy or not level else []
         cold = rows.where(~F.col("node").isin(heavy)) if heavy else rows
         given = materialize(_level(cold, threshold, bucket), "level")
         pairs = given.where("not hot").select("a", "b", "bit")
@@ -350,8 +351,8 @@ def near_duplicates(
         base = materialize(_signatures(df, id_col, text_col, width, min_words, round_ * runs, runs, levels, branch / threshold), "signatures")
         if members is None:
             members = materialize(with_group_min(base.select("doc", "key").distinct(), ["key"], "doc", "rep", "copies").select("doc", "rep", "copies"), "members")
-        reps = base.groupBy("key").agg(F.min("doc").alias("rep"), *(F.first(c).alias(c) for c in ("n", "s1", "s2", "picks")))
-        reps = materialize(reps.drop("key"), "representatives")
+        firsts = members.where("doc = rep").select("doc")
+        reps = materialize(base.join(firsts, "doc", "left_semi").select(F.col("doc").alias("rep"), "n", "s1", "s2", "picks"), "representatives")
         found = materialize(_candidates(reps, runs, levels, threshold, bucket, block), "candidates")
         new = _verified(found, df, id_col, text_col, width, threshold)
         if pairs is None:
