@@ -134,7 +134,8 @@ def choices(h: np.ndarray, ends: np.ndarray, first_run: int, runs: int, levels:
 
 
 def _signatures(df: DataFrame, id_col: str, text_col: str, width: int, min_words: int, first_run: int, runs: int, levels: int, share: float) -> DataFrame:
-    """(doc, key, n, s1, s2, picks) of each text with enough words: key is a hash of its words, picks its choices."""
+    """(doc, key, n, s1, s2, picks_0, ...) of each text with enough words: key is a hash of its words, picks_l its choices of a level, each with its run."""
+    names = [f"picks_{level}" for level in range(levels)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, text_col):
@@ -144,13 +145,19 @@ def _signatures(df: DataFrame, id_col: str, text_col: str, width: int, min_words
                 continue
             s = sketches(h, ends, 11 + first_run)
             picked, at = choices(h, ends, first_run, runs, levels, share)
-            picks = pa.ListArray.from_arrays(pa.array(np.arange(len(docs) + 1) * (runs * levels), pa.int32()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(picked)))
+            slot = np.repeat(np.arange(len(at) - 1), np.diff(at))
+            text, slot = np.divmod(slot, runs * levels)
+            value = (slot // levels << 32) + (picked.astype(np.int64) & 0xFFFFFFFF)
+            picks = []
+            for level in range(levels):
+                own = slot % levels == level
+                picks.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(text[own], np.arange(len(docs) + 1)), pa.int32()), pa.array(value[own])))
             keys = [xxhash.xxh3_128_digest(" ".join(ws)) for _, ws in docs]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([i for i, _ in docs], pa.int64()), pa.array(keys, pa.binary()), pa.array(np.diff(ends), pa.int32()), pa.array(s[0]), pa.array(s[1]), picks], ["doc", "key", "n", "s1", "s2", "picks"]
+                [pa.array([i for i, _ in docs], pa.int64()), pa.array(keys, pa.binary()), pa.array(np.diff(ends), pa.int32()), pa.array(s[0]), pa.array(s[1]), *picks], ["doc", "key", "n", "s1", "s2", *names]
             )
 
-    return df.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInArrow(run, "doc long, key binary, n int, s1 long, s2 long, picks array<array<int>>")
+    return df.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInArrow(run, "doc long, key binary, n int, s1 long, s2 long, " + ", ".join(f"{c} array<long>" for c in names))
 
 
 def _sets(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -292,12 +299,8 @@ def _candidates(reps: DataFrame, runs: int, levels: int, threshold: float, bucke
     def node(path: Column, run: Column) -> Column:
         return F.xxhash64(path, "t").bitwiseAND(F.lit(-_RUN_BITS)).bitwiseOR(run.cast("long"))
 
-    def chosen(level: int) -> Column:
-        return F.expr(f"transform(sequence(0, {runs - 1}), r -> picks[r * {levels} + {level}])")
-
     value = ("rep", "n", "s1", "s2")
-    rows = reps.select(*value, F.posexplode(chosen(0)).alias("run", "p")).select(*value, "run", F.explode("p").alias("t"))
-    rows = rows.select(node(F.col("run"), F.col("run")).alias("node"), *value)
+    rows = reps.select(*value, F.explode("picks_0").alias("t")).select(node(F.lit(0), F.shiftright("t", 32)).alias("node"), *value)
     out, heavy = None, []
     for level in range(levels):
         # a node's rows are some of its parent's, so only heavy nodes have heavy children
@@ -316,9 +319,11 @@ def _candidates(reps: DataFrame, runs: int, levels: int, threshold: float, bucke
             both = blocked_pairs(sized.select("node", "c", F.struct(*value).alias("v")), ["node"], "c", "rep", block).where(_alike(threshold))
             out = out.unionByName(both.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.expr(f"shiftleft(1L, cast(node & {_RUN_BITS - 1} as int))").alias("bit")))
             break
-        own = reps.select(F.col("rep").alias("_r"), chosen(level + 1).alias("p"))
-        rows = hot.join(own, F.col("rep") == F.col("_r")).select("node", *value, F.explode(F.get("p", F.col("node").bitwiseAND(F.lit(_RUN_BITS - 1)).cast("int"))).alias("t"))
-        rows = rows.select(node(F.col("node"), F.col("node").bitwiseAND(F.lit(_RUN_BITS - 1))).alias("node"), *value)
+        own = reps.select(F.col("rep").alias("_r"), F.col(f"picks_{level + 1}").alias("p"))
+        # a text's own choices are read along the run of the node
+        run = F.col("node").bitwiseAND(F.lit(_RUN_BITS - 1))
+        rows = hot.join(own, F.col("rep") == F.col("_r")).select("node", *value, F.explode("p").alias("t")).where(F.shiftright("t", 32) == run)
+        rows = rows.select(node(F.col("node"), run).alias("node"), *value)
     return out.groupBy("a", "b").agg(F.bit_or("bit").alias("mask"))
 
 
@@ -328,8 +333,10 @@ def _verified(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str, width
     own = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(ids, "doc", "left_semi")
     sets = materialize(_sets(own, "doc", "text", width), "sets")
     both = pairs.join(sets.select(F.col("doc").alias("a"), F.col("runs").alias("ra")), "a").join(sets.select(F.col("doc").alias("b"), F.col("runs").alias("rb")), "b")
-    both = both.withColumn("shared", F.size(F.array_intersect("ra", "rb"))).withColumn("all", F.size("ra") + F.size("rb") - F.col("shared"))
-    return both.where(F.col("shared") >= F.lit(threshold) * F.col("all") - 1e-9).select("a", "b", "mask", (F.col("shared") / F.col("all")).alias("similarity"))
+    shared, sizes = F.size(F.array_intersect("ra", "rb")), F.size("ra") + F.size("rb")
+    # shared / (sizes - shared) >= threshold, with the intersection, which a filter computes for each place that names it, named once
+    alike = both.where(shared * (1 + threshold) >= F.lit(threshold) * sizes - 1e-9)
+    return alike.select("a", "b", "mask", (shared / (sizes - shared)).alias("similarity"))
 
 
 def sketch_loss(threshold: float) -> float:
@@ -352,7 +359,7 @@ def near_duplicates(
         if members is None:
             members = materialize(with_group_min(base.select("doc", "key").distinct(), ["key"], "doc", "rep", "copies").select("doc", "rep", "copies"), "members")
         firsts = members.where("doc = rep").select("doc")
-        reps = materialize(base.join(firsts, "doc", "left_semi").select(F.col("doc").alias("rep"), "n", "s1", "s2", "picks"), "representatives")
+        reps = materialize(base.join(firsts, "doc", "left_semi").select(F.col("doc").alias("rep"), *[c for c in base.columns if c not in ("doc", "key")]), "representatives")
         found = materialize(_candidates(reps, runs, levels, threshold, bucket, block), "candidates")
         new = _verified(found, df, id_col, text_col, width, threshold)
         if pairs is None:
