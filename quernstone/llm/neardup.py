@@ -44,6 +44,8 @@ BUCKET, BLOCK = 512, 256
 #: Words whose hashes a worker keeps.
 _MOST_WORDS = 500_000
 _KNOWN: dict[str, int] = {}
+#: Bytes of text whose words and hashes are held at once.
+_PIECE = 1_500_000
 #: The sketch has this many two-bit symbols, in two longs.
 _SYMBOLS = 64
 
@@ -138,7 +140,7 @@ def _signatures(df: DataFrame, id_col: str, text_col: str, width: int, min_words
     names = [f"picks_{level}" for level in range(levels)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, text_col):
+        for b in pieces(batches, text_col, _PIECE):
             docs = [(i, ws) for i, t in zip(b.column(0).to_pylist(), texts(b.column(1))) if t and i is not None and len(ws := words(t)) >= max(min_words, 1)]
             h, ends = word_runs([ws for _, ws in docs], width)
             if not len(h):
@@ -164,7 +166,7 @@ def _sets(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """(doc, runs) with the whole set of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, text_col):
+        for b in pieces(batches, text_col, _PIECE):
             h, ends = word_runs([words(t) if t else [] for t in texts(b.column(1))], width)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h.view(np.int64)))], ["doc", "runs"])
 
