@@ -88,3 +88,16 @@ def test_base64_holds_the_whole_text(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: r["b64"] for r in registry.QUERIES["hash_functions"](spark, str(tmp_path)).collect()}
     assert {k: base64.b64decode(v, validate=True).decode() for k, v in got.items()} == dict(enumerate(texts))
+
+
+def test_main_text_of_signs_that_look_like_markup(spark, tmp_path):
+    from quernstone.operators import web
+
+    good = "The team of the archive keeps all of the old notes for the people who look at them, and the rest of the pages are in the same place as they were before. It is not much, but it is what we have, and we will be at it for some time."
+    odd = ["x![ <![0\n[ x|a c09> y", "<![foo[x]]>", "<![ ]", "<![", "<![x", "<!", "<!%>", "&#" + "9" * 5000 + ";", "&#" + "0" * 5000 + "65;", "&#xD800;"]
+    texts = [f"{x}\n\n{good}" for x in odd[:2]] + [f"{good}\n\n{x}" for x in odd]
+    spark.createDataFrame([*enumerate(texts), (99, None), (100, "")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["chars"] for r in registry.QUERIES["html_main_text"](spark, str(tmp_path)).collect()}
+    assert got.keys() == {*range(len(texts)), 100} and all(got[i] >= len(good) for i in range(len(texts)))
+    assert web.main_text(f"<p>{good} <![0 x> &#{'0' * 5000}65; &#{'9' * 5000};</p>") == f"{good} A \ufffd"
+    assert web.main_text(f"<p>{good}</p><![CDATA[a > b]]><p>{good}</p>") == f"{good}\n{good}"
