@@ -90,3 +90,30 @@ def test_pairs_of_nothing(spark):
     assert posts.count() == 0 and pairs.worst(posts, cutoffs).count() == 0 and pairs.defects(posts, cutoffs).count() == 0
     odd = spark.createDataFrame([(1, "response_a", None, None, None), (None, None, "", "", ""), (2, "response_b", None, "word " * 50_000, "xx"), (1, "response_a", None, None, None)], schema)
     assert pairs.posteriors(odd)[0].count() == 3
+
+
+def test_models_and_cutoffs_come_from_all_answers(spark, answers):
+    """The validation set holds every sound answer and all that it can be broken into; how the rows are split makes no difference."""
+    rows = answers.count()
+    votes = pairs.vote(answers).cache()
+    counts = pairs.pattern_counts(votes)
+    assert all(sum(counts["all"][d].values()) == rows for d in pairs.DEFECTS)
+    _, cutoffs, report = pairs.posteriors(answers)
+    sound = votes.where("sound").count()
+    assert sound > 0.8 * rows > 2_000 and all(r["sound"] == sound for r in report.values()) and report["empty"]["cases"] == sound
+    tuples = [tuple(r) for r in answers.select("query", "answer", "lang").collect()]
+    models = {d: pairs.fit(counts["all"][d], 4) for d in pairs.DEFECTS}
+    assert pairs.calibrated(models, tuples) == (cutoffs, report)
+    assert pairs.posteriors(answers.repartition(7, "answer"))[1:] == (cutoffs, report)
+
+
+def test_broken_pairs_keep_only_what_still_holds():
+    """What a broken pair takes over from the sound one gives the same votes as the pair computed anew."""
+    for lang, q, a in (("EN", "Who pays the return of the parcel?", PROSE), (None, "Wer zahlt für die Rücksendung des Pakets an das Lager?", "Für die Rücksendung müssen Sie nichts bezahlen, und die Kosten trägt das Lager selbst."), ("de", "Straße, Größe und Maß: wer zahlt für das Paket?", "Für die Rücksendung müssen Sie nichts bezahlen, und die Kosten trägt das Lager.")):
+        p = pairs.Pair(q, a, lang)
+        _, good, got = pairs.judged(p)
+        made = pairs.broken(p)
+        assert good and got.keys() == made.keys() >= {"empty"}
+        for d, x in made.items():
+            assert got[d] == pairs.pattern(pairs.VOTES[d](pairs.Pair(x.query, x.answer, x.lang))), (d, x.answer)
+    assert pairs.judged(pairs.Pair("Who pays?", "", "en"))[1:] == (False, {})
