@@ -59,6 +59,19 @@ def shortfalls(planned: DataFrame) -> DataFrame:
     return planned.where("target > supply").select("blend", "name")
 
 
+def unreached(mixed: DataFrame, planned: DataFrame, *, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """(blend, name) of the sources of a filled blend that cannot reach their target.
+
+    Candidates are the sources with slots that stayed empty and those whose slots, drawn at random, come within chance of the supply (six standard
+    deviations of the count: one source in 10^9 could be missed); the exact comparison of target and supply decides on them.
+    """
+    filled = mixed.groupBy("blend", "name").agg(F.count("*").alias("slots"), F.count_if(F.col("block").isNull()).alias("empty"))
+    filled = filled.select(F.col("blend").alias("_blend"), F.col("name").alias("_name"), "slots", "empty")
+    both = planned.join(filled, F.col("blend").eqNullSafe(F.col("_blend")) & (F.col("name") == F.col("_name")), "left")
+    slots, empty = F.coalesce("slots", F.lit(0)), F.coalesce("empty", F.lit(0))
+    return shortfalls(both.where((empty > 0) | ((slots + 6 * F.sqrt(slots) + 36) * block_chars >= F.col("supply"))))
+
+
 def blocks(docs: DataFrame, planned: DataFrame, *, block_chars: int = BLOCK_CHARS, slice_blocks: int = SLICE_BLOCKS, id_col: str = "doc_id", source_col: str = "source", size_col: str = "n_chars") -> DataFrame:
     """(name, block, spans, chars): the blocks of every source; spans are (doc, start, end) in characters.
 

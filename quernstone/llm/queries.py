@@ -61,8 +61,9 @@ def p1_block_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sources of a blend that cannot reach their target."""
-    return mixing.shortfalls(mixing.plan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "blend_sources")))
+    """The sources of a blend that cannot reach their target: those of the filled blend with empty slots or few blocks left, compared exactly."""
+    docs, spec = table(spark, sf_dir, "documents"), table(spark, sf_dir, "blend_sources")
+    return mixing.unreached(mixing.blend(docs, spec), mixing.plan(docs, spec))
 
 
 def p1_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
