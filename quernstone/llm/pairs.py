@@ -15,11 +15,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from difflib import SequenceMatcher
-from functools import cache, cached_property
-from itertools import chain
+from functools import cache, lru_cache
+from itertools import product
 from os.path import commonprefix
+from struct import Struct
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions.lexicon import COMMON
-from quernstone.functions.words import WORD, normalize, pieces, texts, words
+from quernstone.functions.words import WORD, normalize, pieces, texts
 from quernstone.session import materialize
 
 DEFECTS = ("empty", "copy", "refusal", "language", "truncated")
@@ -38,9 +39,47 @@ DEFAULT = 0.5
 # Words for "no value".
 NO_VALUE = frozenset("n/a na none null nil nan undefined empty void unknown tbd nothing keine nichts leer aucun aucune néant vide rien ninguno ninguna nada vacío".split()) | {"no answer", "no response", "not available", "keine antwort", "keine angabe", "sans réponse", "sin respuesta", "pas de réponse"}
 
+_LATIN = [normalize(chr(i)) for i in range(256)]
+#: Of each Latin-1 character, what it is among words: a small letter or digit, else a space; those whose normal form is another kind of character.
+_LATIN_WORDS = "".join(x if len(x) == 1 and x.isalnum() and x < "\u0100" else " " for x in _LATIN).encode("latin-1")
+_NO_LATIN_WORDS = bytes(i for i, x in enumerate(_LATIN) if any(map(str.isalnum, x)) and (len(x) > 1 or x > "\xff"))
+_DROPPED = bytes(i for i, x in enumerate(_LATIN) if not x)
+#: Latin-1 characters whose normal form isn't their small letter.
+_NO_LATIN_LOWER = bytes(i for i, x in enumerate(_LATIN) if x != chr(i).lower())
+_ASCII = bytes(range(128))
+
+
+def _normal(text: str) -> str:
+    """What `normalize` gives; most Latin-1 texts need small letters only."""
+    if text.isascii():
+        return text.lower()
+    try:
+        of = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return normalize(text)
+    return text.lower() if len(of.translate(None, _NO_LATIN_LOWER)) == len(of) else normalize(text)
+
+
+def _words(text: str) -> list[str]:
+    """What `words` gives; most Latin-1 texts need no pattern."""
+    if text.isascii():
+        return text.encode().translate(_LATIN_WORDS).decode().split()
+    try:
+        of = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return WORD.findall(normalize(text))
+    return of.translate(_LATIN_WORDS, _DROPPED).decode("latin-1").split() if len(of.translate(None, _NO_LATIN_WORDS)) == len(of) else WORD.findall(normalize(text))
+
+
+def _cut(normal: str) -> list[str]:
+    """The words of a normalised text."""
+    return _words(normal) if normal.isascii() else WORD.findall(normal)
+
+
 _LANGUAGES_OF = {w: tuple(k for k, v in COMMON.items() if w in v) for w in sorted(frozenset().union(*COMMON.values()))}
 #: Letters that few languages have (fixed values).
 LETTERS = {"de": "ßäöü", "fr": "çœêèàùâîôû", "es": "ñ¿¡áíóú", "pt": "ãõçáéíóú", "pl": "łążśćęńź", "cs": "řěůšžč", "tr": "ğışç", "sv": "åäö"}
+_RARE = frozenset("".join(LETTERS.values()))
 #: Names of languages as a query may ask for them (fixed values).
 ASKED = {
     "en": r"english|englisch\w*|anglais\w*|ingl[ée]s\w*|inglese|engels|angielsk\w*",
@@ -53,6 +92,10 @@ ASKED = {
     "pl": r"polish|polnisch\w*|polonais\w*|polaco|polacco|pools|polsk\w*",
 }
 _NAMED = re.compile("|".join(ASKED.values()), re.I)
+#: One of these is in every word of ASKED, in lower case: a cheap test before it (fixed values); letters that only `re.I` takes for ASCII ones.
+NAME_PARTS = tuple("""ngl engels angiel german deutsch allem alem tedesc duits niemi frenc franz franç franc frans spani espa spagn spaan hiszp portug portog itali włosk dutch erland erländ olandes holand polis polni polon polac
+    pools polsk""".split())
+_ODD_CASE = re.compile("[ſKİı]")
 _ASKED = {k: re.compile(rf"\b(?:in|auf|ins|en|em|po|into|to|w|nach|vers|al|al)\s+(?:\w+\s+)?(?:{v})\b|\b(?:{v})\s+(?:please|bitte|por favor|s'il)|\b(?:translate|übersetz|tradui|tradu[cz])\w*\b.*\b(?:{v})\b", re.I) for k, v in ASKED.items()}
 
 # How answers decline, by language.
@@ -99,37 +142,43 @@ _FOREIGN = re.compile(r"[^\W\d\x00-\u036f\u1e00-\u1fff]")
 _THINK = re.compile(r"<think>.*?(?:</think>|$)", re.S | re.I)
 _CONTROL = re.compile(r"<\|[^|>]{0,40}\|>")
 _MARKED = re.compile(r"[<`*_#~>|]")
-_ASIDES = ("```", "://", '"', "«", "„", "“")
 _ASIDE = re.compile(r"```.*?(?:```|$)|https?://\S+|[\"«„“].{0,400}?[\"»“”]", re.S)
 _CLOSING_FENCE = re.compile(r"(?:^|\n)\s*(?:```|~~~)\s*$")
 _ADDRESS_END = re.compile(r"\s*https?://\S+$")
-_HANGING = re.compile(r"[,(\[{:;–—-]$|[„«]\S*$")
+_HANGING = re.compile(r"[„«]\S*$")
 _MARK = re.compile(r"<\|[^|>]{0,40}\|>|</?[a-zA-Z][^<>]{0,80}>|[`*_#~>|]+")
 _FENCE = re.compile(r"^\s*(?:```|~~~)", re.M)
 _ASKED_PREFIX = re.compile(r"^\W*(?:you asked|your question(?: was| is)?|you wrote|question|sie fragten|ihre frage(?: war| lautet)?|frage|vous (?:avez demandé|demandez|demandiez)|votre question|usted (?:pregunta|preguntó)|su pregunta|pregunta)\s*:?\s*", re.I)
-_SENTENCE = re.compile(r"[.!?…][\"»”“’')\]*_]*\s+|\n+")
+#: A stop, what closes, and space; or line ends. One set comes first, so that the pattern is tried only there.
+_SENTENCE = re.compile(r"[.!?…\n](?:(?<=\n)\n*|(?<!\n)[\"»”“’')\]*_]*\s+)")
 _SIGNATURE = re.compile(r"^\W*(?:[–—-]+\s*\S.{0,60}|.{0,60}\b(?:support|team|service|desk|kundendienst|équipe|equipo)\b.{0,40}|https?://\S+|www\.\S+)$", re.I)
 _ENTRY = re.compile(r"^\s*(?:[-*•+→]|\d{1,3}[.)])\s+\S")
 _PAIR = re.compile(r"^\s*[-*•+→]?\s*[^:]{1,60}:\s*\S+\s*$")
 _BARE = re.compile(r"^\s*(?:[-*•+→]|\d{1,3}[.)]|\*\*|__|#+|\|)\s*$")
-_STOP = re.compile(r"[.!?…。！？؟:;]\s*[\"»”“’')\]*_]*$")
+_STOPS, _CLOSERS = frozenset(".!?…。！？؟:;"), "\"»”“’')]*_"
 #: Endings of one language's unfinished sentences need no list: a word of COMMON seldom ends a sentence.
 _OPENERS = {"(": ")", "[": "]", "{": "}", "«": "»", "„": "“"}
+_OPENING = re.compile(r"[(\[{«„\"]")
+
+
+#: A word's points for each language, in tenths, as 64 bits of one number: the sum over words adds up all languages at once.
+_PLACES = {k: 1 << 64 * i for i, k in enumerate(COMMON)}
+_NAMES = tuple(COMMON)
+_BITS = Struct(f"<{len(COMMON)}Q")
+_COMMON_POINTS = {w: sum(10 * _PLACES[k] for k in of) for w, of in _LANGUAGES_OF.items()}
 
 
 class _Points(dict):
-    """The languages that a word speaks for, and how strongly; kept for words that come again."""
+    """The points of a word with its letters; kept for words that come again."""
 
-    def __missing__(self, word: str) -> tuple[tuple[str, float], ...]:
-        out = dict.fromkeys(_LANGUAGES_OF.get(word, ()), 1.0)
+    def __missing__(self, word: str) -> int:
+        out = _COMMON_POINTS.get(word, 0)
         if not word.isascii():
-            for k, letters in LETTERS.items():
-                if any(c in letters for c in word):
-                    out[k] = out.get(k, 0) + 0.7
+            out += sum(7 * _PLACES[k] for k, letters in LETTERS.items() if any(c in letters for c in word))
         if len(self) > 100_000:
             self.clear()
-        self[word] = tuple(out.items())
-        return self[word]
+        self[word] = out
+        return out
 
 
 _POINTS = _Points()
@@ -137,173 +186,214 @@ _POINTS = _Points()
 
 def _is_latin(text: str) -> bool:
     """Whether a text surely has no letters beyond the Latin ones."""
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
-
-
-def language(text: str, ws: list[str] | None = None) -> tuple[str | None, float, dict[str, float]]:
-    """The most likely language by frequent words and letters, its lead over the next as a share of the words, and all scores; None without evidence."""
-    ws = words(text) if ws is None else ws
+    for of in ("latin-1", "cp1252"):
+        try:
+            text.encode(of)
+        except UnicodeEncodeError:
+            continue
+        return True
+    return False
+
+
+def language(text: str, ws: list[str] | None = None) -> tuple[str | None, float, dict[str, int]]:
+    """The most likely language by frequent words and letters, its lead over the next as a share of the words, and all scores in tenths; None without evidence."""
+    ws = _words(text) if ws is None else ws
     if not ws:
         return None, 0.0, {}
-    if not _is_latin(text):
-        foreign = _FOREIGN.findall(text)
-        if len(foreign) > 0.4 * sum(map(len, ws)):
-            return f"U+{Counter(ord(c) >> 8 for c in foreign).most_common(1)[0][0]:02X}", 1.0, {}
-    score = dict.fromkeys(COMMON, 0.0)
     if text.isascii():
-        score |= Counter(chain.from_iterable(filter(None, map(_LANGUAGES_OF.get, ws))))
+        points = sum(filter(None, map(_COMMON_POINTS.get, ws)))
     else:
-        for of in filter(None, map(_POINTS.__getitem__, ws)):
-            for k, points in of:
-                score[k] += points
-    if "¿" in text or "¡" in text:
-        score["es"] += 1
-    first, second = 0.0, 0.0
-    best = None
-    for k, v in score.items():
-        if v > first:
-            best, first, second = k, v, first
-        elif v > second:
-            second = v
-    return best, (first - second) / len(ws), score
+        if not _is_latin(text):
+            foreign = _FOREIGN.findall(text)
+            if len(foreign) > 0.4 * sum(map(len, ws)):
+                return f"U+{Counter(ord(c) >> 8 for c in foreign).most_common(1)[0][0]:02X}", 1.0, {}
+        points = sum(filter(None, map(_POINTS.__getitem__, ws)))
+        if "¿" in text or "¡" in text:
+            points += 10 * _PLACES["es"]
+    score = _BITS.unpack(points.to_bytes(_BITS.size, "little"))
+    second, first = sorted(score)[-2:]
+    return _NAMES[score.index(first)] if first else None, (first - second) / (10 * len(ws)), dict(zip(_NAMES, score))
 
 
-class Pair:
-    """A query and its answer, with what the labelling functions share, each computed once when it is first asked for."""
-
-    #: What is computed of the query alone, and of the answer alone.
-    OF_QUERY, OF_ANSWER = ("query_words", "query_set", "topic", "asked", "named"), ("spoken", "core", "sentences", "words", "rest", "prose", "told", "declining", "bare")
-
-    def __init__(self, query: str | None, answer: str | None, lang: str | None = None) -> None:
-        self.query, self.answer, self.lang = query, answer, lang
-
-    def answered(self, other: Pair, lang: str | None) -> Pair:
-        """This query with the other's answer; what is known of each already is kept."""
-        x = Pair(self.query, other.answer, lang)
-        to, mine, theirs = x.__dict__, self.__dict__, other.__dict__
-        for k in self.OF_QUERY:
-            if k in mine:
-                to[k] = mine[k]
-        for k in self.OF_ANSWER:
-            if k in theirs:
-                to[k] = theirs[k]
-        return x
-
-    @cached_property
-    def spoken(self) -> str:
-        """The answer without thoughts and control marks."""
-        text = self.answer or ""
-        if "<" in text:
-            text = _CONTROL.sub(" ", _THINK.sub(" ", text))
-        return text
-
-    @cached_property
+class _Once:
+    """A value that is computed when it is first asked for; what `cached_property` does, in fewer steps."""
+
+    def __init__(self, of: Callable) -> None:
+        self.of = of
+
+    def __get__(self, x: object, kind: type | None = None) -> object:
+        out = x.__dict__[self.of.__name__] = self.of(x)
+        return out
+
+
+class Query:
+    """A query with what the labelling functions share of it, each computed once, some when it is first asked for."""
+
+    def __init__(self, text: str | None) -> None:
+        self.text = text
+        self.words = _words(text or "")
+        self.set = frozenset(self.words)
+        #: The words that aren't frequent ones.
+        self.topic = self.set.difference(_LANGUAGES_OF)
+
+    @_Once
+    def asked(self) -> str | None:
+        """The query's language."""
+        return language(self.text, self.words)[0] if self.text else None
+
+    @_Once
+    def named(self) -> frozenset[str]:
+        """The languages that the query asks for."""
+        text = self.text or ""
+        low = text.lower()
+        if (any(x in low for x in NAME_PARTS) or not text.isascii() and _ODD_CASE.search(text)) and _NAMED.search(text):
+            return frozenset(k for k, x in _ASKED.items() if x.search(text))
+        return frozenset()
+
+
+class Answer:
+    """An answer with what the labelling functions share of it, each computed once, some when it is first asked for."""
+
+    def __init__(self, text: str | None) -> None:
+        self.text = text
+        #: The answer without thoughts and control marks.
+        self.spoken = text or ""
+        if "<" in self.spoken:
+            self.spoken = _CONTROL.sub(" ", _THINK.sub(" ", self.spoken))
+
+    @_Once
     def core(self) -> str:
         """The answer without markup."""
         return _MARK.sub(" ", self.spoken) if _MARKED.search(self.spoken) else self.spoken
 
-    @cached_property
-    def sentences(self) -> list[tuple[str, list[str]]]:
-        """The sentences of the answer without markup, normalised and in lower case, and their words."""
-        return [(x, ws) for x in _SENTENCE.split(normalize(self.core)) if (ws := WORD.findall(x))]
+    @_Once
+    def sentences(self) -> list[str]:
+        """The sentences of the answer without markup, normalised and in lower case, and what has no words between them."""
+        return _SENTENCE.split(_normal(self.core))
 
-    @cached_property
+    @_Once
     def words(self) -> list[str]:
-        return [w for _, ws in self.sentences for w in ws]
+        return _words(self.core)
 
-    @cached_property
-    def query_words(self) -> list[str]:
-        return words(self.query or "")
-
-    @cached_property
-    def query_set(self) -> frozenset[str]:
-        return frozenset(self.query_words)
-
-    @cached_property
-    def topic(self) -> frozenset[str]:
-        """The query's words that aren't frequent ones."""
-        return self.query_set.difference(_LANGUAGES_OF)
-
-    @cached_property
+    @_Once
     def rest(self) -> list[str]:
         """The answer's words without an introduction such as "you asked", each sentence once."""
-        ss = dict(self.sentences)
         asked = _ASKED_PREFIX.match(self.core)
-        if asked:
-            return [w for s in dict.fromkeys(_SENTENCE.split(normalize(self.core[asked.end() :]))) for w in WORD.findall(s)]
-        return self.words if len(ss) == len(self.sentences) else [w for ws in ss.values() for w in ws]
+        ss = _SENTENCE.split(normalize(self.core[asked.end() :])) if asked else self.sentences
+        once = dict.fromkeys(ss)
+        return self.words if not asked and len(once) == len(ss) else [w for s in once for w in _cut(s)]
 
-    @cached_property
+    @_Once
     def prose(self) -> str:
         """The answer without code, addresses and quotations."""
-        return _ASIDE.sub(" ", self.spoken) if any(x in self.spoken for x in _ASIDES) else self.core
-
-    @cached_property
-    def asked(self) -> str | None:
-        """The query's language."""
-        return language(self.query, self.query_words)[0] if self.query else None
-
-    @cached_property
-    def named(self) -> frozenset[str]:
-        """The languages that the query asks for."""
-        return frozenset(k for k, x in _ASKED.items() if x.search(self.query)) if self.query and _NAMED.search(self.query) else frozenset()
+        x = self.spoken
+        return _ASIDE.sub(" ", x) if '"' in x or "«" in x or "„" in x or "“" in x or "://" in x or "```" in x else self.core
 
-    @cached_property
+    @_Once
+    def letters(self) -> frozenset[str]:
+        """The letters of the prose that aren't ASCII."""
+        text = self.prose
+        if text.isascii():
+            return frozenset()
+        try:
+            beyond = text.encode("latin-1").translate(None, _ASCII).decode("latin-1")
+        except UnicodeEncodeError:
+            beyond = _NOT_ASCII.findall(text)
+        return frozenset(c.lower() for c in set(beyond) if c.isalpha())
+
+    @_Once
     def bare(self) -> tuple[int, bool, bool]:
         """The answer's length, 99 if it has many words; whether it is a word for "no value"; whether it is a few words, none of them common but for such a word."""
         ws = self.words
-        n = len(self.core.strip()) if len(ws) < 10 else 99
+        if len(ws) >= 10:
+            return 99, False, False
+        n = len(self.core.strip())
         plain = re.sub(r"^\W+|\W+$", "", normalize(self.core)) if 0 < len(ws) <= 3 else ""
         value = plain in NO_VALUE or re.sub(r"\W+", "", plain) in NO_VALUE if plain else False
         return n, value, len(ws) <= 3 and (value or not any(w in _LANGUAGES_OF for w in ws))
 
-    @cached_property
-    def told(self) -> tuple[str | None, float, dict[str, float]]:
+    @_Once
+    def told(self) -> tuple[str | None, float, dict[str, int]]:
         """The answer's language, as `language` gives it; none of fewer than four words."""
         text = self.prose
-        ws = self.words if text is self.core else words(text)
+        ws = self.words if text is self.core else _words(text)
         return language(text, ws) if len(ws) >= 4 else (None, 0.0, {})
 
-    @cached_property
+    @_Once
     def declining(self) -> tuple[bool, int, float]:
         """Whether a sentence declines, the words without such and polite sentences, the share of words that refusals are full of."""
-        content, declined = 0, False
-        for s, ws in self.sentences:
-            if _declines(s, ws):
+        ws = self.words
+        content, declined, negative = len(ws), False, _NEGATIVE_WORDS.intersection(ws)
+        for s in self.sentences:
+            if negative and any(w in s for w in negative) and _declines(s, of := _cut(s)):
                 declined = True
-            elif not _polite(s):
-                content += len(ws)
-        return declined, content, sum(map(REFUSING.__contains__, self.words)) / max(1, len(self.words))
+                content -= len(of)
+            elif s.lstrip()[:2] in _POLITE_HEADS and _polite(s):
+                content -= len(_cut(s))
+        return declined, content, sum(map(REFUSING.__contains__, ws)) / max(1, len(ws))
+
 
+@lru_cache(256)
+def _query(text: str | None) -> Query:
+    """Queries often come again, as those of preference records do at once."""
+    return Query(text)
 
-def empty_votes(p: Pair) -> list[int]:
+
+class Pair:
+    """A query and its answer, with the language that is stated for them."""
+
+    def __init__(self, query: str | Query | None, answer: str | Answer | None, lang: str | None = None) -> None:
+        self.q = query if type(query) is Query else _query(query)
+        self.a = answer if type(answer) is Answer else Answer(answer)
+        self.lang = lang
+
+    @property
+    def query(self) -> str | None:
+        return self.q.text
+
+    @property
+    def answer(self) -> str | None:
+        return self.a.text
+
+
+def empty_votes(p: Pair) -> tuple[int, ...]:
     """By words (there are none), word lists (a word for "no value"), length, and overlap (a few words, none of them common or of the query)."""
-    ws = p.words
-    n, value, few = p.bare
-    lone = few and p.topic.isdisjoint(ws)
-    return [0 if ws else 1, -1 if not ws else int(value), 1 if n <= 12 else 0 if n > 40 else -1, int(lone)]
+    ws = p.a.words
+    n, value, few = p.a.bare
+    lone = few and p.q.topic.isdisjoint(ws)
+    return (0 if ws else 1, -1 if not ws else int(value), 1 if n <= 12 else 0 if n > 40 else -1, int(lone))
+
 
+def _alike(q: list[str], a: list[str], distinct: bool) -> float:
+    """The share of words in matching runs. Where q has each word once and a is q without a run of words, these are all of a's."""
+    left = len(q) - len(a)
+    if distinct and left > 0:
+        k = next((i for i, w in enumerate(a) if w != q[i]), len(a))
+        if a[k:] == q[k + left :]:
+            return 2 * len(a) / (len(q) + len(a))
+    return SequenceMatcher(None, q, a, autojunk=False).ratio()
 
-def copy_votes(p: Pair) -> list[int]:
+
+def copy_votes(p: Pair) -> tuple[int, ...]:
     """By order (matching runs of words), words (share of the answer's that the query has), characters (common beginning and end), and new words."""
-    q, a = p.query_words, p.rest
+    q, a = p.q.words, p.a.rest
     if not q or not a:
-        return [-1, -1, -1, -1]
-    new = len(a) - sum(map(p.query_set.__contains__, a))
+        return (-1, -1, -1, -1)
+    if q == a:
+        return (1, 1, 1, 1)
+    n, m = len(q), len(a)
+    both = sum(map(p.q.set.__contains__, a))
+    new = m - both
     # no more can match than the shorter one has, and than there are words in common
-    most = 2 * min(len(q), len(a), len(a) - new) / (len(q) + len(a))
-    alike = 1.0 if q == a else SequenceMatcher(None, q, a, autojunk=False).ratio() if most >= 0.55 else 0.0
-    covered = 1 - new / len(a)
+    most = 2 * min(n, both) / (n + m)
+    alike = _alike(q, a, len(p.q.set) == n) if most >= 0.55 else 0.0
+    covered = 1 - new / m
     edges = 0.0  # of texts whose lengths are far apart
-    if len(a) <= 4 * len(q) and len(q) <= 4 * len(a):
+    if m <= 4 * n and n <= 4 * m:
         x, y = "".join(q), "".join(a)
-        head = len(x) if x == y else len(commonprefix([x, y]))
-        edges = (head + len(commonprefix([x[head:][::-1], y[head:][::-1]]))) / max(len(x), len(y))
-    return [1 if alike >= 0.75 else 0 if alike < 0.55 else -1, 1 if covered >= 0.8 else 0 if covered < 0.6 else -1, 1 if edges >= 0.8 else 0 if edges < 0.4 else -1, 1 if new <= 2 and len(a) >= 0.5 * len(q) else 0 if new > 5 else -1]
+        head = len(x) if x == y else len(commonprefix([x, y])) if x[0] == y[0] else 0
+        edges = (head + (len(commonprefix([x[head:][::-1], y[head:][::-1]])) if x[-1] == y[-1] else 0)) / max(len(x), len(y))
+    return (1 if alike >= 0.75 else 0 if alike < 0.55 else -1, 1 if covered >= 0.8 else 0 if covered < 0.6 else -1, 1 if edges >= 0.8 else 0 if edges < 0.4 else -1, 1 if new <= 2 and m >= 0.5 * n else 0 if new > 5 else -1)
 
 
 def _declines(sentence: str, ws: list[str]) -> bool:
@@ -319,49 +409,46 @@ def _declines(sentence: str, ws: list[str]) -> bool:
 def _polite(sentence: str) -> bool:
     """Whether a sentence, in lower case, goes with a refusal and is no answer."""
     sentence = sentence.lstrip()
-    return sentence[:2] in _POLITE_HEADS and POLITE.match(sentence.replace("’", "'")) is not None and not LIMIT.search(sentence)
+    return POLITE.match(sentence.replace("’", "'")) is not None and not LIMIT.search(sentence)
 
 
-def refusal_votes(p: Pair) -> list[int]:
+def refusal_votes(p: Pair) -> tuple[int, ...]:
     """By patterns (a sentence declines), content (what is left without such and polite sentences), density of the words of refusals, and topic (a short
     answer without numbers and without the query's own words)."""
-    n = len(p.words)
+    n = len(p.a.words)
     if not n:
-        return [-1, -1, -1, -1]
-    declined, content, density = p.declining
-    specific = not p.topic.isdisjoint(p.words) or _DIGIT.search(p.core) is not None
-    return [int(declined), 1 if content <= 0.4 * n else 0 if content > 0.6 * n else -1, 1 if density >= 0.2 else 0 if density < 0.12 else -1, 0 if n > 60 or specific and n > 12 else -1 if specific else 1]
+        return (-1, -1, -1, -1)
+    declined, content, density = p.a.declining
+    specific = not p.q.topic.isdisjoint(p.a.words) or _DIGIT.search(p.a.core) is not None
+    return (int(declined), 1 if content <= 0.4 * n else 0 if content > 0.6 * n else -1, 1 if density >= 0.2 else 0 if density < 0.12 else -1, 0 if n > 60 or specific and n > 12 else -1 if specific else 1)
 
 
-def language_votes(p: Pair) -> list[int]:
+def language_votes(p: Pair) -> tuple[int, ...]:
     """By frequent words against the query's, against the stated language, by what is missing of the query's, and by letters."""
-    text = p.prose
-    got, lead, score = p.told
+    got, lead, score = p.a.told
     if got is None:
-        return [-1, -1, -1, -1]
-    want = p.asked
+        return (-1, -1, -1, -1)
+    want = p.q.asked
     stated = (p.lang or "").strip().lower()[:2]
     if want is None and stated in COMMON:
         want = stated
     if want == got:
-        return [0, -1 if stated not in COMMON else 0 if stated == got else 1, 0, _letters_vote(text, want)]
-    if got in p.named:
-        return [0, 0, 0, -1]
+        return (0, -1 if stated not in COMMON else 0 if stated == got else 1, 0, _letters_vote(p.a.letters, want))
+    if got in p.q.named:
+        return (0, 0, 0, -1)
     far = lead > 0.04
     first = -1 if want is None or not far else 1
     second = -1 if stated not in COMMON else 1 if got != stated and far else 0
     # the query's own frequent words are missing from the answer
-    third = -1 if want is None or not score else 1 if far and score[got] >= 2 * score.get(want, 0) + 1 else 0
-    return [first, second, third, _letters_vote(text, want)]
+    third = -1 if want is None or not score else 1 if far and score[got] >= 2 * score.get(want, 0) + 10 else 0
+    return (first, second, third, _letters_vote(p.a.letters, want))
 
 
-def _letters_vote(text: str, want: str | None) -> int:
+def _letters_vote(seen: frozenset[str], want: str | None) -> int:
     """By letters that few languages have: whether the text has some, and the wanted language doesn't use any of them."""
-    if want is None or text.isascii():
+    if want is None or not seen:
         return -1
-    seen = {c.lower() for c in set(_NOT_ASCII.findall(text)) if c.isalpha()}
-    own = LETTERS.get(want, "")
-    return -1 if not seen else 0 if any(c in own for c in seen) else 1 if any(c in x for x in LETTERS.values() for c in seen) or want == "en" else -1
+    return 0 if not seen.isdisjoint(LETTERS.get(want, "")) else 1 if want == "en" or not _RARE.isdisjoint(seen) else -1
 
 
 def _is_signature(line: str) -> bool:
@@ -369,51 +456,56 @@ def _is_signature(line: str) -> bool:
     return not (len(line) > 110 and " " in line and line[0].isalnum()) and _SIGNATURE.match(line) is not None
 
 
-def truncated_votes(p: Pair) -> list[int]:
+def _stops(line: str) -> bool:
+    """Whether a stripped line ends in a stop, perhaps with closing quotes, brackets or marks after it."""
+    return line.rstrip(_CLOSERS).rstrip()[-1:] in _STOPS
+
+
+def truncated_votes(p: Pair) -> tuple[int, ...]:
     """By structure (open code, a bare mark), the last line's end, its last word, and open brackets and quotes."""
-    text = p.spoken.strip().strip("\u200b\ufeff\u2060").rstrip()
-    if not p.words:
-        return [-1, -1, -1, -1]
+    text = p.a.spoken.strip().strip("\u200b\ufeff\u2060").rstrip()
+    if not p.a.words:
+        return (-1, -1, -1, -1)
     fenced = "```" in text or "~~~" in text
     # what ends in a word and a stop outside of code is sound for every one of the functions below
     if not fenced and text[-1] in ".!?" and text[-2:-1].isalpha():
-        return [0, 0, 0, 0]
+        return (0, 0, 0, 0)
     open_fence = fenced and len(_FENCE.findall(text)) % 2 == 1
     if fenced and not open_fence and _CLOSING_FENCE.search(text):
-        return [0, 0, 0, 0]
+        return (0, 0, 0, 0)
     lines = [x for x in text.split("\n") if x.strip()]
     last = lines[-1].strip()
     # what may follow a finished answer: a signature, an address, signs
-    while len(lines) > 1 and not open_fence and (_is_signature(last) and not _ENTRY.match(last) and not _STOP.search(last) or not WORD.search(normalize(last)) and not _BARE.match(last)):
+    while len(lines) > 1 and not open_fence and (_is_signature(last) and not _ENTRY.match(last) and not _stops(last) or not _words(last) and not _BARE.match(last)):
         lines.pop()
         last = lines[-1].strip()
-    last = _ADDRESS_END.sub("", last).rstrip() or last
-    tail = words(last)
-    ends_well = bool(_STOP.search(last)) and not last.endswith((":", ";")) or not words(last[-1:]) and ord(last[-1]) > 0x2190
+    if "://" in last:
+        last = _ADDRESS_END.sub("", last).rstrip() or last
+    tail = _words(last)
+    ends_well = _stops(last) and not last.endswith((":", ";")) or ord(last[-1]) > 0x2190 and not _words(last[-1])
     entry, pair = bool(_ENTRY.match(last)), ":" in last and len(tail) <= 6 and bool(_PAIR.match(last))
-    earlier = [x for x in lines[:-1] if _ENTRY.match(x)] if entry else []
-    entries_stop = any(_STOP.search(x.strip()) for x in earlier)
     one = 1 if open_fence or _BARE.match(last) or last.endswith("**") and last.count("**") % 2 == 1 else 0
     if one and not open_fence:
         two, ends_well = 1, False
     elif ends_well:
         two = 0
-    elif entry and not last.endswith((",", "(", ":")) and (pair or (len(tail) <= 8 if earlier else len(tail) <= 3) and not entries_stop):
-        two = 0
+    elif entry and not last.endswith((",", "(", ":")):
+        earlier = [x for x in lines[:-1] if _ENTRY.match(x)]
+        two = 0 if pair or len(tail) <= (8 if earlier else 3) and not any(_stops(x.strip()) for x in earlier) else 1
     else:
         two = 1
-    hanging = bool(_HANGING.search(last)) and not pair
-    three = 1 if not ends_well and (hanging or tail and tail[-1] in _LANGUAGES_OF) else 0 if ends_well else -1
-    unbalanced = any(last.count(o) > last.count(c) for o, c in _OPENERS.items()) or last.count('"') % 2 == 1
-    four = 1 if unbalanced and (not ends_well or open_fence) else 0 if ends_well else -1
-    return [one, two, three, four]
+    if ends_well and not open_fence:
+        return (one, two, 0, 0)
+    three = 0 if ends_well else 1 if tail and tail[-1] in _LANGUAGES_OF or not pair and (last[-1] in ",([{:;–—-" or ("„" in last or "«" in last) and _HANGING.search(last)) else -1
+    unbalanced = _OPENING.search(last) and (last.count('"') % 2 == 1 or any(last.count(o) > last.count(c) for o, c in _OPENERS.items()))
+    return (one, two, three, 1 if unbalanced else 0 if ends_well else -1)
 
 
-VOTES: dict[str, Callable[[Pair], list[int]]] = {"empty": empty_votes, "copy": copy_votes, "refusal": refusal_votes, "language": language_votes, "truncated": truncated_votes}
+VOTES: dict[str, Callable[[Pair], tuple[int, ...]]] = {"empty": empty_votes, "copy": copy_votes, "refusal": refusal_votes, "language": language_votes, "truncated": truncated_votes}
 FUNCTIONS = dict.fromkeys(DEFECTS, 4)
 
 
-def pattern(votes: list[int]) -> int:
+def pattern(votes: Iterable[int]) -> int:
     """Votes as digits to the base of 3."""
     out = 0
     for v in votes:
@@ -425,6 +517,11 @@ def unpattern(code: int, n: int) -> list[int]:
     return [(code // 3 ** (n - 1 - i)) % 3 - 1 for i in range(n)]
 
 
+#: The patterns of a defect's votes; votes by which as many functions find it as don't, or more.
+_CODES = {v: pattern(v) for v in product((-1, 0, 1), repeat=4)}
+_FINDING = frozenset(v for v in _CODES if 1 in v and v.count(1) >= v.count(0))
+
+
 def fit(counts: dict[int, int], n: int, rounds: int = 200, prior: float = 0.05) -> dict[int, float]:
     """Posterior of the defect for every vote pattern of n functions, by expectation maximization over the counts of those that occur.
 
@@ -494,20 +591,12 @@ ASKING = {
 
 
 @cache
-def _fixed() -> tuple[list[Pair], dict[str, list[Pair]], dict[str, Pair]]:
-    """Blank answers, answers that decline by language, queries by language, with what the functions ask of them."""
-    blanks = [Pair(None, x) for x in ("", " \n", "-", "[]", "...", *sorted(NO_VALUE))]
-    declining: dict[str, list[Pair]] = {}
+def _fixed() -> tuple[list[Answer], dict[str, list[Answer]], dict[str, Query]]:
+    """Blank answers, answers that decline by language, queries by language."""
+    declining: dict[str, list[Answer]] = {}
     for x in DECLINING:
-        declining.setdefault(language(x)[0], []).append(Pair(None, x))
-    asking = {k: Pair(q, None, k) for k, q in ASKING.items()}
-    for x in chain(blanks, *declining.values()):
-        for k in Pair.OF_ANSWER:
-            getattr(x, k)
-    for x in asking.values():
-        for k in Pair.OF_QUERY:
-            getattr(x, k)
-    return blanks, declining, asking
+        declining.setdefault(language(x)[0], []).append(Answer(x))
+    return [Answer(x) for x in ("", " \n", "-", "[]", "...", *sorted(NO_VALUE))], declining, {k: Query(q) for k, q in ASKING.items()}
 
 
 def broken(p: Pair) -> dict[str, Pair]:
@@ -517,42 +606,43 @@ def broken(p: Pair) -> dict[str, Pair]:
     another language; the answer cut inside its last sentence.
     """
     blanks, declining, asking = _fixed()
-    left = xxhash.xxh3_64_intdigest(f"{p.query}\n{p.answer}")
-
-    def drawn(n: int) -> int:
-        nonlocal left
-        left, k = divmod(left, n)
-        return k
-
-    q, a = p.query, p.answer
-    out = {"empty": p.answered(blanks[drawn(len(blanks))], p.lang)}
+    q, a, asked = p.query, p.answer, p.q.asked
+    left, k = divmod(xxhash.xxh3_64_intdigest(f"{q}\n{a}"), len(blanks))
+    out = {"empty": Pair(p.q, blanks[k], p.lang)}
     if q and len(ws := q.split()) >= 6:
-        k, way = 1 + drawn(len(ws) - 2), drawn(4)
-        out["copy"] = p.answered(Pair(None, q if way == 0 else q.upper() if way == 1 else f'"{q}"' if way == 2 else " ".join(ws[:k] + ws[k + 1 :])), p.lang)
-    if same := declining.get(p.asked):
-        out["refusal"] = p.answered(same[drawn(len(same))], p.lang)
-    if p.asked and p.told[0] == p.asked:
-        others = [k for k in asking if k != p.asked]
-        to = others[drawn(len(others))]
-        stated = (p.lang or "").strip().lower()[:2] in COMMON
-        out["language"] = asking[to].answered(p, to if stated else p.lang)
-    last = (a or "").rstrip().rpartition("\n")[2]
-    if last.count(" ") >= 8 and last[-1] in ".!?" and last[-2].isalpha():
+        left, k = divmod(left, len(ws) - 2)
+        left, way = divmod(left, 4)
+        x = Answer(q if way == 0 else q.upper() if way == 1 else f'"{q}"' if way == 2 else " ".join(ws[: k + 1] + ws[k + 2 :]))
+        if way < 3 and q.isascii() and not _MARKED.search(q):
+            x.words = p.q.words  # neither case nor quotes make a difference
+        out["copy"] = Pair(p.q, x, p.lang)
+    if same := declining.get(asked):
+        left, k = divmod(left, len(same))
+        out["refusal"] = Pair(p.q, same[k], p.lang)
+    if asked and p.a.told[0] == asked:
+        others = [x for x in asking.items() if x[0] != asked]
+        left, k = divmod(left, len(others))
+        to, x = others[k]
+        out["language"] = Pair(x, p.a, to if (p.lang or "").strip().lower()[:2] in COMMON else p.lang)
+    text = (a or "").rstrip()
+    last = text.rpartition("\n")[2]
+    if last[-1:] in (".", "!", "?") and last.count(" ") >= 8 and last[-2].isalpha():
         tail = last.split(" ")
-        start = max([k + 1 for k, w in enumerate(tail[:-1]) if w[-1:] in ".!?"] or [0])
+        start = next((k for k in range(len(tail) - 1, 0, -1) if tail[k - 1][-1:] in ".!?"), 0)
         if len(tail) - start >= 5:
-            x = p.answered(Pair(None, a.rstrip()[: -len(last)] + " ".join(tail[: start + 2 + drawn(len(tail) - start - 3)])), p.lang)
-            x.words = p.words  # what is asked of them is only whether there are any
-            out["truncated"] = x
+            k = left % (len(tail) - start - 3)
+            x = Answer(text[: -len(last)] + " ".join(tail[: start + 2 + k]))
+            x.words = p.a.words  # what is asked of them is only whether there are any
+            out["truncated"] = Pair(p.q, x, p.lang)
     return out
 
 
 def judged(p: Pair) -> tuple[dict[str, int], bool, dict[str, int]]:
     """(patterns by defect, whether the pair is sound, patterns by defect of the pair broken that way): sound is that for which, of every defect, fewer
     functions find it than don't, or none finds it."""
-    votes = {d: VOTES[d](p) for d in DEFECTS}
-    good = all(1 not in v or v.count(1) < v.count(0) for v in votes.values())
-    return {d: pattern(v) for d, v in votes.items()}, good, {d: pattern(VOTES[d](x)) for d, x in broken(p).items()} if good else {}
+    votes = {d: of(p) for d, of in VOTES.items()}
+    good = _FINDING.isdisjoint(votes.values())
+    return {d: _CODES[v] for d, v in votes.items()}, good, {d: _CODES[VOTES[d](x)] for d, x in broken(p).items()} if good else {}
 
 
 def _logit(p: float) -> float:
@@ -640,5 +730,7 @@ def worst(posts: DataFrame, cutoffs: dict[str, float], id_col: str = "record_id"
 def chat_pairs(chat: DataFrame, preference: DataFrame) -> DataFrame:
     """The answers of single-turn chats and of preference records as rows (record_id, resp_field, query, answer, lang)."""
     a = chat.select("record_id", F.lit("assistant_response").alias("resp_field"), F.col("user_query").alias("query"), F.col("assistant_response").alias("answer"), "lang")
-    side = [preference.select("record_id", F.lit(c).alias("resp_field"), F.col("prompt").alias("query"), F.col(c).alias("answer"), "lang") for c in ("response_a", "response_b")]
-    return a.unionByName(side[0]).unionByName(side[1])
+    # both answers of a record in turn
+    sides = F.array(*(F.struct(F.lit(c).alias("resp_field"), F.col(c).alias("answer")) for c in ("response_a", "response_b")))
+    b = preference.select("record_id", F.col("prompt").alias("query"), "lang", F.explode(sides).alias("x")).select("record_id", "x.resp_field", "query", "x.answer", "lang")
+    return a.unionByName(b)

@@ -1,11 +1,15 @@
 """Broken pairs: labelled examples, what the functions vote on, the label model, the validated cutoffs, edge cases."""
 
+import itertools
+import re
 from collections import Counter
+from difflib import SequenceMatcher
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quernstone.functions.words import WORD, normalize, words
 from quernstone.llm import pairs
 from quernstone.session import table
 
@@ -117,3 +121,38 @@ def test_broken_pairs_keep_only_what_still_holds():
         for d, x in made.items():
             assert got[d] == pairs.pattern(pairs.VOTES[d](pairs.Pair(x.query, x.answer, x.lang))), (d, x.answer)
     assert pairs.judged(pairs.Pair("Who pays?", "", "en"))[1:] == (False, {})
+
+
+def test_fast_forms_give_what_the_definitions_give(answers):
+    """Words and small letters of Latin-1 texts, names of languages, the likeness of a text without a run of words, which needs no matcher."""
+    r = np.random.default_rng(3)
+    odd = [*map(chr, range(0x180)), *"—“„…™́​KſﬁＡ東я", "\r\n"]
+    made = ["".join(r.choice(odd, r.integers(1, 9))) for _ in range(20_000)] + [f"a{c}b{c.upper()}" for c in odd]
+    for x in made + [x or "" for row in answers.select("query", "answer").distinct().collect() for x in row]:
+        assert pairs._words(x) == words(x) and pairs._normal(x) == normalize(x), x
+        assert pairs._cut(normalize(x)) == WORD.findall(normalize(x)), x
+    for k, v in pairs.ASKED.items():
+        for form in v.replace(r"\w*", "").split("|"):
+            for name in itertools.product(*(x or y + (" " if z else "") for x, y, z in re.findall(r"\[(\w+)\]|(\w)(\??)", form))):
+                name = "".join(name).replace(" ", "")
+                assert k in pairs.Pair(f"Answer in {name}, please.", "").q.named and k in pairs.Pair(f"ANSWER IN {name.upper()}, PLEASE.", "").q.named, name
+    for _ in range(2_000):
+        q = [str(w) for w in r.permutation(12)[: r.integers(2, 13)]]
+        i, j = sorted(r.integers(0, len(q) + 1, 2))
+        for a in (q[:i] + q[j:], q[:i] + ["x"] + q[j:]):
+            assert pairs._alike(q, a, True) == SequenceMatcher(None, q, a, autojunk=False).ratio()
+
+
+def test_each_table_is_read_once_and_copies_need_no_matcher(spark, sf, monkeypatch):
+    every = pairs.chat_pairs(table(spark, sf, "sdg_chat"), table(spark, sf, "sdg_preference"))
+    assert every._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
+    sides = table(spark, sf, "sdg_preference").count()
+    assert every.count() == table(spark, sf, "sdg_chat").count() + 2 * sides and every.where("resp_field = 'response_b'").count() == sides
+
+    def never(*_, **__):
+        raise AssertionError("a matcher")
+
+    monkeypatch.setattr(pairs, "SequenceMatcher", never)
+    q = "Who pays the return postage of my lost parcel?".split()
+    for a in (q, q[1:], q[:4] + q[6:], q[:-1]):
+        assert pairs.copy_votes(pairs.Pair(" ".join(q), " ".join(a)))[0] == 1
