@@ -112,6 +112,7 @@ DECLINE = re.compile(
 )
 #: Limits that full answers state (fixed values): what the company can't do, with what to do instead.
 LIMIT = re.compile(r"\b(?:but|aber|mais|pero)\b")
+_LIMITS = frozenset(("but", "aber", "mais", "pero"))
 _SORRY_BUT = re.compile(r"^[^,;]{0,30}(?:sorry|leid|désolée?|siento|apologies)[^,;]{0,20}[,;]?\s*(?:but|aber|mais|pero)")
 #: Words, one of which every sentence that declines has: a cheap test before the patterns (fixed values).
 _NEGATIVE_WORDS = frozenset(
@@ -195,24 +196,24 @@ def _is_latin(text: str) -> bool:
     return False
 
 
-def language(text: str, ws: list[str] | None = None) -> tuple[str | None, float, dict[str, int]]:
+def language(text: str, ws: list[str] | None = None) -> tuple[str | None, float, tuple[int, ...]]:
     """The most likely language by frequent words and letters, its lead over the next as a share of the words, and all scores in tenths; None without evidence."""
     ws = _words(text) if ws is None else ws
     if not ws:
-        return None, 0.0, {}
+        return None, 0.0, ()
     if text.isascii():
         points = sum(filter(None, map(_COMMON_POINTS.get, ws)))
     else:
         if not _is_latin(text):
             foreign = _FOREIGN.findall(text)
             if len(foreign) > 0.4 * sum(map(len, ws)):
-                return f"U+{Counter(ord(c) >> 8 for c in foreign).most_common(1)[0][0]:02X}", 1.0, {}
+                return f"U+{Counter(ord(c) >> 8 for c in foreign).most_common(1)[0][0]:02X}", 1.0, ()
         points = sum(filter(None, map(_POINTS.__getitem__, ws)))
         if "¿" in text or "¡" in text:
             points += 10 * _PLACES["es"]
     score = _BITS.unpack(points.to_bytes(_BITS.size, "little"))
     second, first = sorted(score)[-2:]
-    return _NAMES[score.index(first)] if first else None, (first - second) / (10 * len(ws)), dict(zip(_NAMES, score))
+    return _NAMES[score.index(first)] if first else None, (first - second) / (10 * len(ws)), score
 
 
 class _Once:
@@ -251,6 +252,13 @@ class Query:
         return frozenset()
 
 
+    @_Once
+    def plain(self) -> bool:
+        """Whether the words of the query, as an answer, are just these: it has no markup, no introduction and one sentence."""
+        text = self.text or ""
+        return not _MARKED.search(text) and not _ASKED_PREFIX.match(text) and not _SENTENCE.search(_normal(text))
+
+
 class Answer:
     """An answer with what the labelling functions share of it, each computed once, some when it is first asked for."""
 
@@ -313,11 +321,11 @@ class Answer:
         return n, value, len(ws) <= 3 and (value or not any(w in _LANGUAGES_OF for w in ws))
 
     @_Once
-    def told(self) -> tuple[str | None, float, dict[str, int]]:
+    def told(self) -> tuple[str | None, float, tuple[int, ...]]:
         """The answer's language, as `language` gives it; none of fewer than four words."""
         text = self.prose
         ws = self.words if text is self.core else _words(text)
-        return language(text, ws) if len(ws) >= 4 else (None, 0.0, {})
+        return language(text, ws) if len(ws) >= 4 else (None, 0.0, ())
 
     @_Once
     def declining(self) -> tuple[bool, int, float]:
@@ -333,9 +341,9 @@ class Answer:
         return declined, content, sum(map(REFUSING.__contains__, ws)) / max(1, len(ws))
 
 
-@lru_cache(256)
+@lru_cache(1_024)
 def _query(text: str | None) -> Query:
-    """Queries often come again, as those of preference records do at once."""
+    """Short queries are kept: they often come again, those of preference records at once."""
     return Query(text)
 
 
@@ -343,7 +351,7 @@ class Pair:
     """A query and its answer, with the language that is stated for them."""
 
     def __init__(self, query: str | Query | None, answer: str | Answer | None, lang: str | None = None) -> None:
-        self.q = query if type(query) is Query else _query(query)
+        self.q = query if type(query) is Query else _query(query) if query is None or len(query) <= 1_000 else Query(query)
         self.a = answer if type(answer) is Answer else Answer(answer)
         self.lang = lang
 
@@ -388,8 +396,8 @@ def copy_votes(p: Pair) -> tuple[int, ...]:
     most = 2 * min(n, both) / (n + m)
     alike = _alike(q, a, len(p.q.set) == n) if most >= 0.55 else 0.0
     covered = 1 - new / m
-    edges = 0.0  # of texts whose lengths are far apart
-    if m <= 4 * n and n <= 4 * m:
+    edges = 0.0  # of texts whose lengths are far apart, or that begin and end in other letters
+    if m <= 4 * n and n <= 4 * m and (q[0][0] == a[0][0] or q[-1][-1] == a[-1][-1]):
         x, y = "".join(q), "".join(a)
         head = len(x) if x == y else len(commonprefix([x, y])) if x[0] == y[0] else 0
         edges = (head + (len(commonprefix([x[head:][::-1], y[head:][::-1]])) if x[-1] == y[-1] else 0)) / max(len(x), len(y))
@@ -401,7 +409,7 @@ def _declines(sentence: str, ws: list[str]) -> bool:
     if _NEGATIVE_WORDS.isdisjoint(ws):
         return False
     sentence = sentence.replace("’", "'")
-    if LIMIT.search(sentence) and LIMIT.search(_SORRY_BUT.sub("", sentence)):
+    if not _LIMITS.isdisjoint(ws) and LIMIT.search(sentence) and LIMIT.search(_SORRY_BUT.sub("", sentence)):
         return False
     return bool(DECLINE.search(sentence))
 
@@ -440,7 +448,7 @@ def language_votes(p: Pair) -> tuple[int, ...]:
     first = -1 if want is None or not far else 1
     second = -1 if stated not in COMMON else 1 if got != stated and far else 0
     # the query's own frequent words are missing from the answer
-    third = -1 if want is None or not score else 1 if far and score[got] >= 2 * score.get(want, 0) + 10 else 0
+    third = -1 if want is None or not score else 1 if far and score[_NAMES.index(got)] >= 2 * (score[_NAMES.index(want)] if want in COMMON else 0) + 10 else 0
     return (first, second, third, _letters_vote(p.a.letters, want))
 
 
@@ -473,7 +481,7 @@ def truncated_votes(p: Pair) -> tuple[int, ...]:
     open_fence = fenced and len(_FENCE.findall(text)) % 2 == 1
     if fenced and not open_fence and _CLOSING_FENCE.search(text):
         return (0, 0, 0, 0)
-    lines = [x for x in text.split("\n") if x.strip()]
+    lines = [x for x in text.split("\n") if x.strip()] if "\n" in text else [text]
     last = lines[-1].strip()
     # what may follow a finished answer: a signature, an address, signs
     while len(lines) > 1 and not open_fence and (_is_signature(last) and not _ENTRY.match(last) and not _stops(last) or not _words(last) and not _BARE.match(last)):
@@ -606,15 +614,15 @@ def broken(p: Pair) -> dict[str, Pair]:
     another language; the answer cut inside its last sentence.
     """
     blanks, declining, asking = _fixed()
-    q, a, asked = p.query, p.answer, p.q.asked
+    q, a, asked = p.q.text, p.a.text, p.q.asked
     left, k = divmod(xxhash.xxh3_64_intdigest(f"{q}\n{a}"), len(blanks))
     out = {"empty": Pair(p.q, blanks[k], p.lang)}
     if q and len(ws := q.split()) >= 6:
         left, k = divmod(left, len(ws) - 2)
         left, way = divmod(left, 4)
         x = Answer(q if way == 0 else q.upper() if way == 1 else f'"{q}"' if way == 2 else " ".join(ws[: k + 1] + ws[k + 2 :]))
-        if way < 3 and q.isascii() and not _MARKED.search(q):
-            x.words = p.q.words  # neither case nor quotes make a difference
+        if p.q.plain and way < 3 and (way != 1 or q.isascii()):
+            x.rest = p.q.words  # neither case nor quotes make a difference
         out["copy"] = Pair(p.q, x, p.lang)
     if same := declining.get(asked):
         left, k = divmod(left, len(same))
@@ -627,11 +635,12 @@ def broken(p: Pair) -> dict[str, Pair]:
     text = (a or "").rstrip()
     last = text.rpartition("\n")[2]
     if last[-1:] in (".", "!", "?") and last.count(" ") >= 8 and last[-2].isalpha():
-        tail = last.split(" ")
-        start = next((k for k in range(len(tail) - 1, 0, -1) if tail[k - 1][-1:] in ".!?"), 0)
-        if len(tail) - start >= 5:
-            k = left % (len(tail) - start - 3)
-            x = Answer(text[: -len(last)] + " ".join(tail[: start + 2 + k]))
+        head = last[: last.rfind(" ") + 1]
+        at = max(head.rfind(". "), head.rfind("! "), head.rfind("? "), head.rfind("  "))
+        at = at + 2 if at >= 0 else int(last[0] == " ")
+        tail = last[at:].split(" ")
+        if len(tail) >= 5:
+            x = Answer(text[: -len(last)] + last[:at] + " ".join(tail[: 2 + left % (len(tail) - 3)]))
             x.words = p.a.words  # what is asked of them is only whether there are any
             out["truncated"] = Pair(p.q, x, p.lang)
     return out

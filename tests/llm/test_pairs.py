@@ -156,3 +156,13 @@ def test_each_table_is_read_once_and_copies_need_no_matcher(spark, sf, monkeypat
     q = "Who pays the return postage of my lost parcel?".split()
     for a in (q, q[1:], q[:4] + q[6:], q[:-1]):
         assert pairs.copy_votes(pairs.Pair(" ".join(q), " ".join(a)))[0] == 1
+
+
+def test_a_query_that_is_the_answer_keeps_its_words():
+    """What broken copies take over from the query is what they would give anew, also with an introduction, repeated sentences, markup and other letters."""
+    for q in ("You asked: who pays for the return of it?", "Who pays? Who pays? Who pays for the return of it?", "Who *pays* for the return of <b>it</b> now?", "Straße, Maß und Größe: wer zahlt für das Paket?", "İs the ıtem ﬁxed or not by now?", "Who pays  for the  return of it?  "):
+        assert len(pairs.Pair(q, PROSE).q.words) >= 6
+        for i in range(40):  # what is drawn depends on the texts
+            p = pairs.Pair(q, f"{PROSE} It takes {i} days.", "en")
+            x = pairs.broken(p)["copy"]
+            assert x.a.rest == pairs.Answer(x.answer).rest and pairs.copy_votes(x) == pairs.copy_votes(pairs.Pair(q, x.answer, "en")), (q, x.answer)
