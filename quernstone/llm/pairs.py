@@ -98,16 +98,16 @@ NAME_PARTS = tuple("""ngl engels angiel german deutsch allem alem tedesc duits n
 _ODD_CASE = re.compile("[ſKİı]")
 _ASKED = {k: re.compile(rf"\b(?:in|auf|ins|en|em|po|into|to|w|nach|vers|al|al)\s+(?:\w+\s+)?(?:{v})\b|\b(?:{v})\s+(?:please|bitte|por favor|s'il)|\b(?:translate|übersetz|tradui|tradu[cz])\w*\b.*\b(?:{v})\b", re.I) for k, v in ASKED.items()}
 
-# How answers decline, by language.
+# How answers decline, by language; first the letters that one of these begins with, so that it is tried at few places.
 DECLINE = re.compile(
-    r"""(?:can(?:no|')?t|cannot|won't|unable\ to|not\ able\ to|not\ allowed\ to|may\ not|must\ not|not\ something\ i(?:'m|\ am)?|isn't\ possible|not\ possible|don't\ feel\ comfortable|must\ decline|have\ to\ decline|decline\ to|refuse\ to|rather\ not|not\ going\ to|wouldn't|shouldn't)
+    r"""(?=[a-ehikm-prsuvw])(?:(?:can(?:no|')?t|cannot|won't|unable\ to|not\ able\ to|not\ allowed\ to|may\ not|must\ not|not\ something\ i(?:'m|\ am)?|isn't\ possible|not\ possible|don't\ feel\ comfortable|must\ decline|have\ to\ decline|decline\ to|refuse\ to|rather\ not|not\ going\ to|wouldn't|shouldn't)
         [^.!?]{0,60}\b(?:help|assist|answer|respond|discuss|comment|provide|give|guidance|talk\ about|get\ into|support|fulfil|comply|do\ that|information|advice|for\ me|engage|share)\b
       |\b(?:against|outside|beyond)\b[^.!?]{0,30}\b(?:guidelines|policy|policies|rules|what\ i|scope|my\ remit)\b
       |helping\ with\ this\ isn't\ possible|no\ (?:comment|answer|advice)\ can\ be\ given|must\ decline|i\ decline\b|as\ an\ ai\b[^.!?]{0,60}(?:unable|can't|cannot|not|must)
       |(?:kann|darf|möchte|werde)\b[^.!?]{0,60}\b(?:nicht|keine?n?)\b[^.!?]{0,50}\b(?:helfen|beantworten|antworten|äußern|auskunft|antwort|weiterhelfen|angaben|besprechen|geben|unterstützen|sagen)\b
       |(?:dabei|dazu|damit)\b[^.!?]{0,40}\b(?:nicht|keine)\b[^.!?]{0,30}\b(?:helfen|äußern|sagen|auskunft)|\bnicht\ möglich\b[^.!?]{0,40}\b(?:helfen|beantworten|antworten|auskunft)|\bmuss\b[^.!?]{0,30}\bablehnen\b|\bals\ ki\b[^.!?]{0,80}\b(?:nicht|keine)|(?:verstößt|außerhalb)\b[^.!?]{0,40}\b(?:richtlinien|regeln)
       |\bne\ (?:peux|puis|suis|pourrai|souhaite|veux)\b[^.!?]{0,40}\b(?:pas)\b[^.!?]{0,40}\b(?:aider|répondre|traiter|fournir|commenter|donner|discuter|parler|assister|sujet)\b|préfère\ ne\ pas|(?:m'est\ impossible|n'est\ pas\ possible)[^.!?]{0,40}\b(?:aider|répondre|commenter)|dois\ refuser|dois\ décliner|en\ tant\ que\ (?:modèle|ia)\b|(?:contraire|contre)\ (?:à\ )?mes\ (?:règles|consignes|directives)
-      |\bno\ (?:puedo|podré|debo|quiero|estoy)\b[^.!?]{0,40}\b(?:ayudar|ayudarle|responder|contestar|tratar|comentar|dar|hablar|proporcionar|asistir|información)\w*\b|\bno\ (?:me\ )?(?:es|resulta)\ posible\b[^.!?]{0,40}\b(?:ayudar|responder|contestar|atender|comentar|hablar)\w*|imposible\ (?:ayudar|responder|contestar)|prefiero\ no|debo\ (?:negarme|rechazar|declinar)|como\ (?:modelo|ia)\b[^.!?]{0,60}|va\ (?:en\ )?contra\ (?:de\ )?mis""",
+      |\bno\ (?:puedo|podré|debo|quiero|estoy)\b[^.!?]{0,40}\b(?:ayudar|ayudarle|responder|contestar|tratar|comentar|dar|hablar|proporcionar|asistir|información)\w*\b|\bno\ (?:me\ )?(?:es|resulta)\ posible\b[^.!?]{0,40}\b(?:ayudar|responder|contestar|atender|comentar|hablar)\w*|imposible\ (?:ayudar|responder|contestar)|prefiero\ no|debo\ (?:negarme|rechazar|declinar)|como\ (?:modelo|ia)\b[^.!?]{0,60}|va\ (?:en\ )?contra\ (?:de\ )?mis)""",
     re.X,
 )
 #: Limits that full answers state (fixed values): what the company can't do, with what to do instead.
@@ -333,7 +333,7 @@ class Answer:
         ws = self.words
         content, declined, negative = len(ws), False, _NEGATIVE_WORDS.intersection(ws)
         for s in self.sentences:
-            if negative and any(w in s for w in negative) and _declines(s, of := _cut(s)):
+            if negative and not negative.isdisjoint(of := _cut(s)) and _declines(s, of):
                 declined = True
                 content -= len(of)
             elif s.lstrip()[:2] in _POLITE_HEADS and _polite(s):

@@ -166,3 +166,12 @@ def test_a_query_that_is_the_answer_keeps_its_words():
             p = pairs.Pair(q, f"{PROSE} It takes {i} days.", "en")
             x = pairs.broken(p)["copy"]
             assert x.a.rest == pairs.Answer(x.answer).rest and pairs.copy_votes(x) == pairs.copy_votes(pairs.Pair(q, x.answer, "en")), (q, x.answer)
+
+
+def test_patterns_are_tried_where_one_of_their_words_may_begin():
+    """The set before the declining words has every letter that one begins with: without it the same sentences decline."""
+    bare = re.compile(pairs.DECLINE.pattern.replace("(?=[a-ehikm-prsuvw])", "", 1), re.X)
+    assert bare.pattern != pairs.DECLINE.pattern
+    firsts = {m.group()[0] for x in (*pairs.DECLINING, "I'd rather not get into that.", "I refuse to answer.", "Unable to help.", "Damit kann ich nicht helfen.") if (m := bare.search(normalize(x)))}
+    texts = [normalize(f"{x}{y}") for x in ("I'd ", "we ", "") for y in ("rather not discuss it", "refuse to answer", "unable to help", "won't share it", "shouldn't comment", "have to decline to answer", "damit nicht helfen", "verstößt gegen regeln", "beyond my rules", "outside what i", "helping with this isn't possible", "kann nicht helfen", "m'est impossible de répondre", "va en contra de mis", "prefiero no", "en tant que modèle", "imposible responder", "against policy")]
+    assert len(firsts) > 5 and all(bare.search(x) and pairs.DECLINE.search(x) for x in texts)
