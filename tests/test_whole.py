@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow.parquet as pq
 
-from quernstone.operators import packing, retrieval
+from quernstone.operators import packing, relational, retrieval
 from quernstone.plans import registry
 
 
@@ -15,6 +15,31 @@ def test_range_join_takes_all_events_and_parts(spark, sf):
     assert got == want and any(e % 50 for e, _ in got) and any(k % 10 for _, k in got)
 
 
+def test_range_join_of_hot_buckets_odd_values_and_ties(spark, monkeypatch):
+    monkeypatch.setattr(relational, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(relational, "POINT_ROWS", 16)
+    monkeypatch.setattr(relational, "RANGE_ROWS", 8)
+    r = np.random.default_rng(6)
+    nan, odd = float("nan"), [-0.0, 0.0, -3.25, 1e12, 2.0, 2.5, 900.0]
+    points = [*enumerate([*odd, *odd, *r.choice([2.0, 2.25, 2.5, 7.0], 150).tolist()]), (900, None), (901, nan), (902, 2.0), (902, 2.0)]
+    ranges = [*((i, lo, lo + w) for i, (lo, w) in enumerate(zip(r.choice([1.5, 2.0, 2.25, 6.9], 90).tolist(), r.choice([0.5, 0.25, 6.0, 0.0], 90).tolist(), strict=True)))]
+    ranges += [(500, -4.0, 950.0), (501, 3.0, 1.0), (502, None, 3.0), (503, 0.0, 0.5), (504, 0.0, 0.5), (505, 0.0, None)]
+    p, q = spark.createDataFrame(points, "i long, v double").repartition(3), spark.createDataFrame(ranges, "k long, lo double, hi double").repartition(2)
+    out = relational.range_join(p, q, "v", "lo", "hi", 1.0)
+    want = sorted((i, k) for i, v in points if v is not None for k, lo, hi in ranges if lo is not None and hi is not None and lo <= v < hi)
+    assert sorted((x["i"], x["k"]) for x in out.collect()) == want and out.columns == ["i", "v", "k", "lo", "hi"]
+    assert out.rdd.getNumPartitions() > 20 and relational.range_join(p.limit(0), q, "v", "lo", "hi", 1.0).count() == 0
+
+
+def test_range_join_is_written_in_few_bytes(spark, tmp_path):
+    p = spark.range(3000).selectExpr("id * 1000003 % 4000037 AS i", "id % 3000 / 10000 + 45.5 AS v")
+    q = spark.range(4000).selectExpr("id * 999983 % 5000011 AS k", "45 + id % 10 / 20 AS lo", "45.5 + id % 10 / 20 AS hi")
+    relational.range_join(p, q, "v", "lo", "hi", 1.0).select("i", "k").write.parquet(f"{tmp_path}/out")
+    rows = sum(pq.read_metadata(f).num_rows for f in tmp_path.glob("out/*.parquet"))
+    want = p.join(q, (p.v >= q.lo) & (p.v < q.hi)).count()
+    assert rows == want > 5_000_000 and sum(f.stat().st_size for f in tmp_path.glob("out/*.parquet")) < 0.3 * rows
+
+
 def test_hard_negatives_look_below_any_rank(spark, monkeypatch):
     monkeypatch.setattr(retrieval, "QUERY_BLOCK", 2)
     monkeypatch.setattr(retrieval, "SCORE_CELLS", 50)
