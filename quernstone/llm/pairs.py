@@ -110,6 +110,16 @@ DECLINE = re.compile(
       |\bno\ (?:puedo|podré|debo|quiero|estoy)\b[^.!?]{0,40}\b(?:ayudar|ayudarle|responder|contestar|tratar|comentar|dar|hablar|proporcionar|asistir|información)\w*\b|\bno\ (?:me\ )?(?:es|resulta)\ posible\b[^.!?]{0,40}\b(?:ayudar|responder|contestar|atender|comentar|hablar)\w*|imposible\ (?:ayudar|responder|contestar)|prefiero\ no|debo\ (?:negarme|rechazar|declinar)|como\ (?:modelo|ia)\b[^.!?]{0,60}|va\ (?:en\ )?contra\ (?:de\ )?mis)""",
     re.X,
 )
+#: Words, and parts of sentences for forms that may stand inside of words, one of which DECLINE needs whatever it finds: cheap tests before it (fixed values).
+_DECLINING_WORDS = frozenset(
+    """help assist answer respond discuss comment provide give guidance support fulfil comply information advice engage share guidelines policy policies rules scope ai
+    helfen beantworten antworten äußern auskunft antwort weiterhelfen angaben besprechen geben unterstützen sagen möglich ablehnen ki
+    aider répondre traiter fournir commenter donner discuter parler assister sujet tant mes puedo podré quiero estoy posible modelo ia contra""".split()
+)
+_DECLINING_PARTS = (
+    "talk about", "get into", "do that", "for me", "what i", "my remit", "helping with this isn", "decline", "helfen", "äußern", "sagen", "auskunft", "richtlinien", "regeln", "préfère ne pas", "impossible", "pas possible", "dois refuser", "dois décliner",
+    "debo", "imposible", "prefiero no",
+)
 #: Limits that full answers state (fixed values): what the company can't do, with what to do instead.
 LIMIT = re.compile(r"\b(?:but|aber|mais|pero)\b")
 _LIMITS = frozenset(("but", "aber", "mais", "pero"))
@@ -135,14 +145,14 @@ REFUSING = frozenset(
 )
 _DIGIT = re.compile(r"\d")
 _NOT_ASCII = re.compile(r"[^\x00-\x7f]")
-#: The first two letters of what POLITE matches: a cheap test before it.
-_POLITE_HEADS = frozenset(x[:2] for x in re.sub(r"\(\?:|\)\?|\\", "", POLITE.pattern[4:]).replace("désolé", "dé").split("|"))
+#: The first two letters of what POLITE matches, and of these the third ones; "hi" ends there, and `re.I` takes ı for i: cheap tests before it.
+_POLITE = [x[:3] for x in re.sub(r"\(\?:|\)\?|\\", "", POLITE.pattern[4:]).split("|")]
+_POLITE_HEADS = frozenset(_POLITE) | {f"{x[:2]}ı" for x in _POLITE if x[2:] == "i"}
 
 #: Letters beyond the Latin ones.
 _FOREIGN = re.compile(r"[^\W\d\x00-\u036f\u1e00-\u1fff]")
 _THINK = re.compile(r"<think>.*?(?:</think>|$)", re.S | re.I)
 _CONTROL = re.compile(r"<\|[^|>]{0,40}\|>")
-_MARKED = re.compile(r"[<`*_#~>|]")
 _ASIDE = re.compile(r"```.*?(?:```|$)|https?://\S+|[\"«„“].{0,400}?[\"»“”]", re.S)
 _CLOSING_FENCE = re.compile(r"(?:^|\n)\s*(?:```|~~~)\s*$")
 _ADDRESS_END = re.compile(r"\s*https?://\S+$")
@@ -159,14 +169,15 @@ _BARE = re.compile(r"^\s*(?:[-*•+→]|\d{1,3}[.)]|\*\*|__|#+|\|)\s*$")
 _STOPS, _CLOSERS = frozenset(".!?…。！？؟:;"), "\"»”“’')]*_"
 #: Endings of one language's unfinished sentences need no list: a word of COMMON seldom ends a sentence.
 _OPENERS = {"(": ")", "[": "]", "{": "}", "«": "»", "„": "“"}
-_OPENING = re.compile(r"[(\[{«„\"]")
 
 
-#: A word's points for each language, in tenths, as 64 bits of one number: the sum over words adds up all languages at once.
-_PLACES = {k: 1 << 64 * i for i, k in enumerate(COMMON)}
+#: A word's points for each language, in tenths, and whether it is one of some lists, each as 32 bits of one number: the sum over words (17 points at most,
+#: of 250,000,000 words) adds up all of them at once.
+_PLACES = {k: 1 << 32 * i for i, k in enumerate(COMMON)}
 _NAMES = tuple(COMMON)
-_BITS = Struct(f"<{len(COMMON)}Q")
-_COMMON_POINTS = {w: sum(10 * _PLACES[k] for k in of) for w, of in _LANGUAGES_OF.items()}
+_LISTS = (REFUSING, _NEGATIVE_WORDS, _DECLINING_WORDS)
+_BITS = Struct(f"<{len(COMMON) + len(_LISTS)}I")
+_COMMON_POINTS = {w: sum(10 * _PLACES[k] for k in _LANGUAGES_OF.get(w, ())) + sum((w in x) << 32 * i for i, x in enumerate(_LISTS, len(COMMON))) for w in frozenset(_LANGUAGES_OF).union(*_LISTS)}
 
 
 class _Points(dict):
@@ -185,8 +196,15 @@ class _Points(dict):
 _POINTS = _Points()
 
 
+def _marked(text: str) -> bool:
+    """Whether a text has a sign that markup may begin with."""
+    return "*" in text or "_" in text or "`" in text or "#" in text or "|" in text or "<" in text or ">" in text or "~" in text
+
+
 def _is_latin(text: str) -> bool:
     """Whether a text surely has no letters beyond the Latin ones."""
+    if text.isascii():
+        return True
     for of in ("latin-1", "cp1252"):
         try:
             text.encode(of)
@@ -196,22 +214,26 @@ def _is_latin(text: str) -> bool:
     return False
 
 
-def language(text: str, ws: list[str] | None = None) -> tuple[str | None, float, tuple[int, ...]]:
-    """The most likely language by frequent words and letters, its lead over the next as a share of the words, and all scores in tenths; None without evidence."""
+def _sum(text: str, ws: list[str]) -> int:
+    """The points of a text's words."""
+    return sum(filter(None, map(_COMMON_POINTS.get if text.isascii() else _POINTS.__getitem__, ws)))
+
+
+def language(text: str, ws: list[str] | None = None, points: int | None = None) -> tuple[str | None, float, tuple[int, ...]]:
+    """The most likely language by frequent words and letters, its lead over the next as a share of the words, and all scores in tenths; None without
+    evidence. The points of the words may be given."""
     ws = _words(text) if ws is None else ws
     if not ws:
         return None, 0.0, ()
-    if text.isascii():
-        points = sum(filter(None, map(_COMMON_POINTS.get, ws)))
-    else:
-        if not _is_latin(text):
-            foreign = _FOREIGN.findall(text)
-            if len(foreign) > 0.4 * sum(map(len, ws)):
-                return f"U+{Counter(ord(c) >> 8 for c in foreign).most_common(1)[0][0]:02X}", 1.0, ()
-        points = sum(filter(None, map(_POINTS.__getitem__, ws)))
-        if "¿" in text or "¡" in text:
-            points += 10 * _PLACES["es"]
-    score = _BITS.unpack(points.to_bytes(_BITS.size, "little"))
+    if not _is_latin(text):
+        foreign = _FOREIGN.findall(text)
+        if len(foreign) > 0.4 * sum(map(len, ws)):
+            return f"U+{Counter(ord(c) >> 8 for c in foreign).most_common(1)[0][0]:02X}", 1.0, ()
+    if points is None:
+        points = _sum(text, ws)
+    if "¿" in text or "¡" in text:
+        points += 10 * _PLACES["es"]
+    score = _BITS.unpack(points.to_bytes(_BITS.size, "little"))[: len(COMMON)]
     second, first = sorted(score)[-2:]
     return _NAMES[score.index(first)] if first else None, (first - second) / (10 * len(ws)), score
 
@@ -220,10 +242,10 @@ class _Once:
     """A value that is computed when it is first asked for; what `cached_property` does, in fewer steps."""
 
     def __init__(self, of: Callable) -> None:
-        self.of = of
+        self.of, self.name = of, of.__name__
 
     def __get__(self, x: object, kind: type | None = None) -> object:
-        out = x.__dict__[self.of.__name__] = self.of(x)
+        out = x.__dict__[self.name] = self.of(x)
         return out
 
 
@@ -247,16 +269,19 @@ class Query:
         """The languages that the query asks for."""
         text = self.text or ""
         low = text.lower()
-        if (any(x in low for x in NAME_PARTS) or not text.isascii() and _ODD_CASE.search(text)) and _NAMED.search(text):
+        if (any(map(low.__contains__, NAME_PARTS)) or not text.isascii() and _ODD_CASE.search(text)) and _NAMED.search(text):
             return frozenset(k for k, x in _ASKED.items() if x.search(text))
         return frozenset()
 
 
     @_Once
     def plain(self) -> bool:
-        """Whether the words of the query, as an answer, are just these: it has no markup, no introduction and one sentence."""
+        """Whether the words of the query, as an answer, are just these, also in quotes: it has no markup, no introduction, and each sentence once."""
         text = self.text or ""
-        return not _MARKED.search(text) and not _ASKED_PREFIX.match(text) and not _SENTENCE.search(_normal(text))
+        if _marked(text) or _ASKED_PREFIX.match(text):
+            return False
+        ss = _SENTENCE.split(_normal(text))
+        return len(ss) == 1 or '"' not in text and len(set(ss)) == len(ss)
 
 
 class Answer:
@@ -272,17 +297,26 @@ class Answer:
     @_Once
     def core(self) -> str:
         """The answer without markup."""
-        return _MARK.sub(" ", self.spoken) if _MARKED.search(self.spoken) else self.spoken
+        return _MARK.sub(" ", self.spoken) if _marked(self.spoken) else self.spoken
+
+    @_Once
+    def normal(self) -> str:
+        """The answer without markup, normalised and in lower case."""
+        return _normal(self.core)
 
     @_Once
     def sentences(self) -> list[str]:
         """The sentences of the answer without markup, normalised and in lower case, and what has no words between them."""
-        return _SENTENCE.split(_normal(self.core))
+        return _SENTENCE.split(self.normal)
 
     @_Once
     def words(self) -> list[str]:
         return _words(self.core)
 
+    @_Once
+    def points(self) -> int:
+        return _sum(self.core, self.words)
+
     @_Once
     def rest(self) -> list[str]:
         """The answer's words without an introduction such as "you asked", each sentence once."""
@@ -324,21 +358,32 @@ class Answer:
     def told(self) -> tuple[str | None, float, tuple[int, ...]]:
         """The answer's language, as `language` gives it; none of fewer than four words."""
         text = self.prose
-        ws = self.words if text is self.core else _words(text)
+        if text is self.core:
+            return language(text, self.words, self.points) if len(self.words) >= 4 else (None, 0.0, ())
+        ws = _words(text)
         return language(text, ws) if len(ws) >= 4 else (None, 0.0, ())
 
     @_Once
     def declining(self) -> tuple[bool, int, float]:
         """Whether a sentence declines, the words without such and polite sentences, the share of words that refusals are full of."""
         ws = self.words
-        content, declined, negative = len(ws), False, _NEGATIVE_WORDS.intersection(ws)
+        content, declined = len(ws), False
+        refusing, negative, declining = _BITS.unpack(self.points.to_bytes(_BITS.size, "little"))[len(COMMON) :]
+        may = negative and (declining or _declining_part(self.normal))
         for s in self.sentences:
-            if negative and not negative.isdisjoint(of := _cut(s)) and _declines(s, of):
+            if may and _declines(s, of := _cut(s)):
                 declined = True
                 content -= len(of)
-            elif s.lstrip()[:2] in _POLITE_HEADS and _polite(s):
+            elif ((head := s.lstrip()[:3]) in _POLITE_HEADS or head[:2] == "hi") and _polite(s):
                 content -= len(_cut(s))
-        return declined, content, sum(map(REFUSING.__contains__, ws)) / max(1, len(ws))
+        return declined, content, refusing / max(1, len(ws))
+
+
+@lru_cache(1_024)
+def _stated(lang: str | None) -> str | None:
+    """The language of a stated one, if its frequent words are known."""
+    of = (lang or "").strip().lower()[:2]
+    return of if of in COMMON else None
 
 
 @lru_cache(1_024)
@@ -404,9 +449,13 @@ def copy_votes(p: Pair) -> tuple[int, ...]:
     return (1 if alike >= 0.75 else 0 if alike < 0.55 else -1, 1 if covered >= 0.8 else 0 if covered < 0.6 else -1, 1 if edges >= 0.8 else 0 if edges < 0.4 else -1, 1 if new <= 2 and m >= 0.5 * n else 0 if new > 5 else -1)
 
 
+def _declining_part(text: str) -> bool:
+    return any(map(text.__contains__, _DECLINING_PARTS))
+
+
 def _declines(sentence: str, ws: list[str]) -> bool:
     """Whether a sentence, in lower case, declines, without naming another way after a "but"."""
-    if _NEGATIVE_WORDS.isdisjoint(ws):
+    if _NEGATIVE_WORDS.isdisjoint(ws) or _DECLINING_WORDS.isdisjoint(ws) and not _declining_part(sentence):
         return False
     sentence = sentence.replace("’", "'")
     if not _LIMITS.isdisjoint(ws) and LIMIT.search(sentence) and LIMIT.search(_SORRY_BUT.sub("", sentence)):
@@ -427,29 +476,33 @@ def refusal_votes(p: Pair) -> tuple[int, ...]:
     if not n:
         return (-1, -1, -1, -1)
     declined, content, density = p.a.declining
-    specific = not p.q.topic.isdisjoint(p.a.words) or _DIGIT.search(p.a.core) is not None
-    return (int(declined), 1 if content <= 0.4 * n else 0 if content > 0.6 * n else -1, 1 if density >= 0.2 else 0 if density < 0.12 else -1, 0 if n > 60 or specific and n > 12 else -1 if specific else 1)
+    topic = 0 if n > 60 else 1 if p.q.topic.isdisjoint(p.a.words) and not _DIGIT.search(p.a.core) else 0 if n > 12 else -1
+    return (int(declined), 1 if content <= 0.4 * n else 0 if content > 0.6 * n else -1, 1 if density >= 0.2 else 0 if density < 0.12 else -1, topic)
 
 
 def language_votes(p: Pair) -> tuple[int, ...]:
     """By frequent words against the query's, against the stated language, by what is missing of the query's, and by letters."""
-    got, lead, score = p.a.told
+    return _told_votes(p.q, p.a, p.lang)
+
+
+def _told_votes(q: Query, a: Answer, lang: str | None) -> tuple[int, ...]:
+    got, lead, score = a.told
     if got is None:
         return (-1, -1, -1, -1)
-    want = p.q.asked
-    stated = (p.lang or "").strip().lower()[:2]
-    if want is None and stated in COMMON:
+    want = q.asked
+    stated = _stated(lang)
+    if want is None:
         want = stated
     if want == got:
-        return (0, -1 if stated not in COMMON else 0 if stated == got else 1, 0, _letters_vote(p.a.letters, want))
-    if got in p.q.named:
+        return (0, -1 if stated is None else 0 if stated == got else 1, 0, _letters_vote(a.letters, want))
+    if got in q.named:
         return (0, 0, 0, -1)
     far = lead > 0.04
     first = -1 if want is None or not far else 1
-    second = -1 if stated not in COMMON else 1 if got != stated and far else 0
+    second = -1 if stated is None else 1 if got != stated and far else 0
     # the query's own frequent words are missing from the answer
     third = -1 if want is None or not score else 1 if far and score[_NAMES.index(got)] >= 2 * (score[_NAMES.index(want)] if want in COMMON else 0) + 10 else 0
-    return (first, second, third, _letters_vote(p.a.letters, want))
+    return (first, second, third, _letters_vote(a.letters, want))
 
 
 def _letters_vote(seen: frozenset[str], want: str | None) -> int:
@@ -471,8 +524,12 @@ def _stops(line: str) -> bool:
 
 def truncated_votes(p: Pair) -> tuple[int, ...]:
     """By structure (open code, a bare mark), the last line's end, its last word, and open brackets and quotes."""
-    text = p.a.spoken.strip().strip("\u200b\ufeff\u2060").rstrip()
-    if not p.a.words:
+    return _end_votes(p.a)
+
+
+def _end_votes(a: Answer) -> tuple[int, ...]:
+    text = a.spoken.strip().strip("\u200b\ufeff\u2060").rstrip()
+    if not a.words:
         return (-1, -1, -1, -1)
     fenced = "```" in text or "~~~" in text
     # what ends in a word and a stop outside of code is sound for every one of the functions below
@@ -489,9 +546,10 @@ def truncated_votes(p: Pair) -> tuple[int, ...]:
         last = lines[-1].strip()
     if "://" in last:
         last = _ADDRESS_END.sub("", last).rstrip() or last
-    tail = _words(last)
     ends_well = _stops(last) and not last.endswith((":", ";")) or ord(last[-1]) > 0x2190 and not _words(last[-1])
-    entry, pair = bool(_ENTRY.match(last)), ":" in last and len(tail) <= 6 and bool(_PAIR.match(last))
+    entry = _ENTRY.match(last) is not None
+    tail = _words(last) if entry or ":" in last else _words(last.rsplit(None, 1)[-1]) or _words(last)  # else the last word only counts
+    pair = ":" in last and len(tail) <= 6 and _PAIR.match(last) is not None
     one = 1 if open_fence or _BARE.match(last) or last.endswith("**") and last.count("**") % 2 == 1 else 0
     if one and not open_fence:
         two, ends_well = 1, False
@@ -505,7 +563,7 @@ def truncated_votes(p: Pair) -> tuple[int, ...]:
     if ends_well and not open_fence:
         return (one, two, 0, 0)
     three = 0 if ends_well else 1 if tail and tail[-1] in _LANGUAGES_OF or not pair and (last[-1] in ",([{:;–—-" or ("„" in last or "«" in last) and _HANGING.search(last)) else -1
-    unbalanced = _OPENING.search(last) and (last.count('"') % 2 == 1 or any(last.count(o) > last.count(c) for o, c in _OPENERS.items()))
+    unbalanced = '"' in last and last.count('"') % 2 == 1 or any(o in last and last.count(o) > last.count(c) for o, c in _OPENERS.items())
     return (one, two, three, 1 if unbalanced else 0 if ends_well else -1)
 
 
@@ -527,7 +585,8 @@ def unpattern(code: int, n: int) -> list[int]:
 
 #: The patterns of a defect's votes; votes by which as many functions find it as don't, or more.
 _CODES = {v: pattern(v) for v in product((-1, 0, 1), repeat=4)}
-_FINDING = frozenset(v for v in _CODES if 1 in v and v.count(1) >= v.count(0))
+_FINDING = frozenset(code for v, code in _CODES.items() if 1 in v and v.count(1) >= v.count(0))
+_ALL_FIND = _CODES[1, 1, 1, 1]
 
 
 def fit(counts: dict[int, int], n: int, rounds: int = 200, prior: float = 0.05) -> dict[int, float]:
@@ -574,10 +633,11 @@ def vote(pairs: DataFrame, id_col: str = "record_id") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "answer"):
-            out = [judged(Pair(*x)) for x in zip(texts(b.column(2)), texts(b.column(3)), texts(b.column(4)))]
-            own, good, cut = ([x[i] for x in out] for i in range(3))
-            cols = [pa.array([x[d] for x in own], pa.int32()) for d in DEFECTS] + [pa.array(good, pa.bool_())] + [pa.array([x.get(d) for x in cut], pa.int32()) for d in DEFECTS]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], [id_col, "resp_field", *DEFECTS, "sound", *cuts])
+            # rows of numbers, since kept dicts would be looked at by Python's garbage collection again and again
+            out = [(*own.values(), good, *map(cut.get, DEFECTS)) for own, good, cut in (judged(Pair(*x)) for x in zip(texts(b.column(2)), texts(b.column(3)), texts(b.column(4))))]
+            cols = [pa.array(x, pa.bool_() if i == len(DEFECTS) else pa.int32()) for i, x in enumerate(zip(*out))]
+            if out:
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], [id_col, "resp_field", *DEFECTS, "sound", *cuts])
 
     kinds = [f"`{id_col}` {kind}", "resp_field string", *(f"`{d}` int" for d in DEFECTS), "sound boolean", *(f"`{c}` int" for c in cuts)]
     return pairs.select(id_col, "resp_field", "query", "answer", "lang").mapInArrow(run, ", ".join(kinds))
@@ -599,39 +659,65 @@ ASKING = {
 
 
 @cache
-def _fixed() -> tuple[list[Answer], dict[str, list[Answer]], dict[str, Query]]:
-    """Blank answers, answers that decline by language, queries by language."""
-    declining: dict[str, list[Answer]] = {}
+def _fixed() -> tuple[list[tuple[Answer, tuple[int, int]]], dict[str, list[tuple[Answer, tuple[int, int]]]], dict[str | None, list[tuple[str, Query]]]]:
+    """Blank answers, answers that decline by language, each with its pattern for queries whose topic has some of its words and none; by language the queries in others."""
+
+    def known(text: str, defect: str) -> tuple[Answer, tuple[int, int]]:
+        return (x := Answer(text)), tuple(_CODES[VOTES[defect](Pair(Query(q), x))] for q in (text, None))
+
+    declining: dict[str, list] = {}
     for x in DECLINING:
-        declining.setdefault(language(x)[0], []).append(Answer(x))
-    return [Answer(x) for x in ("", " \n", "-", "[]", "...", *sorted(NO_VALUE))], declining, {k: Query(q) for k, q in ASKING.items()}
+        declining.setdefault(language(x)[0], []).append(known(x, "refusal"))
+    asking = {k: Query(q) for k, q in ASKING.items()}
+    return [known(x, "empty") for x in ("", " \n", "-", "[]", "...", *sorted(NO_VALUE))], declining, {k: [x for x in asking.items() if x[0] != k] for k in (None, *COMMON)}
 
 
-def broken(p: Pair) -> dict[str, Pair]:
+def broken(p: Pair, codes: dict[str, int] | None = None) -> dict[str, Pair]:
     """A sound pair broken in every way that it allows, by defect; what is drawn depends on the texts alone.
 
     Emptied; the query instead of the answer, as it is, re-cased, quoted or without a word; a sentence that declines; the answer to a query of
-    another language; the answer cut inside its last sentence.
+    another language; the answer cut inside its last sentence. With `codes`, the patterns of the votes go there, and no pair is made.
     """
     blanks, declining, asking = _fixed()
     q, a, asked = p.q.text, p.a.text, p.q.asked
+    out: dict[str, Pair] = {}
     left, k = divmod(xxhash.xxh3_64_intdigest(f"{q}\n{a}"), len(blanks))
-    out = {"empty": Pair(p.q, blanks[k], p.lang)}
+    x, known = blanks[k]
+    if codes is None:
+        out["empty"] = Pair(p.q, x, p.lang)
+    else:
+        codes["empty"] = known[p.q.topic.isdisjoint(x.words)]
     if q and len(ws := q.split()) >= 6:
         left, k = divmod(left, len(ws) - 2)
         left, way = divmod(left, 4)
-        x = Answer(q if way == 0 else q.upper() if way == 1 else f'"{q}"' if way == 2 else " ".join(ws[: k + 1] + ws[k + 2 :]))
-        if p.q.plain and way < 3 and (way != 1 or q.isascii()):
-            x.rest = p.q.words  # neither case nor quotes make a difference
-        out["copy"] = Pair(p.q, x, p.lang)
-    if same := declining.get(asked):
-        left, k = divmod(left, len(same))
-        out["refusal"] = Pair(p.q, same[k], p.lang)
+        # neither case nor quotes make a difference
+        same = way < 3 and p.q.plain and (way != 1 or q.isascii())
+        if same and codes is not None and p.q.words:
+            codes["copy"] = _ALL_FIND
+        else:
+            x = Answer(q if way == 0 else q.upper() if way == 1 else f'"{q}"' if way == 2 else " ".join(ws[: k + 1] + ws[k + 2 :]))
+            if same:
+                x.rest = p.q.words
+            if codes is None:
+                out["copy"] = Pair(p.q, x, p.lang)
+            else:
+                codes["copy"] = _CODES[copy_votes(Pair(p.q, x, p.lang))]
+    if fixed := declining.get(asked):
+        left, k = divmod(left, len(fixed))
+        x, known = fixed[k]
+        if codes is None:
+            out["refusal"] = Pair(p.q, x, p.lang)
+        else:
+            codes["refusal"] = known[p.q.topic.isdisjoint(x.words)]
     if asked and p.a.told[0] == asked:
-        others = [x for x in asking.items() if x[0] != asked]
+        others = asking.get(asked, asking[None])
         left, k = divmod(left, len(others))
         to, x = others[k]
-        out["language"] = Pair(x, p.a, to if (p.lang or "").strip().lower()[:2] in COMMON else p.lang)
+        lang = to if _stated(p.lang) else p.lang
+        if codes is None:
+            out["language"] = Pair(x, p.a, lang)
+        else:
+            codes["language"] = _CODES[_told_votes(x, p.a, lang)]
     text = (a or "").rstrip()
     last = text.rpartition("\n")[2]
     if last[-1:] in (".", "!", "?") and last.count(" ") >= 8 and last[-2].isalpha():
@@ -642,16 +728,21 @@ def broken(p: Pair) -> dict[str, Pair]:
         if len(tail) >= 5:
             x = Answer(text[: -len(last)] + last[:at] + " ".join(tail[: 2 + left % (len(tail) - 3)]))
             x.words = p.a.words  # what is asked of them is only whether there are any
-            out["truncated"] = Pair(p.q, x, p.lang)
+            if codes is None:
+                out["truncated"] = Pair(p.q, x, p.lang)
+            else:
+                codes["truncated"] = _CODES[_end_votes(x)]
     return out
 
 
 def judged(p: Pair) -> tuple[dict[str, int], bool, dict[str, int]]:
     """(patterns by defect, whether the pair is sound, patterns by defect of the pair broken that way): sound is that for which, of every defect, fewer
     functions find it than don't, or none finds it."""
-    votes = {d: of(p) for d, of in VOTES.items()}
-    good = _FINDING.isdisjoint(votes.values())
-    return {d: _CODES[v] for d, v in votes.items()}, good, {d: _CODES[VOTES[d](x)] for d, x in broken(p).items()} if good else {}
+    own = {d: _CODES[of(p)] for d, of in VOTES.items()}
+    cut: dict[str, int] = {}
+    if good := _FINDING.isdisjoint(own.values()):
+        broken(p, cut)
+    return own, good, cut
 
 
 def _logit(p: float) -> float:

@@ -175,3 +175,69 @@ def test_patterns_are_tried_where_one_of_their_words_may_begin():
     firsts = {m.group()[0] for x in (*pairs.DECLINING, "I'd rather not get into that.", "I refuse to answer.", "Unable to help.", "Damit kann ich nicht helfen.") if (m := bare.search(normalize(x)))}
     texts = [normalize(f"{x}{y}") for x in ("I'd ", "we ", "") for y in ("rather not discuss it", "refuse to answer", "unable to help", "won't share it", "shouldn't comment", "have to decline to answer", "damit nicht helfen", "verstößt gegen regeln", "beyond my rules", "outside what i", "helping with this isn't possible", "kann nicht helfen", "m'est impossible de répondre", "va en contra de mis", "prefiero no", "en tant que modèle", "imposible responder", "against policy")]
     assert len(firsts) > 5 and all(bare.search(x) and pairs.DECLINE.search(x) for x in texts)
+
+
+def _drawn(parsed, r) -> str:
+    """A text that a parsed pattern may match."""
+    out = ""
+    for op, av in parsed:
+        match str(op):
+            case "LITERAL":
+                out += chr(av)
+            case "BRANCH":
+                out += _drawn(av[1][r.integers(len(av[1]))], r)
+            case "SUBPATTERN":
+                out += _drawn(av[-1], r)
+            case "MAX_REPEAT":
+                out += "".join(_drawn(av[2], r) for _ in range(r.integers(av[0], min(av[0] + 2, av[1]) + 1)))
+            case "IN":
+                out += {"NEGATE": " ", "CATEGORY": "x", "LITERAL": chr(av[0][1]) if str(av[0][0]) == "LITERAL" else ""}[str(av[0][0])]
+    return out
+
+
+def test_cheap_tests_pass_all_that_the_patterns_find():
+    """Whatever DECLINE finds has one of its words or parts, whatever POLITE finds has one of its heads; also inside of longer words and in a text's points."""
+    r = np.random.default_rng(4)
+    found, kinds = 0, set()
+    declining, polite = (re._parser.parse(x.pattern, x.flags & ~re.U) for x in (pairs.DECLINE, pairs.POLITE))
+    for _ in range(20_000):
+        s = r.choice(["", "x", "we "]) + _drawn(declining, r) + r.choice(["", "x", " so"])
+        if m := pairs.DECLINE.search(s):
+            found += 1
+            kinds.add(m.group()[:4])
+            ws = WORD.findall(s)
+            assert not pairs._DECLINING_WORDS.isdisjoint(ws) or pairs._declining_part(s), s
+        head = _drawn(polite, r).lstrip()[:3]
+        assert head in pairs._POLITE_HEADS or head[:2] == "hi", head
+    assert found > 10_000 and len(kinds) > 50
+    for x in pairs.DECLINING:
+        assert pairs.Answer(x).declining[0], x
+
+
+def test_sentences_without_declining_words_need_no_pattern(monkeypatch):
+    """Negative words alone, as sound answers have them, don't lead to the patterns; each pair's words are counted in one pass."""
+
+    class Never:
+        def search(self, s):
+            raise AssertionError(s)
+
+    monkeypatch.setattr(pairs, "DECLINE", Never())
+    for q, a in (("Is a late parcel paid?", "It isn't late, so the fee does not apply. No page has changed outside the office."), ("Wer zahlt das?", "Das ist nicht neu, und es gibt keine Gebühr."), ("Qui paie cela ?", "Ce n'est pas le cas, et la page ne change pas.")):
+        assert pairs.refusal_votes(pairs.Pair(q, a))[0] == 0
+    a = pairs.Answer("The page is not new, sorry, and no topic is.")
+    assert a.told == pairs.language(a.text) and a.declining[2] == sum(w in pairs.REFUSING for w in a.words) / len(a.words) == 0.2
+
+
+def test_known_patterns_are_those_of_the_broken_pairs(answers):
+    """Patterns that judging knows without a pair are what the votes on the broken pair give."""
+    some = [pairs.Pair(*x) for x in answers.select("query", "answer", "lang").distinct().collect()]
+    odd = ["Who pays? Who pays? Who pays for the return of it?", "Where is it now? Who pays for the return? Tell me.", 'Say "now"? Say "who pays". Say it once more.', "- - - - - - -", "no answer na none of it is there at all", "Go now. Go. We can wait for it here."]
+    some += [pairs.Pair(q, f"{PROSE} It takes {i} days.", lang) for q in odd for i in range(20) for lang in (None, "EN")]
+    known = set()
+    for p in some:
+        _, good, got = pairs.judged(p)
+        if good:
+            made = pairs.broken(p)
+            assert got == {d: pairs.pattern(pairs.VOTES[d](pairs.Pair(x.query, x.answer, x.lang))) for d, x in made.items()}, (p.query, p.answer)
+            known.update(got)
+    assert known == set(pairs.DEFECTS)
